@@ -1,8 +1,4 @@
-"""Text kernel as built-in expressions.
-
-Tokens: fenced code and URLs go, text is lower-cased, everything but letters and digits separates,
-and tokens of two characters or fewer are dropped.
-"""
+"""Text kernel as built-in expressions: tokens, normalised bodies, digests, structure, slugs, dates."""
 
 from __future__ import annotations
 
@@ -14,11 +10,98 @@ URL = r"https?://\S+"
 
 
 def tokens(text: Column) -> Column:
+    """Fences and URLs go, lower case, letters and digits only, longer than two characters."""
     bare = F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), FENCE, " ")), URL, " ")
     return F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda t: F.length(t) > 2)
 
 
-#: The same for DuckDB, over an expression.
 def tokens_sql(text: str) -> str:
+    """The same for DuckDB, over an expression."""
     bare = f"regexp_replace(lower(regexp_replace(coalesce({text}, ''), '(?s)```.*?```', ' ', 'g')), 'https?://\\S+', ' ', 'g')"
     return f"list_filter(regexp_split_to_array({bare}, '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 2)"
+
+
+def search_words(text: Column) -> Column:
+    """Words of the retrieval index."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9_]+"), F.lit(0))
+
+
+def normalize_body(text: Column) -> Column:
+    """LF line ends, no blanks at line ends, at most one empty line between, stripped, one final LF."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n")
+    t = F.regexp_replace(t, "[\\s\\x{85}\\x{A0}&&[^\n]]+(?=\n|$)", "")
+    t = F.regexp_replace(t, "\n{3,}", "\n\n")
+    return F.concat(F.regexp_replace(t, r"^\s+|\s+$", ""), F.lit("\n"))
+
+
+def body_hash(text: Column) -> Column:
+    return F.sha2(normalize_body(text), 256)
+
+
+def estimated_tokens(text: Column) -> Column:
+    return F.ceil(F.length(F.coalesce(text, F.lit(""))) / 4).cast("long")
+
+
+def _lines(body: Column, pattern: str) -> Column:
+    return F.size(F.filter(F.split(body, "\n"), lambda x: x.rlike(pattern))).cast("long")
+
+
+def structure(body: Column) -> dict[str, Column]:
+    """Counts of headings, lists, tables, code blocks, callouts, figures, links and local assets."""
+    return {
+        "headings": _lines(body, r"^#{1,6}\s+"),
+        "lists": _lines(body, r"^\s*(?:[-*+] |\d+\. )"),
+        "tables": F.floor(_lines(body, r"^\s*\|?.+\|.+\|?\s*$") / 2).cast("long"),
+        "code_blocks": F.floor(_lines(body, "^```") / 2).cast("long"),
+        "callouts": _lines(body, "^>"),
+        "figures": F.regexp_count(body, F.lit(r"!\[[^\]]*\]\([^)]+\)")).cast("long"),
+        "links": (F.regexp_count(body, F.lit(r"(?<!!)\[[^\]]+\]\([^)]+\)"))).cast("long"),
+        "assets": F.regexp_count(body, F.lit(r"!\[[^\]]*\]\((?!https?://)[^)]+\)")).cast("long"),
+    }
+
+
+def heading_slug(title: Column) -> Column:
+    """Anchor of a heading: lower case, word characters, blanks to hyphens."""
+    return F.replace(F.regexp_replace(F.lower(title), r"[^\p{L}\p{N}_\- ]", ""), F.lit(" "), F.lit("-"))
+
+
+def identity(value: Column) -> Column:
+    return F.translate(F.lower(value), "_.", "--")
+
+
+def sorted_tags(tags: Column) -> Column:
+    """Trimmed, non-empty, distinct, sorted without regard to case (then by themselves)."""
+    clean = F.array_distinct(F.filter(F.transform(tags, F.trim), lambda t: t != ""))
+    return F.transform(F.array_sort(F.transform(clean, lambda t: F.struct(F.lower(t).alias("k"), t.alias("t")))), lambda x: x["t"])
+
+
+#: Month names of long dates.
+MONTHS = "January February March April May June July August September October November December".split()
+
+
+def long_date(text: Column) -> Column:
+    """ISO date of the first ``Month d, yyyy`` (long or three-letter month), or null."""
+    found = F.regexp_extract(text, r"\b([A-Z][a-z]{2,8}) (\d{1,2}), (\d{4})\b", 0)
+    number = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.substring(found, 1, 3))
+    whole = F.regexp_extract(found, r"^([A-Z][a-z]+)", 1)
+    known = F.array_contains(F.array(*[F.lit(m) for m in MONTHS], *[F.lit(m[:3]) for m in MONTHS]), whole)
+    iso = F.concat_ws("-", F.regexp_extract(found, r"(\d{4})$", 1), F.lpad(number.cast("string"), 2, "0"), F.lpad(F.regexp_extract(found, r" (\d{1,2}),", 1), 2, "0"))
+    return F.when(known & (number > 0), F.try_to_date(iso, "yyyy-MM-dd").cast("string"))
+
+
+def source_date(value: Column) -> Column:
+    """ISO date of an ISO date or time, an RFC 2822 date, or null."""
+    v = F.trim(value)
+    rfc = F.regexp_extract(v, r"^(?:[A-Z][a-z]{2}, )?(\d{1,2}) ([A-Z][a-z]{2}) (\d{4})", 0)
+    month = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.regexp_extract(v, r"(\d{1,2}) ([A-Z][a-z]{2}) (\d{4})", 2))
+    iso = F.concat_ws("-", F.regexp_extract(v, r"([A-Z][a-z]{2}) (\d{4})", 2), F.lpad(month.cast("string"), 2, "0"), F.lpad(F.regexp_extract(v, r"(\d{1,2}) [A-Z][a-z]{2} \d{4}", 1), 2, "0"))
+    head = F.substring(v, 1, 10)
+    return F.coalesce(
+        F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(head, "yyyy-MM-dd")),
+        F.when((rfc != "") & (month > 0), F.try_to_date(iso, "yyyy-MM-dd"))).cast("string")
+
+
+def aware_time(value: Column) -> Column:
+    """Timestamp of an ISO time that names its zone; null without a zone."""
+    zoned = value.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$")
+    return F.when(zoned, F.try_to_timestamp(value))

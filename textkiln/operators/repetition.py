@@ -1,22 +1,26 @@
-"""Repeated text: boilerplate lines or blocks shared by several documents."""
+"""Repeated text and copies across documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.functions.text import tokens, tokens_sql
+from textkiln.functions.text import body_hash, tokens
 
 
-def boilerplate_lines(docs: DataFrame, separator: str = "\n", least_tokens: int = 8, least_docs: int = 3) -> DataFrame:
+def pieces(docs: DataFrame, separator: str = "\n") -> DataFrame:
+    """``doc_id, line, piece``: the texts' pieces, numbered from 0."""
+    return docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), separator)).alias("line", "piece"))
+
+
+def boilerplate(docs: DataFrame, separator: str = "\n", least_tokens: int = 8, least_docs: int = 3) -> DataFrame:
     """``block, n_docs, first_doc``: normalised pieces of text held by at least ``least_docs`` documents.
 
     A piece that starts with ``#`` is a heading and doesn't count. Documents are counted, not
     listed, so a piece held by a third of the corpus costs one row a task.
     """
-    pieces = docs.select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), separator)).alias("piece"))
     named = (
-        pieces.where(~F.ltrim("piece").startswith("#"))
+        pieces(docs, separator).where(~F.ltrim("piece").startswith("#"))
         .select("doc_id", tokens(F.col("piece")).alias("t"))
         .where(F.size("t") >= least_tokens)
         .select("doc_id", F.array_join("t", " ").alias("block"))
@@ -25,12 +29,26 @@ def boilerplate_lines(docs: DataFrame, separator: str = "\n", least_tokens: int
     return named.groupBy("block").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc")).where(F.col("n_docs") >= least_docs)
 
 
-boilerplate_blocks_sql = f"""
-SELECT block, count(*) AS n_docs, min(doc_id) AS first_doc
-FROM (SELECT DISTINCT doc_id, array_to_string(t, ' ') AS block
-      FROM (SELECT doc_id, {tokens_sql('piece')} AS t
-            FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS piece FROM documents)
-            WHERE NOT starts_with(ltrim(piece), '#'))
-      WHERE len(t) >= 8)
-GROUP BY block HAVING count(*) >= 3
-"""
+def exact_repetition(docs: DataFrame, least_docs: int = 3) -> DataFrame:
+    """``sha256, occurrences, n_docs, first_doc`` of non-blank pieces held by ``least_docs`` documents or more."""
+    each = pieces(docs).where(F.trim("piece") != "").groupBy(F.sha2("piece", 256).alias("sha256"), "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("sha256").agg(F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc")).where(F.col("n_docs") >= least_docs)
+
+
+def near_repetition(docs: DataFrame, least_chars: int = 80) -> DataFrame:
+    """Pieces equal after blanks and case, held by two documents or more in more than one exact form."""
+    flat = F.lower(F.trim(F.regexp_replace("piece", r"\s+", " ")))
+    each = (
+        pieces(docs).select("doc_id", F.sha2("piece", 256).alias("raw"), flat.alias("flat")).where(F.length("flat") >= least_chars)
+        .groupBy(F.sha2("flat", 256).alias("normalized_sha256"), "doc_id", "raw").agg(F.count(F.lit(1)).alias("n"))
+    )
+    by = each.groupBy("normalized_sha256").agg(
+        F.sum("n").alias("occurrences"), F.count_distinct("doc_id").alias("n_docs"), F.count_distinct("raw").alias("n_forms"))
+    return by.where("n_docs >= 2 and n_forms > 1")
+
+
+def canonical_candidates(docs: DataFrame, key: str) -> DataFrame:
+    """Keys with several documents; ``substantive_match`` if their normalised bodies are all the same."""
+    each = docs.select(F.col(key).alias("key"), "doc_id", body_hash(F.col("text")).alias("h"))
+    by = each.groupBy("key").agg(F.count(F.lit(1)).alias("documents"), F.min("doc_id").alias("first_doc"), F.min("h").alias("lo"), F.max("h").alias("hi"))
+    return by.where("documents > 1").select("key", "documents", "first_doc", (F.col("lo") == F.col("hi")).alias("substantive_match"))

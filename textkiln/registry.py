@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from textkiln.operators.repetition import boilerplate_blocks_sql, boilerplate_lines
+import importlib
 
-QUERIES = {
-    "boilerplate_blocks": lambda spark, sf: boilerplate_lines(spark.read.parquet(f"{sf}/documents.parquet")),
-}
-ORACLE_SQL = {"boilerplate_blocks": boilerplate_blocks_sql}
+#: Modules with QUERIES (name -> function of session and folder) and ORACLE_SQL.
+MODULES = ("urls", "texts")
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+for _name in MODULES:
+    _module = importlib.import_module(f"textkiln.plans.{_name}")
+    QUERIES |= _module.QUERIES
+    ORACLE_SQL |= _module.ORACLE_SQL
