@@ -71,7 +71,7 @@ def identity(value: Column) -> Column:
 
 def sorted_tags(tags: Column) -> Column:
     """Trimmed, non-empty, distinct, sorted without regard to case (then by themselves)."""
-    clean = F.array_distinct(F.filter(F.transform(tags, F.trim), lambda t: t != ""))
+    clean = F.array_distinct(F.filter(F.transform(tags, lambda t: F.trim(t)), lambda t: t != ""))
     return F.transform(F.array_sort(F.transform(clean, lambda t: F.struct(F.lower(t).alias("k"), t.alias("t")))), lambda x: x["t"])
 
 
