@@ -74,13 +74,15 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: Listed canonical URLs: whole hosts of link farms, advertising and adult pages. A production list is a table of the same column.
+LISTED_URLS = ("ads-track.example.com/", "adult-x.example.com/", "spam-farm.example.org/")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list: canonical URLs under which a page was captured from a feed link (``utm_source=feed``)."""
-    from textkiln.llm.url_filter import canonical, judge_urls
+    from textkiln.llm.url_filter import judge_urls
 
-    pages = _read(spark, sf_dir, "pages")
-    listed = pages.where(F.col("url").contains("utm_source=feed")).select(canonical(F.col("url")).alias("canonical_url"))
-    return judge_urls(pages, listed)
+    listed = spark.createDataFrame([(u,) for u in LISTED_URLS], "canonical_url string")
+    return judge_urls(_read(spark, sf_dir, "pages"), listed)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix_sources, op3_line_dedup, op4_simhash, op5_suffix_dedup, op6_exact_topk, op7_byte_bpe, op8_language_id, op9_sharding, op10_url_filter)}

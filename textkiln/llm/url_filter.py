@@ -1,7 +1,11 @@
 """URL filter: a blocked Bloom filter of listed canonical URLs, then an exact join of its hits.
 
+A listed entry is a canonical URL, ``host/path``. It lists its host and all subdomains, and what lies
+at its path or, if that ends in a slash, below it. A page's URL is looked up by its expressions: every
+label suffix of its host with every leading directory of its path and the whole path.
+
 The filter is a table: one row for each block of 512 bits (eight 64-bit words, one bit set in each
-word for every key). It is built by one aggregation and probed by an equi-join on the block number,
+word for every entry). It is built by one aggregation and probed by an equi-join on the block number,
 so neither side is ever held whole. Where the filter's size is at most ``BROADCAST_BYTES`` it is
 broadcast; past that the join shuffles. Hits go to an exact join with the list, which removes the
 false positives. Host rules (a short table, at most ``MAX_RULES``) are compiled into an expression.
@@ -57,9 +61,18 @@ def host_path(url: Column) -> tuple[Column, Column]:
 
 
 def canonical(url: Column) -> Column:
-    """Host and path, without scheme, query, fragment, ``www.``/``m.`` in front or a slash or ``.html`` at the end."""
+    """Host and path, without scheme, query and fragment; an empty path is the root."""
     host, path = host_path(url)
-    return F.concat(F.regexp_replace(host, r"^(www|m)\.", ""), F.regexp_replace(path, r"(/|\.html)$", ""))
+    return F.concat(host, F.when(path == "", F.lit("/")).otherwise(path))
+
+
+def expressions(host: Column, path: Column) -> Column:
+    """Everything a list may hold of a URL: label suffixes of its host, each with the path's leading directories and the whole path."""
+    labels, steps = F.split(host, r"\."), F.split(path, "/")
+    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    above = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(steps) - 1)), lambda n: F.concat(F.array_join(F.slice(steps, F.lit(1), n), "/"), F.lit("/")))
+    paths = F.array_distinct(F.concat(above, F.array(F.when(path == "", F.lit("/")).otherwise(path))))
+    return F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p))))
 
 
 def match_rule(host: Column, path: Column, rules: tuple[HostRule, ...]) -> tuple[Column, Column]:
@@ -102,14 +115,15 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: tuple[HostRule, ...]
     host, path = host_path(F.col(url))
     name, verdict = match_rule(F.col("host"), F.col("path"), rules)
     judged = written(
-        pages.select("page_id", host.alias("host"), path.alias("path"), canonical(F.col(url)).alias("canonical"))
+        pages.select("page_id", host.alias("host"), path.alias("path"))
         .withColumn("rule", name).withColumn("__verdict", verdict), "urls-judged")
     # only URLs that no rule settles ask the list; equal URLs ask once
-    asked = judged.where("__verdict is null and canonical is not null and canonical != ''").select("canonical").distinct()
-    hits = bloom_hits(asked, "canonical", bloom, n_blocks)
-    exact = hits.join(keys, F.col("canonical") == F.col("__key"), "left_semi").select(F.col("canonical").alias("__listed"))
+    asked = judged.where("__verdict is null and host != ''").select("host", "path").distinct()
+    probes = asked.select(F.col("host").alias("__h"), F.col("path").alias("__p"), F.explode(expressions(F.col("host"), F.col("path"))).alias("probe"))
+    hits = bloom_hits(probes, "probe", bloom, n_blocks)
+    exact = hits.join(keys, F.col("probe") == F.col("__key"), "left_semi").select("__h", "__p").distinct().withColumn("__listed", F.lit(True))
     return (
-        judged.join(exact, F.col("canonical") == F.col("__listed"), "left")
+        judged.join(exact, (F.col("host") == F.col("__h")) & (F.col("path") == F.col("__p")), "left")
         .select("page_id", "host", "path", "rule",
-                F.coalesce("__verdict", F.when(F.col("__listed").isNotNull(), F.lit(listed_verdict)).otherwise(F.lit(default))).alias("verdict"))
+                F.coalesce("__verdict", F.when(F.col("__listed"), F.lit(listed_verdict)).otherwise(F.lit(default))).alias("verdict"))
     )
