@@ -75,7 +75,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Listed canonical URLs: whole hosts of link farms, advertising and adult pages. A production list is a table of the same column.
-LISTED_URLS = ("ads-track.example.com/", "adult-x.example.com/", "spam-farm.example.org/")
+LISTED_URLS = tuple(f"{name}.example.{top}/" for name in ("ads-track", "adult-x", "spam-farm") for top in ("com", "net", "org"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
