@@ -34,12 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textkiln.llm.arrow import small
 from textkiln.llm.tables import dropped, written
 
 WINDOW = 50
 GRAM = 20
 SPREAD = WINDOW - GRAM + 1  # anchors that a window can choose from
-BUCKETS = 8  # a shuffle partition
+BUCKETS = 4  # a shuffle partition
 _LAST = (1 << 63) - 1
 _POS = np.uint64((1 << 26) - 1)
 #: Bytes of text that are hashed at once.
@@ -87,7 +88,7 @@ def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         texts = [t or b"" for t in b["text"].cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([b["d"], pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array([len(t) for t in texts], pa.int64())], ["d", "digest", "n"])
 
@@ -105,7 +106,7 @@ def _anchor_blocks(n_buckets: int):
 
     A task flushes after ``FLUSH`` anchors, so its memory is bounded whatever its input.
     """
-    FLUSH = 4 << 20
+    FLUSH = 1 << 19
 
     def flush(h: np.ndarray, row: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.argsort(h, kind="stable")
@@ -128,7 +129,7 @@ def _anchor_blocks(n_buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for b in batches:
+        for b in small(batches):
             for row, t in zip(b["row"].to_pylist(), b["text"].cast(pa.binary()).to_pylist()):
                 if t and len(t) >= WINDOW:
                     at, h, _, _ = anchors(np.frombuffer(t, np.uint8))
@@ -149,7 +150,7 @@ _BLOCK = "bucket int, h binary, row binary, pos binary, two binary"
 def _by_bucket(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[int, list[list[bytes]]]]:
     """Columns of each bucket from rows sorted by bucket; a row of bucket -1 comes alone."""
     bucket, held = None, [[] for _ in names]
-    for b in batches:
+    for b in small(batches, 16):
         cols = [b[n].to_pylist() for n in names]
         for i, k in enumerate(b["bucket"].to_pylist()):
             if k != bucket or k < 0:
@@ -183,7 +184,7 @@ def _stretches(n_buckets: int):
 
     A task holds stretches until they come to ``FLUSH`` bytes, then sends what it has.
     """
-    FLUSH = 48 << 20
+    FLUSH = 24 << 20
 
     def emit(found: dict[bytes, list], settled: list[tuple]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, tuple[list, list]] = {}
@@ -208,7 +209,7 @@ def _stretches(n_buckets: int):
         found: dict[bytes, list] = {}
         settled: list[tuple] = []
         size = 0
-        for b in batches:
+        for b in small(batches):
             for row, d, t, flags in zip(b["row"].to_pylist(), b["d"].to_pylist(), b["text"].cast(pa.binary()).to_pylist(), b["at"].to_pylist()):
                 at, h, first, last = anchors(np.frombuffer(t, np.uint8))
                 on = np.flatnonzero(np.isin(at, np.array(flags, np.int64)))
@@ -367,7 +368,7 @@ def removed_bytes(n: int, lo: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         spans, gone, left = [], [], []
         for t, lo, bits in zip(b["text"].cast(pa.binary()).to_pylist(), b["lo"].to_pylist(), b["bits"].to_pylist()):
             t = t or b""

@@ -11,10 +11,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CLEANUP = (
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled",
-    "spark.sql.shuffleDependency.fileCleanup.enabled",
-)
+#: While a table is written: its job's shuffle files go afterwards, since nothing reads them again, and
+#: batches for Python workers stay small.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,10 +34,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and return a frame that reads the files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/textkiln/{label}-{uuid.uuid4().hex}"
-    held = {k: spark.conf.get(k, None) for k in _CLEANUP}
+    held = {k: spark.conf.get(k, None) for k in _SETTINGS}
     try:
-        for k in _CLEANUP:  # shuffle files of the job that wrote the table aren't read again
-            spark.conf.set(k, "true")
+        for k, v in _SETTINGS.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
         for k, v in held.items():
