@@ -5,7 +5,7 @@ shuffle and without user functions.
 
 Defined results: a null, empty or blank text has no words and fails the base rules. Repeated rows
 are judged one by one. Columns of the input other than ``doc_id`` and ``text`` pass through
-``quality_filter`` untouched; the working columns live in one struct with a reserved name.
+``quality_filter`` untouched.
 """
 
 from __future__ import annotations
@@ -147,9 +147,8 @@ def quality_report(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
 
 def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with all their columns."""
-    f = F.col("__f")
-    return (
-        docs.withColumn("__f", features(F.col(text)))
-        .where((F.size(compile_rules(f, base)) == 0) & (F.size(compile_rules(f, rules)) == 0))
-        .drop("__f")
-    )
+    def stays(f: Column) -> Column:
+        return (F.size(compile_rules(f, base)) == 0) & (F.size(compile_rules(f, rules)) == 0)
+
+    # one lambda binds the features, so that the filter evaluates them once a row
+    return docs.where(F.transform(F.array(features(F.col(text))), stays)[0])
