@@ -176,7 +176,9 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(pos)], ["row", "pos"])
 
 
-_STRETCH = "bucket int, row binary, d binary, lo binary, windows binary, size binary, bytes binary"
+_STRETCH = "bucket int, row binary, d binary, lo binary, windows binary, off binary, size binary, bytes binary"
+#: Bytes of distinct stretches that a reducer sorts at once; whole anchors go together, so one anchor's can be more.
+PART = 1 << 20
 
 
 def _stretches(n_buckets: int):
@@ -191,7 +193,7 @@ def _stretches(n_buckets: int):
         for s, (k, d, places) in found.items():
             of, text = blocks.setdefault(k, ([], []))
             for row, lo in places:
-                of.append((row, d, lo, len(s) - WINDOW))  # the first byte is the anchor's offset
+                of.append((row, d, lo, len(s) - WINDOW, s[0]))  # the first byte is the anchor's offset
                 text.append(s[1:])
         rows = [(k, of, text) for k, (of, text) in blocks.items()]
         if settled:
@@ -201,9 +203,9 @@ def _stretches(n_buckets: int):
             return pa.array([np.array([x[i] for x in r[1]], kind).tobytes() for r in rows], pa.binary())
 
         yield pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r in rows], pa.int32()), column(0, "<i8"), column(1, "<i8"), column(2, "<i4"), column(3, "u1"),
+            pa.array([r[0] for r in rows], pa.int32()), column(0, "<i8"), column(1, "<i8"), column(2, "<i4"), column(3, "u1"), column(4, "u1"),
             pa.array([bytes(map(len, r[2])) for r in rows], pa.binary()), pa.array([b"".join(r[2]) for r in rows], pa.binary())],
-            ["bucket", "row", "d", "lo", "windows", "size", "bytes"])
+            ["bucket", "row", "d", "lo", "windows", "off", "size", "bytes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[bytes, list] = {}
@@ -221,10 +223,10 @@ def _stretches(n_buckets: int):
                         found[s] = [k, d, [(row, lo)]]
                         size += len(s) + 200
                     elif d > old[1]:
-                        settled.append((row, d, lo, hi - lo + 1))
+                        settled.append((row, d, lo, hi - lo + 1, 0))
                         size += 100
                     elif d < old[1]:
-                        settled += [(r, old[1], x, hi - lo + 1) for r, x in old[2]]
+                        settled += [(r, old[1], x, hi - lo + 1, 0) for r, x in old[2]]
                         old[1], old[2] = d, [(row, lo)]
                     else:
                         old[2].append((row, lo))
@@ -316,45 +318,64 @@ def classes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``row, lo, bits``: windows (bit j: the one at lo + j) that a smaller document holds too."""
-    names = ["row", "d", "lo", "windows", "size", "bytes"]
+    names = ["row", "d", "lo", "windows", "off", "size", "bytes"]
     for bucket, cols in _by_bucket(batches, names):
-        row, d, lo, windows, size = (np.frombuffer(b"".join(x), k) for x, k in zip(cols, ("<i8", "<i8", "<i4", "u1", "u1")))
+        row, d, lo, windows, off, size = (np.frombuffer(b"".join(x), k) for x, k in zip(cols, ("<i8", "<i8", "<i4", "u1", "u1", "u1")))
         windows = windows.astype(np.int64)
         if bucket < 0:
-            bits = (np.int64(1) << windows) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(lo), pa.array(bits.astype(np.int32))], ["row", "lo", "bits"])
+            yield _windows(row, lo, (np.int64(1) << windows) - 1)
             continue
-        if len(d) < 2:
-            continue
-        joined = b"".join(cols[5])
-        ends = np.cumsum(size.astype(np.int64))
-        seen: dict[bytes, int] = {}
-        which = np.fromiter((seen.setdefault(joined[s:e], len(seen)) for s, e in zip((ends - size).tolist(), ends.tolist())), np.int64, len(d))
-        least = np.full(len(seen), _LAST)
-        np.minimum.at(least, which, d)
-        # stretches end to end, three zeros between, so that what follows a window is defined
-        text = np.frombuffer(bytes(3).join(seen) + bytes(100), np.uint8)
-        lens = np.fromiter(map(len, seen), np.int64, len(seen))
-        start = np.cumsum(lens + 3) - lens - 3
-        count = lens - WINDOW + 1
-        off = np.concatenate(([0], np.cumsum(count)))
-        owner = np.repeat(np.arange(len(seen)), count)
-        wanted = start[owner] + np.arange(off[-1]) - off[owner]
-        order = sorted_suffixes(text, wanted)
-        cut = np.flatnonzero(classes(text, order))
-        number = np.empty(len(text), np.int64)
-        number[wanted] = np.arange(len(wanted))
-        index = number[order]
-        low = np.minimum.reduceat(least[owner[index]], cut)
-        of_window = np.empty(len(wanted), np.int64)
-        of_window[index] = np.repeat(low, np.diff(np.concatenate((cut, [len(order)]))))
-        bits = np.zeros(len(d), np.int64)
-        for j in range(int(windows.max())):
-            has = windows > j
-            bits[has] |= (of_window[off[which[has]] + j] < d[has]).astype(np.int64) << j
-        go = bits != 0
-        if go.any():
-            yield pa.RecordBatch.from_arrays([pa.array(row[go]), pa.array(lo[go]), pa.array(bits[go].astype(np.int32))], ["row", "lo", "bits"])
+        joined = b"".join(cols[6])
+        ends = np.cumsum(size.astype(np.int64)).tolist()
+        # parts by the anchor's gram: what can be equal stays together
+        n_parts = 1 + len(joined) // PART
+        parts: list[tuple[list[int], list[bytes]]] = [([], []) for _ in range(n_parts)]
+        begin = 0
+        for i, (end, o) in enumerate(zip(ends, off.tolist())):
+            s = joined[begin:end]
+            at, held = parts[hash(s[o:o + GRAM]) % n_parts]
+            at.append(i)
+            held.append(s)
+            begin = end
+        del joined, cols
+        for at, held in parts:
+            i = np.array(at, np.int64)
+            if len(i) > 1 and (bits := _bits(held, d[i], windows[i])).any():
+                go = bits != 0
+                yield _windows(row[i[go]], lo[i[go]], bits[go])
+
+
+def _windows(row: np.ndarray, lo: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(row), pa.array(lo), pa.array(bits.astype(np.int32))], ["row", "lo", "bits"])
+
+
+def _bits(held: list[bytes], d: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """For each stretch, the windows that a stretch of a smaller document holds too."""
+    seen: dict[bytes, int] = {}
+    which = np.fromiter((seen.setdefault(s, len(seen)) for s in held), np.int64, len(held))
+    least = np.full(len(seen), _LAST)
+    np.minimum.at(least, which, d)
+    # stretches end to end, three zeros between, so that what follows a window is defined
+    text = np.frombuffer(bytes(3).join(seen) + bytes(100), np.uint8)
+    lens = np.fromiter(map(len, seen), np.int64, len(seen))
+    start = np.cumsum(lens + 3) - lens - 3
+    count = lens - WINDOW + 1
+    off = np.concatenate(([0], np.cumsum(count)))
+    owner = np.repeat(np.arange(len(seen)), count)
+    wanted = start[owner] + np.arange(off[-1]) - off[owner]
+    order = sorted_suffixes(text, wanted)
+    cut = np.flatnonzero(classes(text, order))
+    number = np.empty(len(text), np.int32)
+    number[wanted] = np.arange(len(wanted))
+    index = number[order]
+    low = np.minimum.reduceat(least[owner[index]], cut)
+    of_window = np.empty(len(wanted), np.int64)
+    of_window[index] = np.repeat(low, np.diff(np.concatenate((cut, [len(order)]))))
+    bits = np.zeros(len(d), np.int64)
+    for j in range(int(windows.max())):
+        has = windows > j
+        bits[has] |= (of_window[off[which[has]] + j] < d[has]).astype(np.int64) << j
+    return bits
 
 
 def removed_bytes(n: int, lo: np.ndarray, bits: np.ndarray) -> np.ndarray:
