@@ -130,11 +130,11 @@ def set_difference_report(expected: DataFrame, actual: DataFrame, key: str) -> D
     return e.exceptAll(a).withColumn("side", F.lit("missing")).unionByName(a.exceptAll(e).withColumn("side", F.lit("unexpected")))
 
 
-def corpus_digest(files: DataFrame, buckets: int = 256) -> DataFrame:
+def corpus_digest(files: DataFrame) -> DataFrame:
     """One row: SHA-256 over the files' (path, digest) in path order.
 
-    Files are digested in hash buckets first, so no row holds the list of all files.
+    Files are digested in 65,536 hash buckets first, so no row holds the list of all files.
     """
-    each = files.select("path", "sha256", F.substring(F.sha2("path", 256), 1, 2).alias("bucket"))
+    each = files.select("path", "sha256", F.substring(F.sha2("path", 256), 1, 4).alias("bucket"))
     by = each.groupBy("bucket").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "sha256"))), lambda x: F.concat(x["path"], F.lit("\t"), x["sha256"])), "\n"), 256).alias("h"))
     return by.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda x: F.concat(x["bucket"], F.lit("\t"), x["h"])), "\n"), 256).alias("digest"))

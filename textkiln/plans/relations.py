@@ -204,6 +204,6 @@ ORACLE_SQL = {
     "document_tags": """SELECT doc_id, list_transform(list_sort(list_transform(list_distinct(list_filter(list_transform([lang, ' ' || upper(source), '', source, lower(source), 'Zeta', 'alpha'], lambda x: trim(x)), lambda x: x <> '')), lambda x: {'k': lower(x), 't': x})), lambda x: x.t) AS tags FROM documents""",
     "related_last_wins": """SELECT l_orderkey, string_agg(target || '=' || relation, ',' ORDER BY target) AS related FROM (SELECT l_orderkey, l_partkey % 10 AS target, arg_max(l_returnflag, l_linenumber || l_returnflag) AS relation FROM lineitem GROUP BY ALL) GROUP BY l_orderkey""",
     "listing_differences": "SELECT DISTINCT o_custkey + 50 AS id, 'missing' AS side FROM orders WHERE o_custkey + 50 NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT DISTINCT c_custkey, 'unexpected' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey + 50 FROM orders)",
-    "corpus_digests": """WITH f AS (SELECT 'content/' || doc_id || '/index.md' AS path, sha256(text) AS h FROM documents), b AS (SELECT substring(sha256(path), 1, 2) AS bucket, sha256(string_agg(path || chr(9) || h, chr(10) ORDER BY path)) AS h FROM f GROUP BY 1)
+    "corpus_digests": """WITH f AS (SELECT 'content/' || doc_id || '/index.md' AS path, sha256(text) AS h FROM documents), b AS (SELECT substring(sha256(path), 1, 4) AS bucket, sha256(string_agg(path || chr(9) || h, chr(10) ORDER BY path)) AS h FROM f GROUP BY 1)
  SELECT sha256(string_agg(bucket || chr(9) || h, chr(10) ORDER BY bucket)) AS digest FROM b""",
 }
