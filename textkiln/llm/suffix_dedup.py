@@ -18,7 +18,8 @@ without loss:
    50-byte prefixes agree form a class, and a window goes if its class has a smaller document.
 4. What goes returns to its row as (first window, bits), and the row's bytes are cut.
 
-Copies of a whole text follow from a digest before all this; only one row of each text takes part.
+Copies of a whole text follow from digests before all this: rows are ranged by (digest, id), so that only
+the first document of each text (in each range) takes part.
 
 Defined results: a null text is empty. Rows with one doc_id never remove each other's bytes. A null
 doc_id counts as the largest. Texts shorter than a window stay whole. Long texts are read whole.
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,16 +83,32 @@ def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         lo = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
         hi = np.concatenate((lo[1:], [len(p)])) - 1
         at.append(p[lo] + s)
-        hashes.append(h[p[lo]])
+        hashes.append(_mix(h[p[lo]] + np.uint64(1)))  # least hashes are small; mixed again they fill buckets evenly
         first.append(lo + s)
         last.append(hi + s)
     return tuple(np.concatenate(x) for x in (at, hashes, first, last))
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_ROWS = "row long, d long, kind int, n long, text string"
+_FIRST, _COPY, _SHORT = 0, 1, 2
+
+
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (digest, d): the first document of each text takes part, later ones are copies.
+
+    A text that continues from the partition before has a first row here too, which only costs work.
+    """
+    part, count = TaskContext.get().partitionId() << 33, 0
+    digest, first = None, None
     for b in small(batches):
-        texts = [t or b"" for t in b["text"].cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b["d"], pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array([len(t) for t in texts], pa.int64())], ["d", "digest", "n"])
+        kinds, lengths = [], b["n"].to_pylist()
+        for x, d, n in zip(b["digest"].to_pylist(), b["d"].to_pylist(), lengths):
+            if x != digest:
+                digest, first = x, d
+            kinds.append(_FIRST if d == first else _COPY if n >= WINDOW else _SHORT)
+        text = pa.array([None if k == _COPY else t for k, t in zip(kinds, b["text"].to_pylist())], pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(count, count + len(kinds)) + part), b["d"], pa.array(kinds, pa.int32()), b["n"], text], ["row", "d", "kind", "n", "text"])
+        count += len(kinds)
 
 
 def _several(key: np.ndarray, order: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -112,10 +130,11 @@ def _anchor_blocks(n_buckets: int):
         order = np.argsort(h, kind="stable")
         two = _several(h, order, row)
         h, row, pos = h[order], row[order], pos[order]
-        first = np.concatenate(([True], h[1:] != h[:-1]))
         if two.any():
             yield _blocks(np.array([-1]), np.array([0, two.sum()]), h[two], row[two], pos[two], two[two])
-        h, row, pos, two = h[first], row[first], pos[first], two[first]
+        # one of each settled anchor, every place of the others
+        out = np.concatenate(([True], h[1:] != h[:-1])) | ~two
+        h, row, pos, two = h[out], row[out], pos[out], two[out]
         bucket = (h >> np.uint64(32)).astype(np.int64) * n_buckets >> 32  # rises with the hash
         start = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
         yield _blocks(bucket[start], np.concatenate((start, [len(h)])), h, row, pos, two)
@@ -423,23 +442,19 @@ def removed_windows(rows: DataFrame) -> DataFrame:
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """``d`` (doc_id; null: the largest long), ``n_bytes, n_removed, n_spans, kept`` (bytes) of every row."""
-    spark = docs.sparkSession
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"), F.coalesce("text", F.lit("")).alias("text"))
-    digests = written(named.mapInArrow(_digest, "d long, digest binary, n long"), "suffix-digests")
-    first = digests.groupBy("digest").agg(F.min("d").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("digest").alias("__digest"), "first")
-    copies = written(digests.join(first, (F.col("digest") == F.col("__digest")) & (F.col("d") > F.col("first"))).select("d", "digest", "n"), "suffix-copies")
-    away = copies.select(F.col("d").alias("__d"), F.col("digest").alias("__digest")).distinct()
-    single = named.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    rows = single.join(away, (F.col("d") == F.col("__d")) & (F.col("digest") == F.col("__digest")), "left_anti").select("d", "text")
-    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "suffix-rows")
+    keyed = named.select("d", F.octet_length("text").cast("long").alias("n"), F.unhex(F.sha2("text", 256)).alias("digest"), "text")
+    # ranges of (digest, d) spread a text with many copies over partitions
+    table = written(keyed.repartitionByRange(n, "digest", "d").sortWithinPartitions("digest", "d").mapInArrow(_firsts, _ROWS), "suffix-rows")
+    rows = table.where(F.col("kind") == _FIRST).select("row", "d", "text")
     windows = removed_windows(rows).groupBy(F.col("row").alias("__row")).agg(F.collect_list("lo").alias("lo"), F.collect_list("bits").alias("bits"))
     cut = rows.join(windows, F.col("row") == F.col("__row"), "left").select("d", "text", "lo", "bits").mapInArrow(_cut, _RESULT)
-    # a copy of WINDOW bytes or more goes whole; a shorter one is its own first text again
-    whole = F.col("n") >= WINDOW
-    gone = copies.where(whole).select("d", F.col("n").alias("n_bytes"), F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
-    texts = single.where(F.octet_length("text") < WINDOW).join(away, (F.col("d") == F.col("__d")) & (F.col("digest") == F.col("__digest")), "left_semi")
-    kept = texts.select("d", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"))
-    return cut.unionByName(gone).unionByName(kept)
+    # a copy of WINDOW bytes or more goes whole; a shorter one stays
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    whole = table.where(F.col("kind") == _COPY).select("d", F.col("n").alias("n_bytes"), F.col("n").alias("n_removed"), one.alias("n_spans"), F.lit(b"").alias("kept"))
+    short = table.where(F.col("kind") == _SHORT).select("d", F.col("n").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept"))
+    return cut.unionByName(whole).unionByName(short)
 
 
 def digest(docs: DataFrame) -> DataFrame:
