@@ -10,8 +10,8 @@ linked pair shares a pair of keys of some two segments. Buckets are those key pa
 bucket fingerprints are compared bit by bit (verify) and only a spanning forest of the links goes
 on, so a bucket of g equal-looking texts gives at most g - 1 edges.
 
-Only distinct fingerprints take part; copies share one. A bucket larger than ``BLOCK`` is compared
-block by block with block pairs streamed, never held as a matrix of all pairs.
+Only distinct fingerprints take part; copies share one. A bucket costs eight bytes a fingerprint, and
+its forest is searched without a matrix of all pairs.
 
 Defined results: a text without words has fingerprint zero and links like any other; null texts
 count as empty; fewer words than a shingle make one shingle; repeated rows link to each other;
@@ -35,7 +35,6 @@ from textkiln.llm.tables import dropped, written
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
 MOST = 4
-BLOCK = 2048
 #: Fixed value: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, a generator of the binary Golay code.
 GENERATOR = 0b110001110101
 
@@ -130,76 +129,75 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys[ok].astype(np.int32)), pa.array(np.repeat(fp, ok.sum(axis=1)))], ["bucket", "fp"])
 
 
-def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a[:, None] ^ b[None, :]) <= MOST
-
-
 def _forest(fp: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links among distinct fingerprints."""
-    n = len(fp)
-    if n == 2:
-        return [(0, 1)] if int(np.bitwise_count(fp[0] ^ fp[1])) <= MOST else []
-    root = np.arange(n)
-    edges = []
+    """Edges of a spanning forest of the links among distinct fingerprints.
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for s in range(0, n, BLOCK):
-        for t in range(s, n, BLOCK):
-            x, y = np.nonzero(_near(fp[s:s + BLOCK], fp[t:t + BLOCK]))
-            up = (x + s) < (y + t)
-            for i, j in zip((x[up] + s).tolist(), (y[up] + t).tolist()):
-                ri, rj = find(i), find(j)
-                if ri != rj:
-                    root[max(ri, rj)] = min(ri, rj)
-                    edges.append((i, j))
+    A search from one fingerprint takes every one it links to out of what is left, so in a tight group
+    of near copies few comparisons remain after the first, and memory is linear in any case.
+    """
+    edges = []
+    left = np.arange(len(fp))
+    while len(left) > 1:
+        frontier, left = [int(left[0])], left[1:]
+        while frontier and len(left):
+            i = frontier.pop()
+            near = np.bitwise_count(fp[left] ^ fp[i]) <= MOST
+            if near.any():
+                met = left[near].tolist()
+                edges += [(i, j) for j in met]
+                frontier += met
+                left = left[~near]
     return edges
 
 
+def _pairs(buckets: np.ndarray) -> np.ndarray:
+    """Of two-row buckets ([n, 2]): those that link."""
+    return np.bitwise_count(buckets[:, 0] ^ buckets[:, 1]) <= MOST
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Streams buckets in order; a bucket that continues in the next batch is carried over."""
-    def groups() -> Iterator[np.ndarray]:
-        key, held = None, []
-        for b in batches:
-            k, f = b["bucket"].to_numpy(), b["fp"].to_numpy().astype(np.int64).view(np.uint64)
-            if not len(k):
-                continue
-            cut = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-            ends = np.concatenate((cut[1:], [len(k)]))
-            if key is not None and k[0] != key:
-                yield np.concatenate(held)
-                held = []
-            elif key is not None and len(cut) > 1:
-                held.append(f[:ends[0]])
-                yield np.concatenate(held)
-                held, cut, ends = [], cut[1:], ends[1:]
-            size = ends - cut
-            for s, e in zip(cut[:-1][size[:-1] > 1].tolist(), ends[:-1][size[:-1] > 1].tolist()):
-                yield f[s:e]
-            held.append(f[cut[-1]:])
-            key = k[-1]
-        if held:
-            yield np.concatenate(held)
-
-    a, b = [], []
-
-    def out() -> pa.RecordBatch:
-        x = np.array(a, np.uint64).view(np.int64), np.array(b, np.uint64).view(np.int64)
-        a.clear()
-        b.clear()
+    key, held = None, []
+
+    def out(a: list, b: list) -> pa.RecordBatch:
+        x = [np.concatenate(v).view(np.int64) if v else np.empty(0, np.int64) for v in (a, b)]
         return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1])], ["a", "b"])
 
-    for f in groups():
-        for i, j in (_forest(f) if len(f) > 1 else ()):
-            a.append(f[i])
-            b.append(f[j])
-        if len(a) >= 1 << 16:
-            yield out()
-    yield out()
+    def links(f: np.ndarray, a: list, b: list) -> None:
+        if len(f) > 1 and (e := _forest(f)):
+            i = np.array(e)
+            a.append(f[i[:, 0]])
+            b.append(f[i[:, 1]])
+
+    for batch in batches:
+        k, f = batch["bucket"].to_numpy(), batch["fp"].to_numpy().astype(np.int64).view(np.uint64)
+        if not len(k):
+            continue
+        a: list[np.ndarray] = []
+        b: list[np.ndarray] = []
+        cut = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        ends = np.concatenate((cut[1:], [len(k)]))
+        if key is not None and k[0] != key:
+            links(np.concatenate(held), a, b)
+            held = []
+        elif key is not None and len(cut) > 1:
+            links(np.concatenate([*held, f[:ends[0]]]), a, b)
+            held, cut, ends = [], cut[1:], ends[1:]
+        size = (ends - cut)[:-1]
+        two = cut[:-1][size == 2]
+        p = f[two[:, None] + np.arange(2)]
+        near = _pairs(p)
+        a.append(p[near, 0])
+        b.append(p[near, 1])
+        for s, e in zip(cut[:-1][size > 2].tolist(), ends[:-1][size > 2].tolist()):
+            links(f[s:e], a, b)
+        held.append(f[cut[-1]:])
+        key = k[-1]
+        yield out(a, b)
+    if held:
+        a, b = [], []
+        links(np.concatenate(held), a, b)
+        yield out(a, b)
 
 
 def fingerprint_links(fps: DataFrame) -> DataFrame:
