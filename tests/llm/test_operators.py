@@ -75,6 +75,21 @@ def test_mixing(docs):
     assert mixed_documents(docs).columns == docs.columns
 
 
+def test_quotas_are_even_over_shards(spark):
+    from textkiln.llm.mixing import quota_table
+
+    got = quota_table(fixture_docs(spark), blocks_per_shard=64).collect()
+    per_shard = Counter()
+    for r in got:
+        per_shard[r["shard"]] += r["seats"]
+    assert set(per_shard) == set(range(8)) and len(set(per_shard.values())) == 1
+    by_source = defaultdict(list)
+    for r in got:
+        by_source[r["source"]].append(r["seats"])
+    # seats of one source spread over shards within what dealing in turn allows
+    assert all(sum(v) <= 8 * max(v) for v in by_source.values())
+
+
 def key_of(line):
     return line.strip(" \t\n\x0b\x0c\r").translate({i: i + 32 for i in range(65, 91)})
 

@@ -23,6 +23,8 @@ from textkiln.llm.tables import written
 from textkiln.llm.words import word_count
 
 WEIGHTS = (5, 2, 1)
+#: Tables of sources and blocks up to so many rows (about 10 MB) are broadcast; larger ones are shuffled.
+BROADCAST_ROWS = 200_000
 
 
 def capped_targets(sources: DataFrame, weights: tuple[int, ...], repeats: int) -> DataFrame:
@@ -57,6 +59,14 @@ def quotas(targets: DataFrame, n_blocks: int, n_shards: int) -> DataFrame:
     return seats.groupBy("rank", ((F.col("seat") - 1) % n_shards).cast("int").alias("shard")).agg(F.count(F.lit(1)).alias("seats"))
 
 
+def quota_table(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n_shards: int = 8, blocks_per_shard: int = 512) -> DataFrame:
+    """``source, shard, seats``: how many equal blocks of words each shard gets from each source."""
+    sums = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.sum(word_count(F.col("text"))).alias("source_size"))
+    sources = written(capped_targets(sums, weights, repeats).coalesce(1), "mix-sources")
+    n_blocks = n_shards * max(blocks_per_shard, 8 * sources.count())
+    return quotas(sources, n_blocks, n_shards).join(sources.select("rank", "source"), "rank").select("source", "shard", "seats")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n_shards: int = 8, blocks_per_shard: int = 512, seed: int = 7, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` (and ``carry``): the words of each document that the mix takes."""
     narrow = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), *carry, word_count(F.col("text")).alias("size"),
@@ -75,7 +85,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n
     )
     per_source = written(per_source.coalesce(1), "mix-quotas")
     chosen = written(_chosen_blocks(per_source, block, seed).coalesce(1), "mix-blocks")
-    ranked = narrow.join(F.broadcast(per_source.select("source", "rank")), narrow["source"].eqNullSafe(per_source["source"])).drop(per_source["source"])
+    small = F.broadcast if n_blocks + (n_sources or 0) <= BROADCAST_ROWS else lambda df: df
+    ranked = narrow.join(small(per_source.select("source", "rank")), narrow["source"].eqNullSafe(per_source["source"])).drop(per_source["source"])
     tape = running_totals(ranked, ["rank", "key", "doc_id", "size"], "size", group="rank", label="mix-tape")
 
     def selected(at: str, name: str) -> DataFrame:
@@ -85,10 +96,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n
     laid = tape.withColumn("lo", F.col("before")).withColumn("hi", F.col("before") + F.col("size")).drop("before")
     for at in ("lo", "hi"):
         part = selected(at, at)
-        laid = laid.join(F.broadcast(part), (F.col("rank") == F.col(f"{at}r")) & (F.expr(f"{at} div {block}") == F.col(f"{at}b")), "left")
+        laid = laid.join(small(part), (F.col("rank") == F.col(f"{at}r")) & (F.expr(f"{at} div {block}") == F.col(f"{at}b")), "left")
         laid = laid.withColumn(f"{at}_sel", F.coalesce(F.col(f"{at}n") + F.least(F.col(at) % block, F.col(f"{at}t")), F.lit(0)))
     return (
-        laid.join(F.broadcast(per_source.select("rank", "source_size", "target", "passes")), "rank")
+        laid.join(small(per_source.select("rank", "source_size", "target", "passes")), "rank")
         .select("doc_id", *carry, "size", "source_size", F.col("target").cast("double"), (F.col("passes") * F.col("size") + F.col("hi_sel") - F.col("lo_sel")).alias("taken"))
     )
 
