@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from textkiln.functions.text import search_words
 
+#: Asked words up to so many (question, word) rows are broadcast.
+MAX_ASKED = 200_000
+
 
 def scores(docs: DataFrame, questions: DataFrame, cap: int = 5) -> DataFrame:
     """``question_id, doc_id, score`` of documents that share a word: sum of ln(1 + N / (1 + df)) * min(tf, cap).
 
-    Terms are summed as decimals, so that the result doesn't depend on the order of the sum. Only
-    words of a question are exploded from the documents. Document frequency comes from the same counts.
+    Terms are summed as whole billionths, so that the result doesn't depend on the order of the sum. Only
+    words of a question leave the documents, counted where they are. The asked words with their weights, at
+    most ``MAX_ASKED`` rows, go to the documents' counts; those are not shuffled by word.
     """
     asked = questions.select("question_id", F.explode(F.array_distinct(search_words(F.col("text")))).alias("word"))
     words = asked.select("word").distinct()
@@ -22,8 +26,10 @@ def scores(docs: DataFrame, questions: DataFrame, cap: int = 5) -> DataFrame:
         .join(words, "word", "left_semi").groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
     )
     idf = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n)).select("word", F.ln(1 + F.col("n") / (1 + F.col("df"))).alias("idf"))
-    terms = asked.join(idf, "word").join(tf, "word")
-    return terms.groupBy("question_id", "doc_id").agg(F.sum((F.col("idf") * F.least("tf", F.lit(cap))).cast("decimal(28,9)")).alias("score"))
+    weights = asked.join(idf, "word")
+    few = asked.limit(MAX_ASKED + 1).count() <= MAX_ASKED
+    terms = tf.join(F.broadcast(weights) if few else weights, "word")
+    return terms.groupBy("question_id", "doc_id").agg(F.sum(F.round(F.col("idf") * F.least("tf", F.lit(cap)) * 1e9).cast("long")).alias("score"))
 
 
 def top_k(scored: DataFrame, k: int = 5) -> DataFrame:

@@ -147,7 +147,7 @@ def _scores_sql(docs: str) -> str:
  tf AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS word FROM d) WHERE word IN (SELECT word FROM q) GROUP BY ALL),
  idf AS (SELECT word, ln(1 + (SELECT count(*) FROM d) / (1 + count(*))) AS idf FROM tf GROUP BY word)
  SELECT question_id, rank, doc_id FROM (SELECT question_id, doc_id, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank FROM (
-  SELECT question_id, doc_id, sum((idf * least(tf, 5))::DECIMAL(28, 9)) AS score FROM q JOIN idf USING (word) JOIN tf USING (word) GROUP BY ALL)) WHERE rank <= 5)"""
+  SELECT question_id, doc_id, sum(round(idf * least(tf, 5) * 1e9)::BIGINT) AS score FROM q JOIN idf USING (word) JOIN tf USING (word) GROUP BY ALL)) WHERE rank <= 5)"""
 
 
 ORACLE_SQL = {
