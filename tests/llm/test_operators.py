@@ -403,3 +403,17 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, table(spark), sf).columns == table(spark).columns
         assert stage(spark, table(spark, "none"), sf).count() == 0
+
+
+def test_streams_carry_over_small_batches(spark):
+    """Runs and buckets that continue from one Arrow batch to the next."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        test_line_across_partitions(spark)
+        test_simhash_links_at_four_bits(spark)
+        test_suffix_dedup_of_periodic_and_shifted_texts(spark)
+        test_suffix_dedup(fixture_docs(spark).limit(40))
+    finally:
+        spark.conf.set(key, held)
