@@ -383,3 +383,40 @@ def classify(title: str, text: str, measures: dict[str, int]) -> str:
     if measures["links"] >= 3 and measures["content"] < 5 and measures["free_chars"] < 300:
         return "navigation"
     return "content"
+
+
+#: Classes of decoration in forum posts.
+POST_CHROME = frozenset(("emoji", "mention", "avatar", "anchor"))
+
+
+def clean_post(root: Node) -> Node:
+    """A forum post without decoration, author lines and small icons; lightbox links become their full image."""
+    def small(n: Node) -> bool:
+        w, h = n.attrs.get("width", ""), n.attrs.get("height", "")
+        return n.tag == "img" and not n.attrs.get("alt") and w.isdigit() and h.isdigit() and int(w) <= 32 and int(h) <= 32
+
+    def author(n: Node) -> bool:
+        return n.tag == "p" and re.match(r"(?:co[ -]?authors?|authors?|written by|posted by)\s*:", n.strings(), re.I) is not None
+
+    remove(root, lambda n: bool(POST_CHROME & set(n.classes())) or n.tag in ("script", "style", "button", "form", "iframe") or small(n) or author(n) or "data-user-id" in n.attrs)
+    for n in list(root.walk()):
+        if n.tag == "a" and "lightbox" in n.classes() and n.attrs.get("href") and (image := n.find("img")):
+            image.attrs["src"] = n.attrs["href"]
+            n.tag, n.attrs = "span", {}
+    return root
+
+
+def image_urls(html: str, base_url: str) -> list[str]:
+    """Sorted absolute URLs of a page's images."""
+    found = {n.attrs.get("src") or n.attrs.get("data-src") for n in parse(html).walk() if n.tag == "img"}
+    return sorted(urljoin(base_url, u) for u in found if u)
+
+
+def cut_at_heading(root: Node, title: str) -> Node:
+    """Everything from the heading with this text on goes, within the heading's parent."""
+    for n in root.walk():
+        if re.fullmatch("h[1-6]", n.tag) and n.strings().lower() == title.lower() and n.parent is not None:
+            at = next(i for i, c in enumerate(n.parent.children) if c is n)
+            n.parent.children = n.parent.children[:at]
+            break
+    return root

@@ -44,6 +44,9 @@ register(Extractor("marketing", drop=lambda n: any(k in " ".join(n.classes()) fo
 register(Extractor("article", drop=lambda n: n.tag in ("nav", "header", "footer", "button") or n.text().strip().lower() == "select service"))
 
 
+register(Extractor("post", container=H.clean_post))
+
+
 def render_page(page_id: int, url: str | None, html: str | None, extractor: Extractor = DEFAULT) -> tuple:
     try:
         root = H.parse(html or "")
@@ -162,3 +165,16 @@ def stable_json(value: object) -> bytes:
 
 def digest(value: object) -> str:
     return hashlib.sha256(stable_json(value)).hexdigest()
+
+
+def request_hashes(rows: DataFrame, key: str) -> DataFrame:
+    """``key, sha256`` of each row's compact JSON with sorted keys, characters unescaped."""
+    import json
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            bodies = [json.dumps(json.loads(j), ensure_ascii=False, sort_keys=True, separators=(",", ":")) for j in f["j"]]
+            yield pd.DataFrame({"k": f["k"], "sha256": [hashlib.sha256(b.encode()).hexdigest() for b in bodies]})
+
+    body = F.to_json(F.struct(*[c for c in rows.columns if c != key]))
+    return rows.select(F.col(key).cast("string").alias("k"), body.alias("j")).mapInPandas(run, "k string, sha256 string").withColumnRenamed("k", key)

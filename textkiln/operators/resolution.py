@@ -138,3 +138,20 @@ def corpus_digest(files: DataFrame) -> DataFrame:
     each = files.select("path", "sha256", F.substring(F.sha2("path", 256), 1, 4).alias("bucket"))
     by = each.groupBy("bucket").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "sha256"))), lambda x: F.concat(x["path"], F.lit("\t"), x["sha256"])), "\n"), 256).alias("h"))
     return by.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda x: F.concat(x["bucket"], F.lit("\t"), x["h"])), "\n"), 256).alias("digest"))
+
+
+def pack_units(rows: DataFrame, group: str, unit: str, size: str, most: int, most_rows: int) -> DataFrame:
+    """``group, unit, size, bin``: rows of a unit stay together (pairs of before and after), units are packed in order."""
+    units = rows.groupBy(group, unit).agg(F.sum(size).cast("long").alias(size))
+    return pack(units, group, unit, size, most, most_rows)
+
+
+def fetch_order(items: DataFrame) -> DataFrame:
+    """``id, place``: required first, then tagged, newest (largest) id first."""
+    w = Window.partitionBy(F.lit(0)).orderBy(F.col("required").desc(), F.col("tagged").desc(), F.col("id").desc())
+    return items.select("id", F.row_number().over(w).alias("place"))
+
+
+def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows that two runs don't share, with multiplicity: ``side`` first or second. None if a rerun repeats the first run."""
+    return a.exceptAll(b).withColumn("side", F.lit("first")).unionByName(b.exceptAll(a).withColumn("side", F.lit("second")))

@@ -178,10 +178,31 @@ def corpus_digests(spark, sf):
     return R.corpus_digest(table(spark, sf, "documents").select(F.concat(F.lit("content/"), "doc_id", F.lit("/index.md")).alias("path"), F.sha2("text", 256).alias("sha256")))
 
 
+def unit_packing(spark, sf):
+    """Line items of an order stay together; orders of a customer are packed."""
+    l = table(spark, sf, "lineitem").join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").select("o_custkey", "l_orderkey", F.col("l_quantity").cast("long").alias("size"))
+    return R.pack_units(l, "o_custkey", "l_orderkey", "size", 200, 3)
+
+
+_UNITS_SQL = """WITH RECURSIVE o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY l_orderkey) AS i FROM (SELECT o_custkey, l_orderkey, sum(l_quantity::BIGINT)::BIGINT AS size FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL)),
+r AS (SELECT o_custkey, l_orderkey, size, i, 0::BIGINT AS bin, size AS s, 1 AS n FROM o WHERE i = 1
+ UNION ALL SELECT o.o_custkey, o.l_orderkey, o.size, o.i, r.bin + (r.s + o.size > 200 OR r.n >= 3)::INT, CASE WHEN r.s + o.size > 200 OR r.n >= 3 THEN o.size ELSE r.s + o.size END, CASE WHEN r.s + o.size > 200 OR r.n >= 3 THEN 1 ELSE r.n + 1 END
+ FROM r JOIN o ON o.o_custkey = r.o_custkey AND o.i = r.i + 1)
+SELECT o_custkey, l_orderkey, size, bin FROM r"""
+
+
+def rerun_difference(spark, sf):
+    """A second run that lost one document and doubled another."""
+    d = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    return R.same_rows(d, d.where("doc_id != 5").unionByName(d.where("doc_id = 7")))
+
+
 QUERIES = {f.__name__: f for f in (
     link_closure, alias_resolution, link_discovery, api_resolution, strongest_ledgers, earliest_observation, question_documents, batch_packing, fact_groups, usage_rollup,
-    running_offsets, projected_ranges, interval_containment, first_turn_only, document_tags, related_last_wins, listing_differences, corpus_digests)}
+    running_offsets, projected_ranges, interval_containment, first_turn_only, document_tags, related_last_wins, listing_differences, corpus_digests, unit_packing, rerun_difference)}
 ORACLE_SQL = {
+    "unit_packing": _UNITS_SQL,
+    "rerun_difference": "SELECT doc_id, sha256(text) AS sha256, CASE WHEN doc_id = 5 THEN 'first' ELSE 'second' END AS side FROM documents WHERE doc_id IN (5, 7)",
     "link_closure": _CLOSURE_SQL,
     "alias_resolution": _ALIAS_SQL,
     "link_discovery": _DISCOVERY_SQL,
