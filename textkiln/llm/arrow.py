@@ -1,10 +1,24 @@
-"""Small record batches, so that a worker holds few texts at once."""
+"""Small record batches, so that the JVM and a worker hold few texts at once."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+#: Bytes of a batch between the JVM and a Python worker.
+BATCH = "8m"
+_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT = (None, "67108864b", "64m", "67108864")
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``; its session's batches are set to ``BATCH`` unless a size was chosen. A lazy result needs this when it runs."""
+    conf = df.sparkSession.conf
+    if conf.get(_KEY, None) in _DEFAULT:
+        conf.set(_KEY, BATCH)
+    return df
 
 
 def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textkiln.llm.arrow import bounded, small
+
 DIMS = 1 << 14
 #: Bound of the fitted sample: at most about this many texts of each language.
 PER_LANGUAGE = 400
@@ -88,7 +90,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Documents that hold each column, and documents with a letter, over all rows of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(DIMS, np.int64), 0
-        for b in batches:
+        for b in small(batches):
             for t in b["text"].to_pylist():
                 if t and (g := _grams(t)) is not None:
                     df += g > 0
@@ -96,7 +98,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(df[at], n))], ["gram", "n"])
 
-    sums = docs.select("text").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # at most DIMS + 1 rows
+    sums = bounded(docs).select("text").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # at most DIMS + 1 rows
     df, n = np.zeros(DIMS, np.int64), 0
     for r in sums:
         if r["gram"] < 0:
@@ -117,7 +119,7 @@ def _sample(docs: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, n
     rate = F.element_at(F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, per_language / n))]), F.col("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             rows = [(lang, g, h) for lang, t, h in zip(b["lang"].to_pylist(), b["text"].to_pylist(), b["h"].to_pylist()) if t and (g := _grams(t)) is not None]
             at = [np.flatnonzero(g) for _, g, _ in rows]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())), pa.array([r[1][a].astype(np.int32) for r, a in zip(rows, at)], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.int64())], ["lang", "at", "n", "h"])
@@ -189,11 +191,11 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
     """``keep`` columns, ``lang_pred`` and ``score`` of every row; only ``text`` is looked at."""
     from pyspark.sql import types as T
 
-    rows = docs.select(*keep, F.col("text").alias("__text"))
+    rows = bounded(docs).select(*keep, F.col("text").alias("__text"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             said, score = [], []
             for t in b["__text"].to_pylist():
                 g = _grams(t) if t and model else None

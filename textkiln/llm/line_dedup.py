@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textkiln.llm.arrow import bounded, small
 from textkiln.llm.tables import written
 
 LEAST = 10
@@ -38,7 +39,7 @@ def _text_key() -> Column:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         keys, ds, rids, at = [], [], [], []
         for d, rid, text in zip(b["d"].to_pylist(), b["rid"].to_pylist(), b["text"].cast(pa.binary()).to_pylist()):
             for i, line in enumerate((text or b"").split(b"\n")):
@@ -136,21 +137,21 @@ def kept_lines(text: bytes | None, bitmap: bytes | None, upto: int | None) -> tu
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the dropped lines removed from ``text``; texts that lose nothing stay as they are, null included."""
-    @F.pandas_udf("string")
-    def cut(text, bitmap, upto):
-        import pandas as pd
+    schema = docs.schema
 
-        return pd.Series([t if b is None else kept_lines(t.encode(), b, int(u))[2].decode() for t, b, u in zip(text, bitmap, upto)], dtype=object)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            texts = [t if m is None else kept_lines(t.encode(), m, u)[2].decode() for t, m, u in zip(b["text"].to_pylist(), b["__bitmap"].to_pylist(), b["__upto"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if f == "text" else b[f] for f in schema.names], schema.names)
 
-    marked = with_bitmaps(docs)
-    return marked.withColumn("text", F.when(F.col("__bitmap").isNull(), F.col("text")).otherwise(cut("text", "__bitmap", "__upto"))).select(*docs.columns)
+    return with_bitmaps(bounded(docs)).mapInArrow(cut, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept_sha256`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             rows = [kept_lines(*x) for x in zip(b["text"].cast(pa.binary()).to_pylist(), b["__bitmap"].to_pylist(), b["__upto"].to_pylist())]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([hashlib.sha256(r[2]).hexdigest() for r in rows], pa.string())], ["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
-    return with_bitmaps(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    return with_bitmaps(bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.llm.arrow import small
+from textkiln.llm.arrow import bounded, small
 from textkiln.llm.tables import dropped, written
 
 WINDOW = 50
@@ -442,7 +442,7 @@ def removed_windows(rows: DataFrame) -> DataFrame:
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """``d`` (doc_id; null: the largest long), ``n_bytes, n_removed, n_spans, kept`` (bytes) of every row."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(bounded(docs).sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = named.select("d", F.octet_length("text").cast("long").alias("n"), F.unhex(F.sha2("text", 256)).alias("digest"), "text")
     # ranges of (digest, d) spread a text with many copies over partitions

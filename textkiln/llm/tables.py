@@ -11,12 +11,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: While a table is written: its job's shuffle files go afterwards, since nothing reads them again, and
-#: batches for Python workers stay small.
+from textkiln.llm.arrow import bounded
+
+#: While a table is written: its job's shuffle files go afterwards, since nothing reads them again.
 _SETTINGS = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
@@ -38,7 +38,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     try:
         for k, v in _SETTINGS.items():
             spark.conf.set(k, v)
-        df.write.parquet(path)
+        bounded(df).write.parquet(path)
     finally:
         for k, v in held.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
