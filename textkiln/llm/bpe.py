@@ -27,7 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textkiln.llm.arrow import bounded, small
+
 CACHE_ENTRIES = 300_000
+#: Pieces up to so many bytes are merged with plain lists, longer ones with a heap.
+SHORT = 64
+NEVER = 1 << 62
 #: Characters of a batch that are scanned at once.
 SCAN_CHARS = 1 << 20
 
@@ -158,6 +163,8 @@ class Tokenizer:
         if (r := ranks.get(piece)) is not None:
             return [r]
         n = len(piece)
+        if n <= SHORT:
+            return self._merge_short(piece)
         end = list(range(1, n + 1))  # end of the part that starts here
         prev = list(range(-1, n - 1))
         alive = [True] * n
@@ -182,6 +189,20 @@ class Tokenizer:
             i = end[i]
         return out
 
+    def _merge_short(self, piece: bytes) -> list[int]:
+        """The same with plain lists, which is quicker for words."""
+        get, ranks = self.ranks.get, self.ranks
+        cut = list(range(len(piece) + 1))
+        pairs = [get(piece[i:i + 2], NEVER) for i in range(len(piece) - 1)]
+        while pairs and (least := min(pairs)) < NEVER:
+            i = pairs.index(least)
+            del cut[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(piece[cut[i]:cut[i + 2]], NEVER)
+            if i:
+                pairs[i - 1] = get(piece[cut[i - 1]:cut[i + 1]], NEVER)
+        return [ranks[piece[a:b]] for a, b in zip(cut, cut[1:])]
+
     def _missing(self, piece: bytes) -> bytes:
         if len(self.cache) >= CACHE_ENTRIES:
             self.cache.clear()
@@ -241,11 +262,11 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(vocabulary)
-        for b in batches:
+        for b in small(batches):
             ids = tok.encode_batch([t or b"" for t in b[text].cast(pa.binary()).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array([tok.offsets(x).astype(np.int32) for x in ids], pa.list_(pa.int32()))], [*b.schema.names, "ids", "offsets"])
 
-    return docs.mapInArrow(run, schema)
+    return bounded(docs).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
@@ -254,10 +275,10 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(vocabulary)
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([tok.decode(np.asarray(x or [], np.int64)) for x in b[ids].to_pylist()], pa.binary())], [*b.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, schema)
+    return bounded(rows).mapInArrow(run, schema)
 
 
 def roundtrip(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
@@ -267,7 +288,7 @@ def roundtrip(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataF
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(vocabulary)
-        for b in batches:
+        for b in small(batches):
             ids = tok.encode_batch([t or b"" for t in b["text"].cast(pa.binary()).to_pylist()])
             raw = [x.tobytes() for x in ids]
             columns = {
@@ -281,4 +302,4 @@ def roundtrip(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataF
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
