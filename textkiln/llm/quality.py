@@ -82,7 +82,11 @@ def _repeated_words(w: Column) -> Column:
 def features(text: Column) -> Column:
     """A struct of counts and ratios of one text."""
     t = F.coalesce(text, F.lit(""))
-    stops = F.array(*[F.lit(x) for x in sorted(set(STOP_WORDS))])
+    stops = sorted(set(STOP_WORDS))
+
+    def count_of(chars: str) -> Column:
+        """How often any of some characters occurs."""
+        return sum((F.length(t) - F.length(F.replace(t, F.lit(c), F.lit(""))) for c in chars), F.lit(0)).cast("long")
 
     def counts(w: Column) -> Column:
         lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
@@ -90,12 +94,12 @@ def features(text: Column) -> Column:
         return F.struct(
             n.alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+            count_of("#*$%&|<>").alias("n_symbols"),
             F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long").alias("n_dup_lines"),
             F.size(lines).cast("long").alias("n_lines"),
             F.size(F.filter(lines, lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…"))).cast("long").alias("n_ellipsis_lines"),
-            (F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))).cast("long").alias("n_exclamations"),
-            F.size(F.filter(w, lambda x: F.array_contains(stops, F.lower(x)))).cast("long").alias("n_stop_words"),
+            count_of("!").alias("n_exclamations"),
+            F.size(F.filter(w, lambda x: F.lower(x).isin(*stops))).cast("long").alias("n_stop_words"),
             _repeated_words(w).alias("n_repeat_words"),
         )
 
