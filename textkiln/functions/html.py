@@ -324,8 +324,12 @@ class Emitter:
 
 
 def normalized(body: str) -> str:
-    value = "\n".join(x.rstrip() for x in body.replace("\r\n", "\n").replace("\r", "\n").splitlines())
-    return re.sub(r"\n{3,}", "\n\n", value).strip() + "\n"
+    """Lines without blanks at their ends, no two empty ones in a row, none at either end, one final line feed."""
+    out: list[str] = []
+    for line in map(str.rstrip, body.splitlines()):
+        if line or (out and out[-1]):
+            out.append(line)
+    return "\n".join(out).strip() + "\n"
 
 
 def render(root: Node, base_url: str) -> tuple[str, list[dict[str, str]]]:
