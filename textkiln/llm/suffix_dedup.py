@@ -27,7 +27,6 @@ doc_id counts as the largest. Texts shorter than a window stay whole. Long texts
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
