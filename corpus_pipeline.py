@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from textkiln.llm.bpe import roundtrip
 from textkiln.llm.line_dedup import dedup_lines
 from textkiln.llm.mixing import mixed_documents
+from textkiln.llm.near_copies import keep_one_of_near_copies
 from textkiln.llm.quality import quality_filter
-from textkiln.llm.simhash import keep_one
 from textkiln.llm.tables import written
 
 
@@ -24,8 +24,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group of near copies."""
-    return keep_one(docs)
+    """One document, the smallest doc_id, of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return keep_one_of_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
