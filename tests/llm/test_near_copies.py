@@ -61,3 +61,15 @@ def test_stage_keeps_one_of_each_group(spark, docs, frequent, monkeypatch):
     out = corpus_pipeline.simhash_near_dedup(spark, docs, "")
     assert out.columns == docs.columns
     assert {r["doc_id"] for r in out.collect()} - {None} == want
+
+
+def test_repeated_rows_and_null_ids_leave_one_row(spark):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    a, b, c = (" ".join(f"w{rng.randrange(5000)}" for _ in range(80)) for _ in range(3))
+    rows = [(1, a, "s"), (1, a, "s"), (1, a, "t"), (1, a + " end", "s"), (2, a, "s"), (None, a, "s"), (None, b, "s"), (None, b, "s"), (None, b + " end", "t"), (3, c, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = [(r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()]
+    assert len(out) == 3 and set(out) <= set(rows)
+    assert sorted(d or 0 for d, _, _ in out) == [0, 1, 3]

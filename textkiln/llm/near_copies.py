@@ -167,6 +167,7 @@ def near_copy_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_near_copies(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with the smallest doc_id of each group of near copies, all columns kept."""
-    kept = near_copy_groups(docs).groupBy("group").agg(F.min("doc_id").alias("__id")).select("__id").distinct()
-    return docs.join(written(kept, "near-keep"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    """One row of ``docs`` for each group of near copies, all columns kept: of the smallest doc_id, and of its rows the one of least hash. Nulls come last."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash"))
+    kept = written(near_copy_groups(docs).groupBy("group").agg(first.alias("k")).select(F.col("k.row_hash").alias("__row_hash")), "near-keep")
+    return docs.withColumn("__row_hash", F.xxhash64(*docs.columns)).join(kept, "__row_hash", "left_semi").dropDuplicates(["__row_hash"]).select(*docs.columns)
