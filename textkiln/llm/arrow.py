@@ -7,17 +7,20 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Bytes of a batch between the JVM and a Python worker.
-BATCH = "8m"
-_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of a batch between the JVM and a Python worker; set, and put back, while a table is written.
+SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _DEFAULT = (None, "67108864b", "64m", "67108864")
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """``df``; its session's batches are set to ``BATCH`` unless a size was chosen. A lazy result needs this when it runs."""
+    """``df`` of a session whose batches are as small, unless it has chosen a size.
+
+    A lazy result over texts is made when its reader asks, so its session keeps the setting: a plan can't carry it.
+    """
     conf = df.sparkSession.conf
-    if conf.get(_KEY, None) in _DEFAULT:
-        conf.set(_KEY, BATCH)
+    for k, v in SETTINGS.items():
+        if conf.get(k, None) in _DEFAULT:
+            conf.set(k, v)
     return df
 
 
