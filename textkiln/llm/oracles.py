@@ -52,20 +52,21 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(
 """
 
 OP6 = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
-SELECT query_id, rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s) WHERE rank <= 5
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS ar, b.r AS br, a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.q) = len(b.q))
+SELECT query_id, rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, br)::INT AS rank FROM s) WHERE rank <= 5
 """
 
 
-def op10(listed_hosts: tuple[str, ...]) -> str:
-    """``listed_hosts``: entries that list a whole host (``host/``)."""
-    hosts = [h.rstrip("/") for h in listed_hosts]
+def op10(lures: list[str], places: list[str], tops: list[str]) -> str:
+    """``lures-places.example.tops``: the listed hosts."""
     fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
     rules = [("www.example.com", "/en/", "allow"), ("example.com", "/en/", "block"), ("net", "/es/", "block"), ("net", "/fr/", "block"), ("com", "/", "allow")]
     return f"""
 WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UP}', '{_LOW}') AS host, regexp_extract(substring(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u)
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UP}', '{_LOW}') AS host, regexp_extract(substring(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+listed AS (SELECT a || '-' || b || '.example.' || c AS name FROM unnest({lures}) t(a), unnest({places}) u(b), unnest({tops}) v(c)),
+bad AS (SELECT DISTINCT host FROM h WHERE EXISTS (SELECT 1 FROM listed WHERE host = name OR ends_with(host, '.' || name)))
 SELECT page_id, host, path, CASE {' '.join(f"WHEN {fits(x, p)} THEN '{x}{p}'" for x, p, _ in rules)} END AS rule,
- CASE {' '.join(f"WHEN {fits(x, p)} THEN '{v}'" for x, p, v in rules)} WHEN {' OR '.join(f"host = '{x}' OR ends_with(host, '.{x}')" for x in hosts)} THEN 'block' ELSE 'allow' END AS verdict FROM h
+ CASE {' '.join(f"WHEN {fits(x, p)} THEN '{v}'" for x, p, v in rules)} WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END AS verdict FROM h
 """

@@ -55,8 +55,10 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     import public_tokenizers
 
-    from textkiln.llm.bpe import roundtrip
+    from textkiln.llm.bpe import PATTERN, roundtrip
 
+    if public_tokenizers.PATTERN != PATTERN:
+        raise ValueError("the tokenizers split by another pattern")
     return roundtrip(_read(spark, sf_dir, "documents"), vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
@@ -76,15 +78,24 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-#: Listed canonical URLs: whole hosts of link farms, advertising and adult pages. A production list is a table of the same column.
-LISTED_URLS = tuple(f"{name}.example.{top}/" for name in ("ads-track", "adult-x", "spam-farm") for top in ("com", "net", "org"))
+#: The rule of the listed hosts: advertising, gambling, adult, pharmacy and link-farm sites are named by a lure and a place, below every name of ``TOPS``.
+LURES = "ads adult bet bonus casino cheap clicks coin crypto diet dating escort fake free gold hack jackpot loan lotto lucky pills poker porn prize promo slots spam spy trade win".split()
+PLACES = "bets bonus cash chat club deals farm feed games hub link loans market offers online pills play pop pro rush shop spin store stream track traffic win x zone xxx".split()
+TOPS = "biz com info net org".split()
+
+
+def listed_urls(spark: SparkSession) -> DataFrame:
+    """``canonical_url``: 4,500 hosts made by the rule. A production list is a table of the same column."""
+    word = lambda words, i: F.element_at(F.array(*[F.lit(w) for w in words]), (i + 1).cast("int"))
+    n = F.col("id")
+    name = F.concat(word(LURES, n % len(LURES)), F.lit("-"), word(PLACES, F.floor(n / len(LURES)) % len(PLACES)), F.lit(".example."), word(TOPS, F.floor(n / (len(LURES) * len(PLACES)))), F.lit("/"))
+    return spark.range(len(LURES) * len(PLACES) * len(TOPS)).select(name.alias("canonical_url"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textkiln.llm.url_filter import judge_urls
 
-    listed = spark.createDataFrame([(u,) for u in LISTED_URLS], "canonical_url string")
-    return judge_urls(_read(spark, sf_dir, "pages"), listed)
+    return judge_urls(_read(spark, sf_dir, "pages"), listed_urls(spark))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix_sources, op3_line_dedup, op4_simhash, op5_suffix_dedup, op6_exact_topk, op7_byte_bpe, op8_language_id, op9_sharding, op10_url_filter)}
@@ -92,5 +103,5 @@ QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix_sources, op3_line_
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": oracles.OP1, "op2_mix_sources": oracles.OP2, "op3_line_dedup": oracles.OP3, "op6_exact_topk": oracles.OP6,
-    "op10_url_filter": oracles.op10(LISTED_URLS),
+    "op10_url_filter": oracles.op10(LURES, PLACES, TOPS),
 }

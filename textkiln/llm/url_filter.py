@@ -2,7 +2,8 @@
 
 A listed entry is a canonical URL, ``host/path``. It lists its host and all subdomains, and what lies
 at its path or, if that ends in a slash, below it. A page's URL is looked up by its expressions: every
-label suffix of its host with every leading directory of its path and the whole path.
+label suffix of its host with every leading directory of its path and the whole path, as far as an entry
+of the list is as long.
 
 The filter is a table: one row for each block of 512 bits (eight 64-bit words, one bit set in each
 word for every entry). It is built by one aggregation and probed by an equi-join on the block number,
@@ -66,12 +67,16 @@ def canonical(url: Column) -> Column:
     return F.concat(host, F.when(path == "", F.lit("/")).otherwise(path))
 
 
-def expressions(host: Column, path: Column) -> Column:
-    """Everything a list may hold of a URL: label suffixes of its host, each with the path's leading directories and the whole path."""
-    labels, steps = F.split(host, r"\."), F.split(path, "/")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    above = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(steps) - 1)), lambda n: F.concat(F.array_join(F.slice(steps, F.lit(1), n), "/"), F.lit("/")))
-    paths = F.array_distinct(F.concat(above, F.array(F.when(path == "", F.lit("/")).otherwise(path))))
+def expressions(host: Column, path: Column, labels: int, steps: int) -> Column:
+    """Everything a list may hold of a URL: label suffixes of its host, each with the path's leading directories and the whole path.
+
+    ``labels`` and ``steps``: the most that an entry's host and path have; longer expressions can't be listed.
+    """
+    parts, dirs = F.split(host, r"\."), F.split(path, "/")
+    hosts = F.transform(F.sequence(F.greatest(F.lit(1), F.size(parts) - labels + 1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    above = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.size(dirs), F.lit(steps)) - 1)), lambda n: F.concat(F.array_join(F.slice(dirs, F.lit(1), n), "/"), F.lit("/")))
+    whole = F.when(path == "", F.lit("/")).when(F.size(dirs) <= steps, path)
+    paths = F.array_distinct(F.array_compact(F.concat(above, F.array(whole))))
     return F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p))))
 
 
@@ -110,7 +115,9 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: tuple[HostRule, ...]
     """``page_id, host, path, rule, verdict``. ``listed``: one column of canonical URLs, of any size."""
     key = listed.columns[0]
     keys = written(listed.select(F.col(key).alias("__key")).where("__key is not null and __key != ''").distinct(), "urls-listed")
-    n_blocks = max(1, -(-keys.count() * BITS_PER_KEY // 512))
+    own, way = F.split(F.substring_index("__key", "/", 1), r"\."), F.split("__key", "/")
+    count, labels, steps = keys.agg(F.count(F.lit(1)), F.max(F.size(own)), F.max(F.size(way))).first()
+    n_blocks = max(1, -(-count * BITS_PER_KEY // 512))
     bloom = written(bloom_table(keys, "__key", n_blocks), "urls-bloom")
     host, path = host_path(F.col(url))
     name, verdict = match_rule(F.col("host"), F.col("path"), rules)
@@ -119,7 +126,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: tuple[HostRule, ...]
         .withColumn("rule", name).withColumn("__verdict", verdict), "urls-judged")
     # only URLs that no rule settles ask the list; equal URLs ask once
     asked = judged.where("__verdict is null and host != ''").select("host", "path").distinct()
-    probes = asked.select(F.col("host").alias("__h"), F.col("path").alias("__p"), F.explode(expressions(F.col("host"), F.col("path"))).alias("probe"))
+    probes = asked.select(F.col("host").alias("__h"), F.col("path").alias("__p"), F.explode(expressions(F.col("host"), F.col("path"), labels or 1, steps or 1)).alias("probe"))
     hits = bloom_hits(probes, "probe", bloom, n_blocks)
     exact = hits.join(keys, F.col("probe") == F.col("__key"), "left_semi").select("__h", "__p").distinct().withColumn("__listed", F.lit(True))
     return (
