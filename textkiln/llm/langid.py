@@ -2,7 +2,7 @@
 
 Texts are lower-cased, runs of other characters become one space, and the 1- to 3-grams of code
 points are hashed to ``DIMS`` columns. Document frequencies come from every training document. The
-classifier is fitted on a bounded sample (``PER_LANGUAGE`` texts a language, by hash of the id) with
+classifier is fitted on a bounded sample (``PER_LANGUAGE`` texts a language, least by hash) with
 follow-the-regularised-leader updates and elastic-net (L1 and L2) penalties, whose L1 part leaves a
 sparse weight table. A part of the sample that isn't fitted sets the temperature of the scores.
 
@@ -19,13 +19,13 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.llm.arrow import bounded, small
 
 DIMS = 1 << 14
-#: Bound of the fitted sample: at most about this many texts of each language.
+#: Bound of the fitted sample: at most this many texts of each language, and languages.
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 500
 UNKNOWN = "und"
@@ -109,14 +109,17 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _sample(docs: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, np.ndarray, int]]:
-    """(language, columns, counts, hash of the id) of a hash-chosen, bounded sample."""
-    totals = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(totals) > MAX_LANGUAGES:
+    """(language, columns, counts, hash) of the ``per_language`` texts of each language whose hash of id and text is least; no more, at any size."""
+    first = Window.partitionBy("lang").orderBy("h")
+    keyed = docs.withColumn("h", F.xxhash64(F.lit("langid"), F.col("doc_id").cast("string"), "text"))
+    # tasks send on no more than the first rows of each language
+    ends = keyed.select("lang", "h").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).groupBy("lang").agg(F.max("h").alias("end"))
+    cuts = {r["lang"]: r["end"] for r in ends.limit(MAX_LANGUAGES + 1).collect()}
+    if len(cuts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not totals:
+    if not cuts:
         return []
-    h = F.pmod(F.xxhash64(F.lit("langid"), F.col("doc_id").cast("string")), F.lit(1_000_000))
-    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, per_language / n))]), F.col("lang"))
+    within = F.col("h") <= F.element_at(F.create_map(*[F.lit(x) for kv in cuts.items() for x in kv]), F.col("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -124,7 +127,9 @@ def _sample(docs: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, n
             at = [np.flatnonzero(g) for _, g, _ in rows]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())), pa.array([r[1][a].astype(np.int32) for r, a in zip(rows, at)], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.int64())], ["lang", "at", "n", "h"])
 
-    chosen = docs.withColumn("h", h).where(F.col("h") < rate * 1_000_000).select("lang", "text", "h").mapInArrow(run, "lang string, at array<int>, n array<int>, h long")
+    # equal rows have equal hashes; of those only so many stay
+    chosen = keyed.where(within).select("lang", "text", "h").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("lang", "text", "h")
+    chosen = chosen.mapInArrow(run, "lang string, at array<int>, n array<int>, h long")
     rows = [(r["lang"], np.array(r["at"], np.int64), np.array(r["n"], np.int64), r["h"]) for r in chosen.collect()]
     return sorted(rows, key=lambda r: (r[3], r[0], len(r[1]), r[1].sum()))
 
