@@ -4,8 +4,10 @@
    ``repeats`` times its size and the excess goes to the others by weight.
 2. ``n`` equal blocks of words are seats; the highest quotients ``target / (2 j - 1)`` win. Seats in
    order of quotient are dealt to shards in turn, so every shard has integer quotas.
-3. Each source's documents form a tape in seeded order. A quota of whole passes takes every document
-   as often; for the rest, seeded hashes choose blocks of the tape, the last one in part.
+3. Each source's documents form a tape in seeded order, cut into blocks, and seeded hashes put the blocks
+   in an order of their own, which starts again once it is through. Shard after shard draws as many words
+   from there as its quota comes to, so no block is drawn again before all others were; the last
+   draw of a shard may take a part of a block, whose other part the next shard draws.
 
 Defined results: a null or blank text has size 0 and is never taken; a null source is a source of
 its own, last in order; repeated rows are laid on the tape one by one; no rows give no rows. The
@@ -15,11 +17,11 @@ source; nothing else is held in one place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.llm.prefix import running_totals
-from textkiln.llm.tables import written
+from textkiln.llm.tables import dropped, written
 from textkiln.llm.words import word_count
 
 WEIGHTS = (5, 2, 1)
@@ -59,82 +61,128 @@ def quotas(targets: DataFrame, n_blocks: int, n_shards: int) -> DataFrame:
     return seats.groupBy("rank", ((F.col("seat") - 1) % n_shards).cast("int").alias("shard")).agg(F.count(F.lit(1)).alias("seats"))
 
 
+def _blocks(sources: DataFrame, total: int, n_sources: int, n_shards: int, blocks_per_shard: int) -> tuple[int, int]:
+    """Number of equal blocks, and words of one."""
+    n = n_shards * max(blocks_per_shard, 8 * n_sources)
+    return n, max(1, -(-total // n))
+
+
+def _sources(rows: DataFrame, size: str, weights: tuple[int, ...], repeats: int) -> tuple[DataFrame, int, int]:
+    """The table of sources, their words in all, and their number."""
+    sums = rows.groupBy("source").agg(F.sum(size).alias("source_size"))
+    sources = written(capped_targets(sums, weights, repeats).coalesce(1), "mix-sources")
+    total, n = sources.agg(F.sum("source_size"), F.count(F.lit(1))).first()
+    return sources, int(total or 0), int(n or 0)
+
+
 def quota_table(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n_shards: int = 8, blocks_per_shard: int = 512) -> DataFrame:
     """``source, shard, seats``: how many equal blocks of words each shard gets from each source."""
-    sums = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.sum(word_count(F.col("text"))).alias("source_size"))
-    sources = written(capped_targets(sums, weights, repeats).coalesce(1), "mix-sources")
-    n_blocks = n_shards * max(blocks_per_shard, 8 * sources.count())
+    rows = docs.select(F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    sources, total, n = _sources(rows, "size", weights, repeats)
+    n_blocks, _ = _blocks(sources, total, n, n_shards, blocks_per_shard)
     return quotas(sources, n_blocks, n_shards).join(sources.select("rank", "source"), "rank").select("source", "shard", "seats")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n_shards: int = 8, blocks_per_shard: int = 512, seed: int = 7, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` (and ``carry``): the words of each document that the mix takes."""
-    narrow = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), *carry, word_count(F.col("text")).alias("size"),
-                                 F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key")), "mix-narrow")
-    sums = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
-    sources = written(capped_targets(sums, weights, repeats).coalesce(1), "mix-sources")
-    total, n_sources = sources.agg(F.sum("source_size"), F.count(F.lit(1))).first()
-    total = total or 0
-    n_blocks = n_shards * max(blocks_per_shard, 8 * (n_sources or 0))
-    block = max(1, -(-total // n_blocks))
-    per_source = (
-        sources.join(quotas(sources, n_blocks, n_shards).groupBy("rank").agg(F.sum("seats").alias("seats")), "rank", "left")
-        .withColumn("want", F.least(F.expr(f"coalesce(seats, 0) * {total} div {n_blocks}"), repeats * F.col("source_size")))
-        .withColumn("passes", F.when(F.col("source_size") > 0, F.expr("want div source_size")).otherwise(F.lit(0)).cast("long"))
-        .withColumn("rest", F.col("want") - F.col("passes") * F.col("source_size"))
+def draws(sources: DataFrame, seats: DataFrame, total: int, n_blocks: int, block: int, repeats: int, seed: int) -> DataFrame:
+    """``rank, shard, block, lo, hi``: the words [lo, hi) of each tape block that each shard draws."""
+    along = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    share = lambda n: F.least(F.expr(f"{n} * {total} div {n_blocks}"), repeats * F.col("source_size"))
+    wanted = (
+        seats.withColumn("upto", F.sum("seats").over(along)).withColumn("from_seat", F.col("upto") - F.col("seats"))
+        .join(sources.select("rank", "source_size"), "rank").select("rank", "shard", share("from_seat").alias("w0"), share("upto").alias("w1"))
+    )
+    drawn = Window.partitionBy("rank").orderBy(F.md5(F.concat_ws(":", F.lit(seed), "rank", "block")), "block").rowsBetween(Window.unboundedPreceding, -1)
+    order = (
+        sources.where("source_size > 0")
+        .select("rank", "source_size", F.explode(F.sequence(F.lit(0), F.expr(f"(source_size - 1) div {block}"))).alias("block"))
+        .withColumn("length", F.least(F.lit(block), F.col("source_size") - F.col("block") * block))
+        .withColumn("at", F.coalesce(F.sum("length").over(drawn), F.lit(0)))
+        .select("rank", "block", "length", F.explode(F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), lambda k: F.col("at") + k * F.col("source_size"))).alias("at"))
     )
-    per_source = written(per_source.coalesce(1), "mix-quotas")
-    chosen = written(_chosen_blocks(per_source, block, seed).coalesce(1), "mix-blocks")
-    small = F.broadcast if n_blocks + (n_sources or 0) <= BROADCAST_ROWS else lambda df: df
-    ranked = narrow.join(small(per_source.select("source", "rank")), narrow["source"].eqNullSafe(per_source["source"])).drop(per_source["source"])
-    tape = running_totals(ranked, ["rank", "key", "doc_id", "size"], "size", group="rank", label="mix-tape")
+    # a source has one row a shard here
+    met = order.join(wanted, "rank").where((F.col("w0") < F.col("at") + F.col("length")) & (F.col("w1") > F.col("at")))
+    return met.select("rank", "shard", F.col("block").cast("long").alias("block"), F.greatest(F.lit(0), F.col("w0") - F.col("at")).alias("lo"), F.least(F.col("length"), F.col("w1") - F.col("at")).alias("hi"))
 
-    def selected(at: str, name: str) -> DataFrame:
-        """Selected words of the tape before a position, from the block that holds it."""
-        return chosen.select(F.col("rank").alias(f"{name}r"), F.col("block").alias(f"{name}b"), F.col("before").alias(f"{name}n"), F.col("take").alias(f"{name}t"))
 
-    laid = tape.withColumn("lo", F.col("before")).withColumn("hi", F.col("before") + F.col("size")).drop("before")
+def _laid(docs: DataFrame, weights: tuple[int, ...], repeats: int, n_shards: int, blocks_per_shard: int, seed: int, carry: tuple[str, ...]) -> DataFrame:
+    """``rank, key, doc_id, size, source_size, target, taken`` and ``carry`` of every row."""
+    narrow = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), *carry, word_count(F.col("text")).alias("size"),
+                                 F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key")), "mix-narrow")
+    sources, total, n_sources = _sources(narrow, "size", weights, repeats)
+    n_blocks, block = _blocks(sources, total, n_sources, n_shards, blocks_per_shard)
+    seats = written(quotas(sources, n_blocks, n_shards).coalesce(1), "mix-quotas")
+    pieces = draws(sources, seats, total, n_blocks, block, repeats, seed).groupBy("rank", "block").agg(F.sum(F.col("hi") - F.col("lo")).alias("take"), F.collect_list(F.struct("lo", "hi")).alias("pieces"))
+    # every block of every tape, one past its end too, with what is taken before it
+    along = Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    tape = sources.where("source_size > 0").select("rank", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"source_size div {block}"))).alias("block"))
+    chosen = written(tape.join(pieces, ["rank", "block"], "left").select("rank", "block", "pieces", F.coalesce(F.sum("take").over(along), F.lit(0)).alias("earlier")).coalesce(1), "mix-blocks")
+    small = F.broadcast if n_blocks + n_sources <= BROADCAST_ROWS else lambda df: df
+    ranked = narrow.join(small(sources.select("source", "rank")), narrow["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+    laid = running_totals(ranked, ["rank", "key", "doc_id", "size", *carry], "size", group="rank", label="mix-tape")
+    laid = laid.withColumn("lo", F.col("before")).withColumn("hi", F.col("before") + F.col("size")).drop("before")
     for at in ("lo", "hi"):
-        part = selected(at, at)
-        laid = laid.join(small(part), (F.col("rank") == F.col(f"{at}r")) & (F.expr(f"{at} div {block}") == F.col(f"{at}b")), "left")
-        laid = laid.withColumn(f"{at}_sel", F.coalesce(F.col(f"{at}n") + F.least(F.col(at) % block, F.col(f"{at}t")), F.lit(0)))
+        part = chosen.select(F.col("rank").alias("__r"), F.col("block").alias("__b"), F.col("earlier").alias("__n"), F.col("pieces").alias("__p"))
+        inside = F.aggregate("__p", F.lit(0).cast("long"), lambda a, x: a + F.greatest(F.lit(0), F.least(F.col(at) % block, x["hi"]) - x["lo"]))
+        laid = laid.join(small(part), (F.col("rank") == F.col("__r")) & (F.expr(f"{at} div {block}") == F.col("__b")), "left")
+        laid = laid.withColumn(f"{at}_sel", F.coalesce(F.col("__n") + F.coalesce(inside, F.lit(0)), F.lit(0))).drop("__r", "__b", "__n", "__p")
     return (
-        laid.join(small(per_source.select("rank", "source_size", "target", "passes")), "rank")
-        .select("doc_id", *carry, "size", "source_size", F.col("target").cast("double"), (F.col("passes") * F.col("size") + F.col("hi_sel") - F.col("lo_sel")).alias("taken"))
+        laid.join(small(sources.select("rank", "source_size", "target")), "rank")
+        .select("rank", "key", "doc_id", *carry, "size", "source_size", F.col("target").cast("double"), (F.col("hi_sel") - F.col("lo_sel")).alias("taken"))
     )
 
 
-def _chosen_blocks(per_source: DataFrame, block: int, seed: int) -> DataFrame:
-    """``rank, block, before, take``: every block of every tape (one past its end too), with what is taken of it and before it."""
-    tape = (
-        per_source.where("source_size > 0")
-        .select("rank", "rest", "source_size", F.explode(F.sequence(F.lit(0), F.expr(f"source_size div {block}"))).alias("block"))
-        .withColumn("length", F.least(F.lit(block), F.col("source_size") - F.col("block") * block))
-        .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "rank", "block")))
-    )
-    drawn = Window.partitionBy("rank").orderBy("key", "block").rowsBetween(Window.unboundedPreceding, -1)
-    along = Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        tape.withColumn("take", F.greatest(F.lit(0), F.least(F.col("length"), F.col("rest") - F.coalesce(F.sum("length").over(drawn), F.lit(0)))))
-        .select("rank", F.col("block").cast("long").alias("block"), F.coalesce(F.sum("take").over(along), F.lit(0)).alias("before"), "take")
-    )
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n_shards: int = 8, blocks_per_shard: int = 512, seed: int = 7) -> DataFrame:
+    """``doc_id, size, source_size, target, taken``: the words of each document that the mix takes."""
+    return _laid(docs, weights, repeats, n_shards, blocks_per_shard, seed, ()).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix repeats them: each row as often as its taken words come to, to the nearest whole.
+#: Documents that a source may add, one after another, to come closer to its words once remainders are dealt.
+FILLS = 3
 
-    Rows that agree in doc_id, source and text share what is taken of them evenly.
+
+def document_copies(docs: DataFrame, repeats: int = 3, **options) -> DataFrame:
+    """``doc_id, row_key, copies``: how often the mix repeats each document, as whole documents.
+
+    A document has as many copies as its taken words fill. The words left over in a source are dealt by largest
+    remainder: documents whose last copy is most complete get it, as far as the words go; then up to ``FILLS``
+    documents whose size comes closest to what is still missing, each if it brings the source nearer to its words.
+    Rows that agree in doc_id, source and text are one document, repeated together.
     """
-    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    takes = mix(docs.withColumn("__text", text_hash).select("doc_id", "source", "text", "__text"), carry=("__text",), **options)
-    copies = (
-        takes.where("taken > 0").groupBy("doc_id", "__text")
-        .agg(F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("__copies"))
-        .where("__copies > 0").select(F.col("doc_id").alias("__id"), F.col("__text").alias("__key"), "__copies")
-    )
-    copies = written(copies, "mix-copies")
+    options = {"weights": WEIGHTS, "n_shards": 8, "blocks_per_shard": 512, "seed": 7, **options}
+    rows = docs.select("doc_id", "source", "text", _row_key().alias("row_key"))
+    units = written(
+        _laid(rows, repeats=repeats, carry=("row_key",), **options).where("size > 0")
+        .groupBy("rank", "key", "doc_id", "row_key").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
+        .selectExpr("rank", "key", "doc_id", "row_key", "size", "taken div size as copies", "taken % size as over", "-(taken % size) / size as least"), "mix-units")
+    left = units.groupBy("rank").agg(F.sum("over").alias("left"))
+    dealt = running_totals(units, ["rank", "least", "key", "doc_id", "row_key"], "size", group="rank", label="mix-dealt").join(left, "rank")
+    more = (F.col("before") + F.col("size") <= F.col("left")) & (F.col("over") > 0)
+    now = written(dealt.select("rank", "key", "doc_id", "row_key", "size", "over", (F.col("copies") + more.cast("int")).alias("copies"), F.when(more, F.col("size")).otherwise(0).alias("given")), "mix-dealt-out")
+    for i in range(FILLS):
+        gap = now.groupBy("rank").agg((F.sum("over") - F.sum("given")).alias("gap")).where("gap > 0")
+        near = now.where(F.col("copies") < repeats).join(gap, "rank").where("size < 2 * gap")
+        # one row a source
+        best = near.groupBy("rank").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "key", F.col("doc_id"), F.col("row_key"))).alias("b"))
+        best = best.select("rank", F.col("b.key").alias("__k"), F.col("b.doc_id").alias("__d"), F.col("b.row_key").alias("__t"))
+        joined = now.join(best, "rank", "left")
+        hit = F.coalesce((F.col("key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("row_key") == F.col("__t")), F.lit(False))
+        nxt = written(joined.select("rank", "key", "doc_id", "row_key", "size", "over", (F.col("copies") + hit.cast("int")).alias("copies"), (F.col("given") + F.when(hit, F.col("size")).otherwise(0)).alias("given")), f"mix-filled-{i}")
+        dropped(now)
+        now = nxt
+    dropped(units)
+    return now.select("doc_id", "row_key", "copies")
+
+
+def _row_key() -> Column:
+    """Of the row's source and text."""
+    return F.xxhash64(F.col("source").cast("string"), F.coalesce(F.col("text"), F.lit("")))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as the mix repeats them: each row as often as ``document_copies`` says, all columns kept."""
+    copies = document_copies(docs, **options).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), F.col("copies").cast("int").alias("__copies"))
     return (
-        docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_hash == F.col("__key")))
+        docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")) & (_row_key() == F.col("__key")))
         .withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
         .select(*docs.columns)
     )
