@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 
 from textkiln.llm.arrow import bounded, small
 
+#: Fixed value: the pre-tokenisation that the classes and states below express.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHE_ENTRIES = 300_000
 #: Pieces up to so many bytes are merged with plain lists, longer ones with a heap.
 SHORT = 64
@@ -149,11 +151,10 @@ def boundaries(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Tokenizer:
-    """Ranks from a file of ``base64 rank`` lines."""
+    """Ranks from lines of ``base64 rank``."""
 
-    def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
+    def __init__(self, lines: bytes):
+        self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines.splitlines() if x.strip())}
         self.vocabulary = {v: k for k, v in self.ranks.items()}
         self.cache: dict[bytes, bytes] = {}
 
@@ -251,17 +252,24 @@ class Tokenizer:
 
 
 @lru_cache(2)
-def tokenizer(path: str) -> Tokenizer:
-    """One for each Python worker and file."""
-    return Tokenizer(path)
+def tokenizer(lines: bytes) -> Tokenizer:
+    """One for each Python worker and vocabulary."""
+    return Tokenizer(lines)
+
+
+def vocabulary_lines(path: str) -> bytes:
+    """A vocabulary file, read by the driver; tasks get its bytes (about a megabyte) and need no such path."""
+    with open(path, "rb") as f:
+        return f.read()
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """``docs`` plus ``ids`` (array<int>) and ``offsets`` (array<int>, one more than ids)."""
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("offsets", T.ArrayType(T.IntegerType()))])
+    lines = vocabulary_lines(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(vocabulary)
+        tok = tokenizer(lines)
         for b in small(batches):
             ids = tok.encode_batch([t or b"" for t in b[text].cast(pa.binary()).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array([tok.offsets(x).astype(np.int32) for x in ids], pa.list_(pa.int32()))], [*b.schema.names, "ids", "offsets"])
@@ -272,9 +280,10 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 def decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
     """``rows`` plus ``decoded`` (binary)."""
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
+    lines = vocabulary_lines(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(vocabulary)
+        tok = tokenizer(lines)
         for b in small(batches):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([tok.decode(np.asarray(x or [], np.int64)) for x in b[ids].to_pylist()], pa.binary())], [*b.schema.names, "decoded"])
 
@@ -286,8 +295,10 @@ def roundtrip(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataF
 
     ``with_ids`` adds ``ids``: the ids as little-endian unsigned 32-bit integers.
     """
+    lines = vocabulary_lines(vocabulary)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(vocabulary)
+        tok = tokenizer(lines)
         for b in small(batches):
             ids = tok.encode_batch([t or b"" for t in b["text"].cast(pa.binary()).to_pylist()])
             raw = [x.tobytes() for x in ids]
