@@ -42,15 +42,11 @@ def test_quality(docs):
     assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in got)
 
 
-def test_mixing(docs):
-    from textkiln.llm.mixing import mix, mixed_documents
-
-    got = mix(docs).collect()
-    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((d, len(WORD.findall(t or ""))) for d, t in pairs(docs))
-    assert all(0 <= r["taken"] <= 3 * r["size"] for r in got)
-    sizes, taken = defaultdict(int), defaultdict(int)
-    for r in docs.select("source", "text").collect():
-        sizes[r["source"]] += len(WORD.findall(r["text"] or ""))
+def source_targets(rows):
+    """Words and capped target of each source, from (source, text)."""
+    sizes = defaultdict(int)
+    for source, t in rows:
+        sizes[source] += len(WORD.findall(t or ""))
     order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     w = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
     total, free, target = sum(sizes.values()), set(order), {}
@@ -63,6 +59,17 @@ def test_mixing(docs):
             break
         target |= {s: 3.0 * sizes[s] for s in over}
         free -= over
+    return order, sizes, target
+
+
+def test_mixing(docs):
+    from textkiln.llm.mixing import mix, mixed_documents
+
+    got = mix(docs).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((d, len(WORD.findall(t or ""))) for d, t in pairs(docs))
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    order, sizes, target = source_targets([(r["source"], r["text"]) for r in docs.select("source", "text").collect()])
+    total, taken = sum(sizes.values()), defaultdict(int)
     by = defaultdict(set)
     for r in got:
         by[(r["source_size"], round(r["target"], 6))].add(r["doc_id"])
@@ -75,6 +82,64 @@ def test_mixing(docs):
     assert mixed_documents(docs).columns == docs.columns
 
 
+def test_mixed_documents_meet_the_targets(spark):
+    """Whole documents only, and yet every source comes within 2 % of its words, or within its smallest document."""
+    from textkiln.llm.mixing import mixed_documents
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    _, sizes, target = source_targets([(r["source"], r["text"]) for r in docs.select("source", "text").collect()])
+    rows = [(r["doc_id"], r["source"], len(WORD.findall(r["text"] or ""))) for r in mixed_documents(docs).select("doc_id", "source", "text").collect()]
+    taken = defaultdict(int)
+    for _, s, n in rows:
+        taken[s] += n
+    least = defaultdict(lambda: 1 << 40)
+    for r in docs.select("source", "text").collect():
+        if n := len(WORD.findall(r["text"] or "")):
+            least[r["source"]] = min(n, least[r["source"]])
+    assert max(Counter(d for d, _, _ in rows).values()) <= 3
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= max(0.02 * t, least[s]), (s, taken[s], t)
+
+
+def test_repeated_rows_are_mixed_together(spark):
+    """Rows that agree in all but one other column, rows with one id and size, null sources and ids."""
+    from textkiln.llm.mixing import mixed_documents
+
+    text = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = [(1, text(1, 40), "a", "x"), (1, text(1, 40), "a", "y"), (1, text(2, 40), "a", "x"), (1, text(1, 40), "b", "x"), (None, text(3, 50), None, "x"), (2, text(4, 300), "c", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
+    out = Counter(map(tuple, mixed_documents(docs).collect()))
+    assert set(out) <= set(rows) and max(out.values()) <= 3
+    assert out[rows[0]] == out[rows[1]]
+    assert out == Counter(map(tuple, mixed_documents(docs).collect()))
+
+
+def test_shards_draw_their_quotas(spark):
+    """Words that shards draw come to their seats, no block twice before all others once."""
+    from textkiln.llm import mixing as M
+
+    docs = fixture_docs(spark)
+    rows = docs.select(F.col("source").cast("string").alias("source"), M.word_count(F.col("text")).alias("size"))
+    sources, total, n = M._sources(rows, "size", M.WEIGHTS, 3)
+    n_blocks, block = M._blocks(sources, total, n, 8, 64)
+    seats = M.quotas(sources, n_blocks, 8)
+    drawn = M.draws(sources, seats, total, n_blocks, block, 3, 7).collect()
+    words, uses = defaultdict(int), defaultdict(int)
+    for r in drawn:
+        assert 0 <= r["lo"] < r["hi"] <= block
+        words[(r["rank"], r["shard"])] += r["hi"] - r["lo"]
+        uses[(r["rank"], r["block"])] += r["hi"] - r["lo"]
+    size = {r["rank"]: r["source_size"] for r in sources.collect()}
+    per_source = defaultdict(int)
+    for r in seats.collect():
+        per_source[r["rank"]] += r["seats"]
+        assert words[(r["rank"], r["shard"])] <= r["seats"] * total / n_blocks + 1
+    for rank, k in per_source.items():
+        got = sum(v for (x, _), v in words.items() if x == rank)
+        assert got == min(k * total // n_blocks, 3 * size[rank])
+    assert max(uses.values()) <= 3 * block
+
+
 def test_quotas_are_even_over_shards(spark):
     from textkiln.llm.mixing import quota_table
 
@@ -83,11 +148,6 @@ def test_quotas_are_even_over_shards(spark):
     for r in got:
         per_shard[r["shard"]] += r["seats"]
     assert set(per_shard) == set(range(8)) and len(set(per_shard.values())) == 1
-    by_source = defaultdict(list)
-    for r in got:
-        by_source[r["source"]].append(r["seats"])
-    # seats of one source spread over shards within what dealing in turn allows
-    assert all(sum(v) <= 8 * max(v) for v in by_source.values())
 
 
 def key_of(line):
@@ -136,7 +196,7 @@ def brute_fingerprint(text):
 
 
 def test_simhash(docs):
-    from textkiln.llm.simhash import hex_fingerprint, keep_one, near_duplicate_groups
+    from textkiln.llm.simhash import hex_fingerprint, near_duplicate_groups
 
     rows = pairs(docs)
     fps = [brute_fingerprint(t) for _, t in rows]
@@ -158,10 +218,6 @@ def test_simhash(docs):
             least[r] = d if least[r] is None else min(d, least[r])
     got = near_duplicate_groups(docs).select("doc_id", hex_fingerprint(F.col("fp")).alias("f"), "component_id").collect()
     assert Counter(map(tuple, got)) == Counter((d, f"{fps[i]:016x}", least[find(i)]) for i, (d, _) in enumerate(rows))
-    kept = keep_one(docs)
-    assert kept.columns == docs.columns
-    # of each group with an id, the rows of the smallest id stay
-    assert {r["doc_id"] for r in kept.where("doc_id is not null").collect()} == {least[find(i)] for i in range(len(rows))} - {None}
 
 
 def test_golay_keys_meet():
@@ -258,25 +314,66 @@ def test_sorted_suffixes():
     assert classes(text, order).sum() == len(set(got))
 
 
+def brute_topk(rows, every, k=5):
+    """Per row that asks: (id, its ranks). ``rows``: (id, integers)."""
+    out = []
+    for i, (qid, q) in enumerate(rows):
+        if qid % every == 0:
+            s = sorted((-sum(int(a) * int(b) for a, b in zip(q, y)), j, n) for n, (j, y) in enumerate(rows) if n != i and len(y) == len(q))[:k]
+            out.append((qid, tuple((r + 1, j, -x) for r, (x, j, _) in enumerate(s))))
+    return Counter(out)
+
+
+def ranked(df):
+    """The multiset of (query_id, rank, vec_id, score), and how often each query_id has rank 1."""
+    rows = [tuple(r) for r in df.collect()]
+    return Counter(rows)
+
+
 def test_topk(spark):
+    from textkiln.llm.tables import written
     from textkiln.llm.topk import exact_topk, integer_vectors
 
     rng = np.random.default_rng(1)
-    v = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)] + [(300 + i, [0.5] * 8) for i in range(40)] + [(5, [0.25] * 8)]
-    bad = [(900, None), (901, [None] * 8), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (None, [0.5] * 8), (950, [1.0] * 4), (951, [2.0] * 4)]
-    df = spark.createDataFrame([(i, x, "c") for i, x in v + bad], "vec_id long, embedding array<float>, score string").repartition(5)
-    ints = integer_vectors(df)
-    fine = [(i, np.floor(256 * np.array(x, np.float32).astype(float)).astype(int)) for i, x in v + bad[-2:]]
-    want = {}
-    for i, x in fine:
-        if i % 50 == 0:
-            s = sorted(((-int(x @ y), j) for j, y in fine if j != i and len(y) == len(x)))[:5]
-            want[i] = [(r + 1, j, -n) for r, (n, j) in enumerate(s)]
-    got = defaultdict(list)
-    for r in exact_topk(ints, ints.where("id % 50 = 0")).orderBy("query_id", "rank").collect():
-        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
-    assert got == want
+    v = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)] + [(300 + i, [0.5] * 8) for i in range(40)] + [(5, [0.25] * 8), (50, [0.75] * 8), (50, [0.75] * 8), (100, [-0.5] * 8)]
+    bad = [(900, None), (901, [None] * 8), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (None, [0.5] * 8), (950, [1.0] * 4), (951, [2.0] * 4), (1000, [1e15, 1e15]), (1001, [1e15, 1e15]), (1050, [-1e15, 1e15]), (1100, [0.5] * 5000), (1101, [0.25] * 5000)]
+    df = spark.createDataFrame([(i, x, "c") for i, x in v + bad], "vec_id long, embedding array<double>, score string").repartition(5)
+    ints = written(integer_vectors(df), "vectors")
+    fine = [(i, [int(np.floor(256 * y)) for y in x]) for i, x in v + bad[5:]]
+    lim = (1 << 63) - 1
+    want = Counter((q, r, j, max(-lim, min(lim, s))) for (q, ranks), n in brute_topk(fine, 50).items() for _ in range(n) for r, j, s in ranks)
+    got = exact_topk(ints, ints.where("id % 50 = 0"))
+    assert ranked(got) == want
     assert exact_topk(ints, ints.where("id < 0")).count() == 0
+    none = written(integer_vectors(df.where("vec_id > 5000")), "vectors")
+    assert exact_topk(none, none).count() == 0
+    only_bad = written(integer_vectors(df.where("vec_id between 900 and 903")), "vectors")
+    assert exact_topk(only_bad, only_bad).count() == 0
+
+
+def test_topk_leaves_most_products_alone():
+    """Two lists out of four, and fewer, are scored for vectors whose neighbours stand out."""
+    import pyarrow as pa
+
+    from textkiln.llm.topk import _Queries, lower_bounds, sufficient_entries
+
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 64)) * 60
+    m = np.floor(centres[rng.integers(0, 40, 8000)] + rng.normal(size=(8000, 64)) * 6).astype(np.int64)
+    table = lambda at: pa.table({"id": pa.array(at), "row": pa.array(at), "v": pa.array(list(m[at]), pa.list_(pa.int64()))})
+    q, work = _Queries(table(np.arange(0, 8000, 400))), []
+    batches = table(np.arange(8000)).to_batches(max_chunksize=2000)
+    found = [b for b in lower_bounds(q, 5, 4, work)(iter(batches))]
+    bounds = {}
+    for r, s in zip(found[0]["query_row"].to_pylist(), found[0]["score"].to_pylist()):
+        bounds[r] = min(s, bounds.get(r, s))
+    got = next(sufficient_entries(q, 5, 4, bounds, work)(iter(batches)))
+    for row in range(0, 8000, 400):
+        score = m @ m[row]
+        score[row] = -1 << 60
+        best = sorted(zip(-score, range(8000)))[:5]
+        assert sorted(zip(*[[-got["score"][i].as_py() for i in range(len(got)) if got["query_row"][i].as_py() == row], [got["vec_id"][i].as_py() for i in range(len(got)) if got["query_row"][i].as_py() == row]])) == best
+    assert sum(work) < 0.75 * 20 * 8000 * 64
 
 
 def test_bpe(docs):
@@ -307,9 +404,10 @@ def test_bpe_fuzz():
     import public_tokenizers as P
     import tiktoken
 
-    from textkiln.llm.bpe import Tokenizer
+    from textkiln.llm.bpe import PATTERN, Tokenizer, vocabulary_lines
 
-    tok = Tokenizer(P.path("byte_bpe_50k.tiktoken"))
+    assert PATTERN == P.PATTERN
+    tok = Tokenizer(vocabulary_lines(P.path("byte_bpe_50k.tiktoken")))
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=tok.ranks, special_tokens={})
     rnd = random.Random(4)
     letters = list("ab'sstmdrvel  \n\t\r 12.,!#'é漢 　²½ǅ\U0001f600\x85﻿")
@@ -319,6 +417,74 @@ def test_bpe_fuzz():
         assert tok.decode(ids) == t.encode()
 
 
+def brute_grams(text):
+    """Hashed columns of the 1- to 3-grams of a text's letters, counted one by one."""
+    seq = []
+    for ch in text:
+        low = ch.lower() if ch.isalpha() else " "
+        x = ord(low) if len(low) == 1 else ord(ch)
+        if x != 32 or seq[-1:] != [32]:
+            seq.append(x)
+    c = [32, *seq, 32]
+    m, out = (1 << 32) - 1, Counter()
+    for i in range(len(c)):
+        h = c[i] * 0x9E3779B1 & m
+        out[h >> 18] += 1
+        if i + 1 < len(c):
+            h = ((h ^ (c[i + 1] * 0x85EBCA77 & m)) * 0xC2B2AE3D) & m
+            out[h >> 18] += 1
+        if i + 2 < len(c):
+            h = ((h ^ (c[i + 2] * 0x27D4EB2F & m)) * 0x165667B1) & m
+            out[h >> 18] += 1
+    return out
+
+
+def test_langid_against_brute_force(spark):
+    """Features, frequencies and scores counted by hand give what the operator predicts; held-out texts are told apart."""
+    from textkiln.llm.langid import _grams, document_frequencies, train
+    from textkiln.llm.queries import op8_language_id
+
+    for t in ("a", " a", "Ab  c", "é1ßx", "one two\nthree", "\U0001f600 word"):
+        g = _grams(t)
+        assert {i: int(g[i]) for i in np.flatnonzero(g)} == dict(brute_grams(t)), t
+    sf = "/root/testdata/sf0.001"
+    rows = [r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 0
+    taught = [r for r in rows if not held(r["doc_id"]) and r["lang"] and r["text"]]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where(~(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0))
+    model = train(docs)
+    df = Counter(g for r in taught for g in brute_grams(r["text"]))
+    got_df, n = document_frequencies(docs)
+    assert n == len(taught) and {i: int(got_df[i]) for i in np.flatnonzero(got_df)} == dict(df)
+    idf = {g: np.log((1 + n) / (1 + df.get(g, 0))) + 1 for g in range(1 << 14)}
+    out = {r["doc_id"]: r for r in op8_language_id(spark, sf).collect()}
+    assert {d: r["held_out"] for d, r in out.items()} == {r["doc_id"]: held(r["doc_id"]) for r in rows}
+    for r in rows:
+        if not any(ch.isalpha() for ch in r["text"] or ""):
+            assert (out[r["doc_id"]]["lang_pred"], out[r["doc_id"]]["score"]) == ("und", 0.0)
+            continue
+        g = brute_grams(r["text"])
+        v = {k: (1 + np.log(c)) * idf[k] for k, c in g.items()}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        z = sum(x / norm * model.weights[k].astype(float) for k, x in v.items()) / model.temperature
+        e = np.exp(z - z.max())
+        best = int(e.argmax())
+        assert out[r["doc_id"]]["lang_pred"] == model.languages[best] and abs(out[r["doc_id"]]["score"] - e[best] / e.sum()) < 1e-4
+    unseen = [r for r in rows if held(r["doc_id"]) and r["lang"]]
+    assert sum(out[r["doc_id"]]["lang_pred"] == r["lang"] for r in unseen) >= 0.9 * len(unseen)
+
+
+def test_langid_sample_is_bounded(spark):
+    """No language teaches more than its bound, repeated rows and one id for all included."""
+    from textkiln.llm.langid import _sample
+
+    d = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.when(F.col("id") < 2000, "same words here").otherwise(F.concat(F.lit("words "), F.col("id").cast("string"), F.lit(" more"))).alias("text"), F.when(F.col("id") % 3 == 0, "en").otherwise("de").alias("lang"))
+    assert Counter(r[0] for r in _sample(d, 50)) == {"en": 50, "de": 50}
+    assert Counter(r[0] for r in _sample(d.limit(30), 50)) == Counter(r["lang"] for r in d.limit(30).collect())
+    pick = lambda: [(r[0], r[3]) for r in _sample(d.repartition(5), 50)]
+    assert pick() == pick()
+
+
 def test_langid(spark):
     from textkiln.llm.langid import predict, train
 
@@ -329,35 +495,72 @@ def test_langid(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.95 * len(got) and all(0 <= r["score"] <= 1 for r in got)
     assert (model.weights == 0).mean() > 0.5  # the penalty leaves it sparse
     odd = predict(table(spark), model).collect()
-    assert len(odd) == table(spark).count()
+    assert Counter(r["doc_id"] for r in odd) == Counter(d for d, _ in pairs(table(spark)))
+    letters = {d: any(c.isalpha() for c in t or "") for d, t in pairs(table(spark)) if d != 3}
+    assert all((r["lang_pred"] == "und") == (not letters[r["doc_id"]]) for r in odd if r["doc_id"] in letters)
     for r in predict(spark.createDataFrame([(1, None), (2, ""), (3, "12 !")], "doc_id long, text string"), model).collect():
         assert (r["lang_pred"], r["score"]) == ("und", 0.0)
     assert train(table(spark, "none")) is None
     assert predict(d.limit(3), None).first()["lang_pred"] == "und"
 
 
+def brute_shards(rows, n=8, together=0.05):
+    """``id, size, crc, shard, slot`` by one sorted list: cuts at equal bytes, moved to the nearer end of a small group of equal texts."""
+    rows = sorted(((hashlib.sha256((t or "").encode()).digest(), d is not None, d or 0, d, t or "") for d, t in rows), key=lambda r: r[:3])
+    sizes = [len(r[4].encode()) + 1 for r in rows]
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(int).tolist()
+    total, cuts = ends[-1], []
+    for j in range(1, n):
+        x = total * j // n
+        i = next((i for i in range(len(rows)) if ends[i] <= x < ends[i + 1]), None)
+        if i is None:
+            cuts.append(x)
+            continue
+        group = [k for k in range(len(rows)) if rows[k][0] == rows[i][0]]
+        lo, hi = ends[group[0]], ends[group[-1] + 1]
+        if hi - lo > int(together * total / n):
+            lo, hi = ends[i], ends[i + 1]
+        cuts.append(lo if x - lo <= hi - x else hi)
+    out, used = [], defaultdict(int)
+    for i, r in enumerate(rows):
+        shard = sum(ends[i] >= c for c in cuts)
+        out.append((r[3], sizes[i], zlib.crc32(r[4].encode()), shard, used[shard]))
+        used[shard] += 1
+    return out
+
+
 def test_sharding(docs):
     from textkiln.llm.sharding import shard_by_bytes
 
-    got = shard_by_bytes(docs).collect()
-    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in pairs(docs))
-    slots, sizes = defaultdict(list), defaultdict(int)
+    got = shard_by_bytes(docs).select("doc_id", "size", "text_crc32", "shard", "slot").collect()
+    assert Counter(map(tuple, got)) == Counter(brute_shards(pairs(docs)))
+
+
+def test_shards_are_of_equal_size(spark):
+    from textkiln.llm.queries import op9_sharding
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = op9_sharding(spark, sf).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in got) == Counter(brute_shards(pairs(docs)))
+    sizes = defaultdict(int)
     for r in got:
-        slots[r["shard"]].append(r["slot"])
         sizes[r["shard"]] += r["size"]
-    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    assert set(slots) <= set(range(8))
-    if got:
-        target, largest = sum(sizes.values()) / 8, max(r["size"] for r in got)
-        assert all(abs(n - target) <= largest + 0.05 * target + 1 for n in sizes.values()) or len(slots) < 8
+    target, largest = sum(sizes.values()) / 8, max(r["size"] for r in got)
+    assert set(sizes) == set(range(8)) and all(abs(n - target) <= max(largest, 0.05 * target) for n in sizes.values())
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}
 
 
 def test_sharding_splits_a_large_group(spark):
     from textkiln.llm.sharding import shard_by_bytes
 
     d = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("same " * 20)).otherwise(F.concat(F.lit("text " * 19), F.col("id"))).alias("text"))
-    sizes = [r["s"] for r in shard_by_bytes(d).groupBy("shard").agg(F.sum("size").alias("s")).collect()]
-    assert len(sizes) == 8 and max(sizes) - min(sizes) < 0.1 * sum(sizes) / 8 + 210
+    got = shard_by_bytes(d).select("doc_id", "size", "text_crc32", "shard", "slot").collect()
+    assert Counter(map(tuple, got)) == Counter(brute_shards(pairs(d)))
+    sizes = Counter()
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+    assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) < 0.1 * sum(sizes.values()) / 8 + 210
 
 
 def test_url_filter(spark):
@@ -379,6 +582,27 @@ def test_url_filter(spark):
     assert {r["verdict"] for r in judge_urls(pages.where("page_id in (9, 12)"), listed.where("u is null")).collect()} == {"allow"}
 
 
+def test_url_filter_takes_long_urls_and_clashing_names(spark):
+    """A host of 60 labels with 1,500 steps asks for a handful of expressions; columns of the pages don't get in the way."""
+    from textkiln.llm.url_filter import expressions, judge_urls
+
+    deep = "http://" + ".".join(f"l{i}" for i in range(58)) + ".bad.org/" + "/".join(f"s{i}" for i in range(1500))
+    pages = spark.createDataFrame([(1, deep, "r", "v", "p"), (2, deep.replace("bad.org", "ok.org"), "r", "v", "p"), (None, "http://BAD.org", "r", "v", "p"), (3, "http://ok.org/s0/s1/x", None, None, None)], "page_id long, url string, rule string, verdict string, path string")
+    listed = spark.createDataFrame([("bad.org/",), ("l57.ok.org/s0/",), ("ok.org/s0/s1/x",)], "u string")
+    got = {r["page_id"]: r["verdict"] for r in judge_urls(pages, listed).collect()}
+    assert got == {1: "block", 2: "block", None: "block", 3: "block"}
+    one = pages.where("page_id = 1").select(F.size(expressions(F.regexp_extract("url", "://([^/]*)", 1), F.regexp_extract("url", "://[^/]*(.*)$", 1), 3, 4)).alias("n")).first()
+    assert one["n"] <= 3 * 4
+
+
+def test_listed_urls_fill_several_blocks(spark):
+    from textkiln.llm.queries import LURES, PLACES, TOPS, listed_urls
+
+    names = [r["canonical_url"] for r in listed_urls(spark).collect()]
+    assert len(names) == len(set(names)) == len(LURES) * len(PLACES) * len(TOPS) == 4500
+    assert {"casino-win.example.org/", "free-bets.example.net/", "cheap-pills.example.org/", "ads-track.example.net/", "adult-x.example.org/", "spam-farm.example.net/"} <= set(names)
+
+
 def test_bloom_has_no_false_negatives(spark):
     from textkiln.llm.url_filter import bloom_hits, bloom_table
 
