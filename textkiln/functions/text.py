@@ -5,19 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: What doesn't count as a token's text.
 FENCE = r"(?s)```.*?```"
 URL = r"https?://\S+"
 
 
+def folded(text: Column) -> Column:
+    """Lower case, with the three letters that case folding changes further."""
+    return F.translate(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), "ςſ", "σs")
+
+
+def folded_sql(text: str) -> str:
+    return f"replace(replace(replace(lower({text}), 'ß', 'ss'), 'ς', 'σ'), 'ſ', 's')"
+
+
 def tokens(text: Column) -> Column:
-    """Fences and URLs go, lower case, letters and digits only, longer than two characters."""
-    bare = F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), FENCE, " ")), URL, " ")
+    """Fences and URLs go, case is folded, letters and digits only, longer than two characters."""
+    bare = F.regexp_replace(folded(F.regexp_replace(F.coalesce(text, F.lit("")), FENCE, " ")), URL, " ")
     return F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda t: F.length(t) > 2)
 
 
 def tokens_sql(text: str) -> str:
     """The same for DuckDB, over an expression."""
-    bare = f"regexp_replace(lower(regexp_replace(coalesce({text}, ''), '(?s)```.*?```', ' ', 'g')), 'https?://\\S+', ' ', 'g')"
+    fenceless = f"regexp_replace(coalesce({text}, ''), '(?s)```.*?```', ' ', 'g')"
+    bare = f"regexp_replace({folded_sql(fenceless)}, 'https?://\\S+', ' ', 'g')"
     return f"list_filter(regexp_split_to_array({bare}, '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 2)"
 
 
@@ -26,12 +37,37 @@ def search_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9_]+"), F.lit(0))
 
 
+#: The characters at which a line ends (CR LF counts once), and all that counts as blank.
+LINE_ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _class(characters: str) -> str:
+    """A character class in the escapes that Java and RE2 share."""
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in characters) + "]"
+
+
+#: Between two blocks of a text: a line that holds blanks at most.
+BLANK_LINE = rf"\n{_class(BLANKS)}*\n"
+_BLANK, _INNER = _class(BLANKS), _class(BLANKS.replace("\n", ""))
+
+
 def normalize_body(text: Column) -> Column:
-    """LF line ends, no blanks at line ends, at most one empty line between, stripped, one final LF."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n")
-    t = F.regexp_replace(t, "[\\s\\x{85}\\x{A0}&&[^\n]]+(?=\n|$)", "")
+    """LF line ends, no blanks at line ends, at most one empty line between, stripped, one final LF.
+
+    The look-behinds let a run of blanks be tried once, from its start.
+    """
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"\r\n|{_class(LINE_ENDS)}", "\n")
+    t = F.regexp_replace(t, rf"(?<!{_INNER}){_INNER}++(?=\n|\z)", "")
     t = F.regexp_replace(t, "\n{3,}", "\n\n")
-    return F.concat(F.regexp_replace(t, r"^\s+|\s+$", ""), F.lit("\n"))
+    return F.concat(F.regexp_replace(t, rf"\A{_BLANK}+|(?<!{_BLANK}){_BLANK}++\z", ""), F.lit("\n"))
+
+
+def normalize_body_sql(text: str) -> str:
+    """The same for DuckDB, over an expression."""
+    t = f"regexp_replace(coalesce({text}, ''), '\\r\\n|{_class(LINE_ENDS)}', chr(10), 'g')"
+    t = f"regexp_replace({t}, '{_INNER}+(\\n|$)', '\\1', 'g')"
+    return f"regexp_replace(regexp_replace({t}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^{_BLANK}+|{_BLANK}+$', '', 'g') || chr(10)"
 
 
 def body_hash(text: Column) -> Column:
@@ -42,22 +78,36 @@ def estimated_tokens(text: Column) -> Column:
     return F.ceil(F.length(F.coalesce(text, F.lit(""))) / 4).cast("long")
 
 
-def _lines(body: Column, pattern: str) -> Column:
-    return F.size(F.filter(F.split(body, "\n"), lambda x: x.rlike(pattern))).cast("long")
+#: What a line of each structure looks like, how many of its lines make one, and what is counted anywhere.
+LINE_STRUCTURES = {
+    "headings": (r"^#{1,6}\s+", 1),
+    "lists": (r"^\s*(?:[-*+] |\d+\. )", 1),
+    "tables": (r"^\s*\|?.+\|.+\|?\s*$", 2),
+    "code_blocks": (r"^```", 2),
+    "callouts": (r"^>", 1),
+}
+INLINE_STRUCTURES = {
+    "figures": r"!\[[^\]]*\]\([^)]+\)",
+    "links": r"(?<!!)\[[^\]]+\]\([^)]+\)",
+    "assets": r"!\[[^\]]*\]\((?!https?://)[^)]+\)",
+}
 
 
 def structure(body: Column) -> dict[str, Column]:
     """Counts of headings, lists, tables, code blocks, callouts, figures, links and local assets."""
-    return {
-        "headings": _lines(body, r"^#{1,6}\s+"),
-        "lists": _lines(body, r"^\s*(?:[-*+] |\d+\. )"),
-        "tables": F.floor(_lines(body, r"^\s*\|?.+\|.+\|?\s*$") / 2).cast("long"),
-        "code_blocks": F.floor(_lines(body, "^```") / 2).cast("long"),
-        "callouts": _lines(body, "^>"),
-        "figures": F.regexp_count(body, F.lit(r"!\[[^\]]*\]\([^)]+\)")).cast("long"),
-        "links": (F.regexp_count(body, F.lit(r"(?<!!)\[[^\]]+\]\([^)]+\)"))).cast("long"),
-        "assets": F.regexp_count(body, F.lit(r"!\[[^\]]*\]\((?!https?://)[^)]+\)")).cast("long"),
-    }
+    lines = F.split(body, "\n")
+
+    def like(pattern: str) -> Column:
+        return F.size(F.filter(lines, lambda x: x.rlike(pattern)))
+
+    by_line = {k: F.floor(like(p) / n).cast("long") for k, (p, n) in LINE_STRUCTURES.items()}
+    return by_line | {k: F.regexp_count(body, F.lit(p)).cast("long") for k, p in INLINE_STRUCTURES.items()}
+
+
+def heading_titles(body: Column) -> Column:
+    """Distinct titles of heading lines, blanks made one and case folded."""
+    raw = F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(r"(?m)^#{1,6}[^\S\n]+(\S.*?)\s*$"), F.lit(1))
+    return F.array_distinct(F.transform(raw, lambda t: folded(F.regexp_replace(t, r"\s+", " "))))
 
 
 def heading_slug(title: Column) -> Column:
