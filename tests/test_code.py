@@ -21,6 +21,21 @@ def test_strip_blocks():
     assert strip_blocks(CODE, ()) == CODE
 
 
+def test_braces_in_strings_templates_and_here_documents():
+    code = ['a "x" "y" {', '  s = "open { ${join("}", [for k in m : "${k}}"])} \\" {"', "  t = <<-EOT", "  } not code {{", "    EOT", "  u = {", "  }", "}", "b {}"]
+    assert block_end(code, 0) == 8 and block_end(code, 8) == 9
+    with pytest.raises(ValueError):
+        block_end(["}"], 0)
+
+
+def test_dependants_go_with_their_blocks():
+    code = 'resource "old" "a" {\n}\n\nresource "new" "b" {\n  x = old.a.id\n}\n\nresource "new" "c" {\n  y = new.b.id\n}\n\nresource "new" "d" {\n  z = old.ab.id\n}\n'
+    assert strip_blocks(code, ("old",), dependants=True) == 'resource "new" "d" {\n  z = old.ab.id\n}\n'
+    assert 'resource "new" "b"' in strip_blocks(code, ("old",))
+    with pytest.raises(ValueError):
+        strip_blocks(code + "x = old.a.id\n", ("old",), dependants=True)
+
+
 def test_clean_post():
     html = '<h1><a class="anchor" href="#r"></a>Routing</h1><p>Author: x</p><p>Text <span class="mention">@a</span></p><img class="emoji" src="e.png"><img width="16" height="16" src="i.png"><div class="lightbox-wrapper"><a class="lightbox" href="https://h/full.png"><img src="/small.png" alt="D"></a></div><button>b</button>'
     body, assets = H.render(H.clean_post(H.parse(html)), "https://h/t/1")
