@@ -6,32 +6,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.functions.text import search_words
+from textkiln.session import settled
 
 #: Asked words up to so many (question, word) rows are broadcast.
 MAX_ASKED = 200_000
 
 
-def scores(docs: DataFrame, questions: DataFrame, cap: int = 5) -> DataFrame:
+def asked_words(questions: DataFrame) -> DataFrame:
+    """``question_id, word``, each once."""
+    return questions.select("question_id", F.explode(F.array_distinct(search_words(F.col("text")))).alias("word"))
+
+
+def term_counts(docs: DataFrame, asked: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id, word, tf`` and ``keep``: how often documents hold the asked words, counted where the documents are; other words stay there."""
+    return (
+        docs.select("doc_id", *keep, F.explode(search_words(F.col("text"))).alias("word"))
+        .join(asked.select("word").distinct(), "word", "left_semi").groupBy("doc_id", *keep, "word").agg(F.count(F.lit(1)).alias("tf"))
+    )
+
+
+def scored(tf: DataFrame, documents: int, asked: DataFrame, cap: int = 5) -> DataFrame:
     """``question_id, doc_id, score`` of documents that share a word: sum of ln(1 + N / (1 + df)) * min(tf, cap).
 
-    Terms are summed as whole billionths, so that the result doesn't depend on the order of the sum. Only
-    words of a question leave the documents, counted where they are. The asked words with their weights, at
-    most ``MAX_ASKED`` rows, go to the documents' counts; those are not shuffled by word.
+    Terms are summed as whole billionths, so that the result doesn't depend on the order of the sum. The asked words with
+    their weights, at most ``MAX_ASKED`` rows, go to the documents' counts; those are not shuffled by word.
     """
-    asked = questions.select("question_id", F.explode(F.array_distinct(search_words(F.col("text")))).alias("word"))
-    words = asked.select("word").distinct()
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    tf = (
-        docs.select("doc_id", F.explode(search_words(F.col("text"))).alias("word"))
-        .join(words, "word", "left_semi").groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
-    )
-    idf = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n)).select("word", F.ln(1 + F.col("n") / (1 + F.col("df"))).alias("idf"))
+    idf = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")).select("word", F.ln(1 + F.lit(documents) / (1 + F.col("df"))).alias("idf"))
     weights = asked.join(idf, "word")
     few = asked.limit(MAX_ASKED + 1).count() <= MAX_ASKED
     terms = tf.join(F.broadcast(weights) if few else weights, "word")
     return terms.groupBy("question_id", "doc_id").agg(F.sum(F.round(F.col("idf") * F.least("tf", F.lit(cap)) * 1e9).cast("long")).alias("score"))
 
 
+def scores(docs: DataFrame, questions: DataFrame, cap: int = 5) -> DataFrame:
+    """``scored`` over all of ``docs``; the counts are written once, since weights and terms both read them."""
+    asked = asked_words(questions)
+    return scored(settled(term_counts(docs, asked)), docs.count(), asked, cap)
+
+
 def top_k(scored: DataFrame, k: int = 5) -> DataFrame:
     """``question_id, rank, doc_id``: highest scores, ties to the smaller document."""
     w = Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id")
