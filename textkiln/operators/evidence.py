@@ -103,10 +103,11 @@ def manifest(documents: DataFrame, assets: DataFrame, started_at: str, ended_at:
     return d.crossJoin(a).withColumns({"started_at": F.lit(started_at), "ended_at": F.lit(ended_at)})
 
 
-#: Findings of a document inventory and their patterns.
+#: Findings of a document inventory and their patterns; the two below them are found without one.
 FINDINGS = {
-    "body_date": r"(?im)^(?:Published .*(?:modified|updated).*|Last (?:updated|modified).*)$",
+    "body_date": r"(?im)^Published .*(?:modified|updated).*|^Last (?:updated|modified).*",
     "renderer_label": r"(?im)^Terminal window\s*$",
+    "api_appendix": r"<!-- content-policy:related-api -->",
     "duplicate_caption": r"(?im)^Figure \d+[:.].*$",
 }
 
@@ -121,9 +122,13 @@ def document_findings(docs: DataFrame, key: str, body: str, description: str) ->
     return docs.select(key, F.explode(F.array(*each)).alias("f")).select(key, "f.category", "f.n").where("n > 0")
 
 
+#: Fixed value: inline code, or a number with its unit.
+PAYLOAD = r"(`[^`\n]+`|\b[0-9]+(?:\.[0-9]+)? ?(?:ms|s|KB|MB|GB|%)(?:\b|$))"
+
+
 def technical_payloads(text: Column) -> Column:
     """Inline code and numbers with units, in order."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(`[^`\n]+`|\b[0-9]+(?:\.[0-9]+)? ?(?:ms|s|KB|MB|GB|%)(?:\b|$))"), F.lit(1))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PAYLOAD), F.lit(1))
 
 
 def first_paragraph(body: Column, least: int = 20) -> Column:

@@ -6,41 +6,31 @@ are written to the shared checkpoint folder, so plans stay short and lost execut
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textkiln.session import settled, unsettled
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the checkpoint folder and read back."""
-    spark = df.sparkSession
-    key = "spark.checkpoint.dir"
-    root = spark.sparkContext.getConf().get(key) or spark.conf.get(key, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="textkiln-")
-        spark.conf.set(key, root)
-    path = f"{root.rstrip('/')}/rounds/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+def reachable(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:
+    """``node, depth`` from ``seeds`` (column ``node``) along ``src, dst``: least number of steps, as far as the edges lead or for ``rounds``.
 
-def reachable(edges: DataFrame, seeds: DataFrame, rounds: int = 1000) -> DataFrame:
-    """``node, depth`` from ``seeds`` (column ``node``) along ``src, dst``: least number of steps."""
+    Every round writes its new nodes only; what is known is the union of the rounds.
+    """
     edges = edges.select("src", "dst").where("src is not null and dst is not null").distinct()
-    known = settled(seeds.select("node").where("node is not null").distinct().withColumn("depth", F.lit(0)))
-    frontier = known
-    for depth in range(1, rounds + 1):
-        nxt = (
-            frontier.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-            .join(known.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth))
-        )
-        frontier = settled(nxt)
-        if frontier.isEmpty():
+    found = [settled(seeds.select("node").where("node is not null").distinct().withColumn("depth", F.lit(0)))]
+    while rounds is None or len(found) <= rounds:
+        known = reduce(DataFrame.unionByName, found)
+        nxt = settled(
+            found[-1].join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
+            .join(known.select("node"), "node", "left_anti").withColumn("depth", F.lit(len(found))))
+        if nxt.isEmpty():
+            unsettled(nxt)
             return known
-        known = settled(known.unionByName(frontier))
-    raise ValueError(f"no end after {rounds} rounds")
+        found.append(nxt)
+    return reduce(DataFrame.unionByName, found)
 
 
 def closure_omitted(links: DataFrame, excluded: DataFrame, repaired: DataFrame) -> DataFrame:
@@ -52,29 +42,31 @@ def closure_omitted(links: DataFrame, excluded: DataFrame, repaired: DataFrame)
     return reachable(back, excluded)
 
 
-def resolve_aliases(aliases: DataFrame, rounds: int = 64) -> DataFrame:
-    """``path, target, hops, cycle``: the end of each alias chain, by doubling (so rounds are the log of the longest chain).
+def resolve_aliases(aliases: DataFrame) -> DataFrame:
+    """``path, target, hops, cycle, error``: the end of each alias chain, by doubling, so rounds are the log of the longest chain.
 
-    A path may have one target; two are an error. A path on or leading into a cycle has a null target.
+    A path that is or leads into a cycle has a null target, and so has one with several targets or that leads to such a path.
     """
-    twice = aliases.groupBy("path").agg(F.count_distinct("target").alias("n")).where("n > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"alias with several targets: {twice[0]['path']}")
-    now = settled(aliases.select("path", "target").distinct().withColumn("hops", F.lit(1).cast("long")))
-    total = now.count()
-    limit = max(1, total.bit_length() + 1)
-    for _ in range(min(rounds, limit)):
+    of = aliases.groupBy("path").agg(F.min("target").alias("target"), F.count_distinct("target").alias("n"))
+    of = settled(of)
+    torn = of.where("n > 1").select("path")
+    now = settled(of.where("n = 1").select("path", "target", F.lit(1).cast("long").alias("hops")))
+    for _ in range(max(1, now.count().bit_length() + 1)):
         step = now.select(F.col("path").alias("target"), F.col("target").alias("t2"), F.col("hops").alias("h2"))
         j = now.join(step, "target", "left")
         nxt = settled(j.select("path", F.coalesce("t2", "target").alias("target"), (F.col("hops") + F.coalesce("h2", F.lit(0))).alias("hops"), F.col("t2").isNotNull().alias("moved")))
-        moved = nxt.where("moved").limit(1).count()
-        now = nxt.drop("moved")
+        moved = not nxt.where("moved").isEmpty()
+        unsettled(now)
+        now = nxt
         if not moved:
             break
-    ends = aliases.select(F.col("path").alias("target")).distinct().withColumn("open", F.lit(True))
-    out = now.join(ends, "target", "left")
-    bad = F.col("open").isNotNull()
-    return out.select("path", F.when(~bad, F.col("target")).alias("target"), F.when(~bad, F.col("hops")).alias("hops"), bad.alias("cycle"))
+    ends = of.select(F.col("path").alias("target"), (F.col("n") > 1).alias("torn"))
+    each = now.drop("moved").join(ends, "target", "left")
+    error = F.when(F.col("torn"), "leads to several targets").when(~F.col("torn"), "cycle")
+    out = each.select("path", F.when(error.isNull(), F.col("target")).alias("target"), F.when(error.isNull(), F.col("hops")).alias("hops"), (error == "cycle").alias("cycle"), error.alias("error"))
+    out = out.withColumn("cycle", F.coalesce("cycle", F.lit(False)))
+    several = torn.select("path", F.lit(None).cast(aliases.schema["target"].dataType).alias("target"), F.lit(None).cast("long").alias("hops"), F.lit(False).alias("cycle"), F.lit("several targets").alias("error"))
+    return out.unionByName(several)
 
 
 def validate_aliases(aliases: DataFrame, documents: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def render_page(page_id: int, url: str | None, html: str | None, extractor: Extr
         verdict = H.classify(title, main.strings(), H.page_measures(main))
         body, assets = H.render(main, url or "")
         return (page_id, url, body, assets, links, verdict, metas.get("og:title") or title, metas.get("description"), None)
-    except (ValueError, RecursionError) as e:
+    except Exception as e:  # whatever a parser meets in one page is that page's error
         return (page_id, url, None, [], [], None, None, None, f"{type(e).__name__}: {e}")
 
 

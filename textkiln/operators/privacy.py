@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,10 +28,19 @@ KINDS = {
 PLACEHOLDERS = r"^(?:192\.0\.2\.|198\.51\.100\.|203\.0\.113\.|0\.0\.0\.0$|127\.0\.0\.1$)|@example\.(?:com|org|net)$"
 
 
+#: What every match of a kind holds; texts without it aren't searched.
+NEEDS = {"email": ("@",), "phone": ("+",), "private_key": ("-----BEGIN",), "credential": (":", "=")}
+
+
 def kinds(text: Column) -> Column:
     """Sorted kinds that the text holds."""
     t = F.coalesce(text, F.lit(""))
-    return F.array_sort(F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(k)) for k, p in KINDS.items()])))
+
+    def holds(kind: str, pattern: str) -> Column:
+        may = reduce(Column.__or__, [t.contains(x) for x in NEEDS.get(kind, ())], F.lit(kind not in NEEDS))
+        return F.when(may, F.when(t.rlike(pattern), F.lit(kind)))
+
+    return F.array_sort(F.array_compact(F.array(*[holds(k, p) for k, p in KINDS.items()])))
 
 
 def findings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -72,7 +82,10 @@ def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             out = [one(t) for t in f["t"]]
             yield pd.DataFrame({"id": f["k"], "text": [x[0] for x in out], "replaced": [x[1] for x in out]})
 
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, "id long, text string, replaced int")
+    # texts without a kind need no worker
+    asked = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), (F.size(kinds(F.col(text))) > 0).alias("some"))
+    clean = asked.where("not some").select(F.col("k").alias("id"), F.col("t").alias("text"), F.lit(0).alias("replaced"))
+    return asked.where("some").select("k", "t").mapInPandas(run, "id long, text string, replaced int").unionByName(clean)
 
 
 def relevance(title: Column, body: Column, focus: str, other: str) -> Column:

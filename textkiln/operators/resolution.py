@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from textkiln.functions.text import identity
+from textkiln.session import settled
 
 
 def resolve_reference(refs: DataFrame, catalog: DataFrame, overrides: DataFrame, fallback: str) -> DataFrame:
@@ -62,21 +67,27 @@ def cardinality_checked(rows: DataFrame, mapping: DataFrame, key: str, value: st
 
 
 def pack(rows: DataFrame, group: str, order: str, size: str, most: int, most_rows: int) -> DataFrame:
-    """``rows`` plus ``bin``: consecutive rows of a group in bins of at most ``most`` size and ``most_rows`` rows.
+    """``group, order, size, bin``: consecutive rows of a group in bins of at most ``most`` size and ``most_rows`` rows.
 
-    A greedy fold over one group's ordered sizes, in the JVM; groups are packed in parallel. A row larger than ``most``
-    fills a bin of its own.
+    A greedy fold over rows sorted within their group, which streams: a task holds one bin's totals, however many rows a group has.
+    A row larger than ``most`` fills a bin of its own.
     """
-    state = F.struct(F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("n"), F.array().cast("array<long>").alias("bins"))
+    sorted_rows = rows.select(group, order, F.col(size).cast("long").alias(size)).repartition(group).sortWithinPartitions(group, order, size)
 
-    def put(a: Column, x: Column) -> Column:
-        full = (a["n"] > 0) & ((a["size"] + x["s"] > most) | (a["n"] >= most_rows))
-        b = a["bin"] + F.when(full, 1).otherwise(0)
-        return F.struct(b.alias("bin"), (F.when(full, 0).otherwise(a["size"]) + x["s"]).alias("size"), (F.when(full, 0).otherwise(a["n"]) + 1).alias("n"), F.concat(a["bins"], F.array(b)).alias("bins"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, number, total, n = None, 0, 0, 0
+        for b in batches:
+            bins = []
+            for g, s in zip(b[group].to_pylist(), b[size].to_pylist()):
+                if (g,) != at:
+                    at, number, total, n = (g,), 0, 0, 0
+                elif total + (s or 0) > most or n >= most_rows:
+                    number, total, n = number + 1, 0, 0
+                total, n = total + (s or 0), n + 1
+                bins.append(number)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bins, pa.int64())], [*b.schema.names, "bin"])
 
-    items = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("xs"))
-    bins = items.select(group, "xs", F.aggregate("xs", state, put, lambda a: a["bins"]).alias("bins"))
-    return bins.select(group, F.explode(F.arrays_zip("xs", "bins")).alias("z")).select(group, F.col("z.xs.o").alias(order), F.col("z.xs.s").alias(size), F.col("z.bins").alias("bin"))
+    return sorted_rows.mapInArrow(run, StructType([*sorted_rows.schema.fields, StructField("bin", LongType())]))
 
 
 def limited_groups(rows: DataFrame, group: str, section: str, order: str, limit: int) -> DataFrame:
@@ -146,10 +157,18 @@ def pack_units(rows: DataFrame, group: str, unit: str, size: str, most: int, mos
     return pack(units, group, unit, size, most, most_rows)
 
 
+def positions(rows: DataFrame, *order: Column) -> DataFrame:
+    """``rows`` plus ``place``, their number (from 1) in a global order: ranges are numbered apart and moved by the rows of the ranges before them."""
+    ranged = settled(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    # one row a range
+    before = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return ranged.join(F.broadcast(before.drop("__n")), "__part").withColumn("place", F.col("__before") + inside).drop("__part", "__before")
+
+
 def fetch_order(items: DataFrame) -> DataFrame:
     """``id, place``: required first, then tagged, newest (largest) id first."""
-    w = Window.partitionBy(F.lit(0)).orderBy(F.col("required").desc(), F.col("tagged").desc(), F.col("id").desc())
-    return items.select("id", F.row_number().over(w).alias("place"))
+    return positions(items.select("id", "required", "tagged"), F.col("required").desc(), F.col("tagged").desc(), F.col("id").desc()).select("id", "place")
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:

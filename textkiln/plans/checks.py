@@ -58,21 +58,21 @@ def decision_errors(spark, sf):
     return V.admissible(d, f)
 
 
-_DATES = ("2025-01-02", "2025-02-30", "2025-03-04T05:06:07Z", "Wed, 02 Oct 2024 13:00:00 GMT", "2 Oct 2024", "Updated January 5, 2024", "Sep 01, 2025", "soon", "", None)
-
-
 def source_dates(spark, sf):
-    rows = spark.createDataFrame([(i, v) for i, v in enumerate(_DATES)], "id int, value string")
-    v = F.col("value")
-    return rows.select("id", X.source_date(v).alias("date"), X.long_date(v).alias("long_date"), F.date_format(X.aware_time(v), "yyyy-MM-dd HH:mm:ss").alias("time"))
-
-
-_ERRORS = ("HTTP 429 too many", "HTTP 503", "permanent: HTTP 503", "read timed out", "404 not found", "connection reset by peer", None)
+    """Times of events as sources write them: ISO, RFC 2822, with a zone, in words, or with a day that doesn't exist."""
+    ts, kind = F.col("ts"), F.col("event_type")
+    value = (
+        F.when(kind == "click", F.date_format(ts, "yyyy-MM-dd")).when(kind == "view", F.concat(F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT")))
+        .when(kind == "error", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(kind == "signup", F.concat(F.lit("Updated "), F.date_format(ts, "MMMM d, yyyy"))).otherwise(F.date_format(ts, "yyyy-02-30")))
+    v = F.col("v")
+    return table(spark, sf, "events").select("event_id", value.alias("v")).select("event_id", X.source_date(v).alias("date"), X.long_date(v).alias("long_date"), F.date_format(X.aware_time(v), "yyyy-MM-dd HH:mm:ss").alias("time"))
 
 
 def transient_errors(spark, sf):
-    rows = spark.createDataFrame([(i, v) for i, v in enumerate(_ERRORS)], "id int, error string")
-    return rows.select("id", S.is_transient(F.col("error")).alias("transient"))
+    """Errors made of each event: a status from its value, or its kind in words."""
+    kind, code = F.col("event_type"), (400 + F.floor("value") % 140).cast("string")
+    error = F.when(kind == "click", F.concat(F.lit("HTTP "), code)).when(kind == "view", F.concat(F.lit("permanent: HTTP "), code)).when(kind == "error", F.concat_ws(" ", F.lit("read timed out after"), F.round("value", 1))).when(kind == "signup", F.concat(F.lit("connection reset by peer "), code))
+    return table(spark, sf, "events").select("event_id", S.is_transient(error).alias("transient"))
 
 
 def inference_claims(spark, sf):
@@ -136,9 +136,9 @@ ORACLE_SQL = {
     "superseded_baseline": "SELECT c_custkey AS path, '1998-03-01' AS captured_at FROM customer LEFT JOIN (SELECT o_custkey, max(strftime(o_orderdate, '%Y-%m-%d')) AS m FROM orders GROUP BY 1) ON o_custkey = c_custkey WHERE m IS NULL OR m <= '1998-03-01'",
     "decision_errors": """SELECT * FROM (SELECT event_id AS id, CASE WHEN event_id % 4 = 3 THEN CASE WHEN event_id % 5 <> 4 THEN 'unknown finding' END WHEN event_id % 5 = 4 THEN 'undecided' WHEN event_id % 9 = 0 AND event_id % 2 = 0 THEN 'credential can''t be safe'
  WHEN event_id % 2 <> 0 AND event_id % 11 = 0 THEN 'unresolved' WHEN event_id % 7 = 0 THEN 'no reason' END AS error FROM events) WHERE error IS NOT NULL""",
-    "source_dates": """SELECT * FROM (VALUES (0, '2025-01-02', NULL, NULL), (1, NULL, NULL, NULL), (2, '2025-03-04', NULL, '2025-03-04 05:06:07'), (3, '2024-10-02', NULL, NULL), (4, '2024-10-02', NULL, NULL),
- (5, NULL, '2024-01-05', NULL), (6, NULL, '2025-09-01', NULL), (7, NULL, NULL, NULL), (8, NULL, NULL, NULL), (9, NULL, NULL, NULL)) t(id, date, long_date, time)""",
-    "transient_errors": "SELECT * FROM (VALUES (0, true), (1, true), (2, false), (3, true), (4, false), (5, true), (6, false)) t(id, transient)",
+    "source_dates": """SELECT event_id, CASE WHEN event_type IN ('click', 'view', 'error') THEN strftime(ts, '%Y-%m-%d') END AS date, CASE WHEN event_type = 'signup' THEN strftime(ts, '%Y-%m-%d') END AS long_date,
+ CASE WHEN event_type = 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS time FROM events""",
+    "transient_errors": """SELECT event_id, coalesce(CASE event_type WHEN 'click' THEN floor(value) % 140 = 29 OR floor(value) % 140 BETWEEN 100 AND 139 WHEN 'view' THEN false WHEN 'error' THEN true WHEN 'signup' THEN true ELSE false END, false) AS transient FROM events""",
     "inference_claims": """WITH o AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders), n AS (SELECT 4 - least(4, count(*)) AS free FROM o WHERE k < 3),
  q AS (SELECT k AS request, 1 AS turn, d FROM (SELECT *, row_number() OVER (ORDER BY d, k) AS r FROM o WHERE k >= 3 AND k % 2 = 0) WHERE r <= (SELECT free FROM n))
  SELECT request, turn FROM (SELECT k AS request, 0 AS turn, d FROM o WHERE k = 1 UNION ALL SELECT * FROM q) ORDER BY turn, d, request LIMIT 3""",

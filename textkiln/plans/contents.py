@@ -73,15 +73,16 @@ def relevance_decision(spark, sf):
 
 
 def redirect_resolution(spark, sf):
-    p = table(spark, sf, "pages").select("page_id", "url")
-    links = p.select("page_id", F.explode(F.transform(F.sequence(F.lit(1), (F.col("page_id") % 7 + 1).cast("int")), lambda i: F.concat(F.lit("https://l/"), (F.col("page_id") + i) % 50))).alias("link"))
-    redirects = p.where("page_id < 40 and page_id % 2 = 0").select(F.concat(F.lit("https://l/"), "page_id").alias("src"), F.col("url").alias("dst"))
-    return P.resolve_redirects(links, redirects, most=4)
+    """Every link of every page; routes that several pages link to redirect to the first of these pages."""
+    p = table(spark, sf, "pages").select("page_id", "url", "html")
+    links = p.select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1)))).alias("link"))
+    redirects = links.join(p.select("page_id", "url"), "page_id").groupBy(F.col("link").alias("src")).agg(F.min_by("url", F.struct("page_id", "url")).alias("dst"), F.count_distinct("page_id").alias("n")).where("n > 1").select("src", "dst")
+    return P.resolve_redirects(links, redirects)
 
 
 def unlinked_references(spark, sf):
-    """A link to each document's neighbour is written into its text; links to even documents are retired."""
-    d = table(spark, sf, "documents").where("doc_id is not null").select("doc_id", F.concat(F.substring("text", 1, 200), F.lit(" [next]("), F.lit("https://example.com/d/"), F.col("doc_id") + 1, F.lit(")\n")).alias("body"))
+    """A link to each document's neighbour is written below its whole text; links to even documents are retired."""
+    d = table(spark, sf, "documents").where("doc_id is not null").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit("\n\nSee [next](https://example.com/d/"), F.col("doc_id") + 1, F.lit(")\n")).alias("body"))
     retired = d.where("doc_id % 2 = 0").select(F.concat(F.lit("https://example.com/d/"), "doc_id").alias("url"))
     return P.unlinked(d, retired, "doc_id", "body", "url").select("id", "unlinked", F.sha2("body", 256).alias("sha256"))
 
@@ -95,8 +96,8 @@ ORACLE_SQL = {
     "relevance_decision": f"""SELECT doc_id, CASE WHEN NOT regexp_matches(t || ' ' || b, '{_FOCUS}') THEN 'exclude' WHEN regexp_matches(t, '{_FOCUS}') AND NOT regexp_matches(t, '{_OTHER}') THEN 'include'
  WHEN regexp_matches(t, '{_OTHER}') AND NOT regexp_matches(b, '{_FOCUS}') THEN 'exclude' ELSE 'review' END AS decision
  FROM (SELECT doc_id, split_part(text, chr(10), 1) AS t, substring(text, length(split_part(text, chr(10), 1)) + 1) AS b FROM documents)""",
-    "redirect_resolution": """WITH l AS (SELECT DISTINCT page_id, 'https://l/' || ((page_id + i) % 50) AS link FROM pages, unnest(range(1, 8)) t(i) WHERE i <= page_id % 7 + 1), n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY link) AS n FROM l)
- SELECT n.page_id, link, CASE WHEN n <= 4 THEN coalesce(p.url, link) ELSE link END AS final FROM n LEFT JOIN pages p ON p.page_id < 40 AND p.page_id % 2 = 0 AND link = 'https://l/' || p.page_id""",
-    "unlinked_references": """SELECT doc_id AS id, CASE WHEN r THEN 1 ELSE 0 END AS unlinked, sha256(substring(text, 1, 200) || CASE WHEN r THEN ' next' ELSE ' [next](https://example.com/d/' || (doc_id + 1) || ')' END || chr(10)) AS sha256
- FROM (SELECT *, (doc_id + 1) % 2 = 0 AND doc_id + 1 <= (SELECT max(doc_id) FROM documents) AS r FROM documents)""",
+    "redirect_resolution": """WITH l AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS link FROM pages), r AS (SELECT link AS src, arg_min(url, page_id) AS dst FROM l JOIN pages USING (page_id) GROUP BY link HAVING count(DISTINCT page_id) > 1),
+ n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY link) AS n FROM l) SELECT page_id, link, CASE WHEN n <= 100 THEN coalesce(dst, link) ELSE link END AS final FROM n LEFT JOIN r ON link = src""",
+    "unlinked_references": """SELECT doc_id AS id, CASE WHEN r THEN 1 ELSE 0 END AS unlinked, sha256(coalesce(text, '') || chr(10) || chr(10) || CASE WHEN r THEN 'See next' ELSE 'See [next](https://example.com/d/' || (doc_id + 1) || ')' END || chr(10)) AS sha256
+ FROM (SELECT *, (doc_id + 1) % 2 = 0 AND EXISTS (SELECT 1 FROM documents o WHERE o.doc_id = d.doc_id + 1) AS r FROM documents d WHERE doc_id IS NOT NULL)""",
 }

@@ -77,11 +77,10 @@ def pooled_bodies(spark, sf):
     return back.groupBy("sha256").agg(F.count(F.lit(1)).alias("uses"), F.max(F.length("body")).alias("chars"))
 
 
-_ESCAPED = ("a%2520b", "&amp;lt;x&gt;", "\\*x\\*", "plain", "%26amp%3B", None)
-
-
 def decoded_texts(spark, sf):
-    return C.decode_texts(spark.createDataFrame([(str(i), t) for i, t in enumerate(_ESCAPED)], "id string, t string"), "id", "t")
+    """URLs of pages with two rounds of percent escapes, and their markup's brackets as entities."""
+    escaped = F.concat(F.url_encode(F.url_encode("url")), F.lit("%26lt;"), F.url_encode(F.upper(F.regexp_extract("html", "<title>([A-Za-z ]*)", 1))), F.lit("&amp;gt;"))
+    return C.decode_texts(table(spark, sf, "pages").select("page_id", escaped.alias("t")), "page_id", "t")
 
 
 QUERIES = {f.__name__: f for f in (reviewed_decisions, retired_documents, metadata_rebuild, decision_replay, request_submission, result_matching, safe_inventory, pooled_bodies, decoded_texts)}
@@ -98,5 +97,5 @@ ORACLE_SQL = {
  SELECT coalesce(c_custkey, request) AS request, CASE WHEN c_custkey IS NOT NULL AND n = 1 THEN result END AS result, CASE WHEN c_custkey IS NULL THEN 'unknown' WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'repeated' END AS error FROM customer FULL JOIN r ON request = c_custkey""",
     "safe_inventory": "SELECT lang, source, count(*) AS documents, min(sha256(doc_id::VARCHAR)) AS first_sha256 FROM documents GROUP BY ALL",
     "pooled_bodies": "SELECT sha256(text) AS sha256, count(*) AS uses, max(length(text))::INT AS chars FROM documents GROUP BY 1",
-    "decoded_texts": "SELECT * FROM (VALUES ('0', 'a b', NULL), ('1', '<x>', NULL), ('2', '*x*', NULL), ('3', 'plain', NULL), ('4', '&', NULL), ('5', NULL, NULL)) t(id, text, error)",
+    "decoded_texts": "SELECT page_id::VARCHAR AS page_id, lower(url) || '<' || lower(replace(regexp_extract(html, '<title>([A-Za-z ]*)', 1), ' ', '+')) || '>' AS text, NULL::VARCHAR AS error FROM pages",
 }

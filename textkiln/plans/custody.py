@@ -26,7 +26,7 @@ _SEAL_SQL = """SELECT * FROM (SELECT 'f' || k AS path, CASE WHEN k % 20 = 7 AND
 
 
 def frame_inventory(spark, sf):
-    l = table(spark, sf, "lineitem").where("l_linenumber <= 3").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
+    l = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
     v = l.groupBy(F.col("l_orderkey").alias("document")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "p"))), lambda x: F.struct(F.sha2(x["p"].cast("string"), 256).alias("sha256"), F.when(x["p"] % 2 == 0, x["l_linenumber"] * 10).alias("frame"))).alias("visuals"))
     return E.frames(v)
 
@@ -51,9 +51,10 @@ def resumable_capture(spark, sf):
 
 
 def disposition_history(spark, sf):
+    """Customers with a balance have a history; one segment's are corrected."""
     c, k = table(spark, sf, "customer"), F.col("c_custkey")
-    h = c.where("c_custkey <= 1000").select(k.alias("identity"), F.when(k % 2 == 0, "keep").otherwise("omit").alias("disposition"), F.lit("2025-01-01").alias("valid_from"), F.lit(None).cast("string").alias("valid_to"))
-    fix = c.where("c_custkey % 5 = 0").select(k.alias("identity"), F.lit("keep").alias("disposition"))
+    h = c.where("c_acctbal >= 0").select(k.alias("identity"), F.when(k % 2 == 0, "keep").otherwise("omit").alias("disposition"), F.lit("2025-01-01").alias("valid_from"), F.lit(None).cast("string").alias("valid_to"))
+    fix = c.where("c_mktsegment = 'BUILDING'").select(k.alias("identity"), F.lit("keep").alias("disposition"))
     return E.corrected(h, fix, "2025-07-01")
 
 
@@ -63,7 +64,7 @@ def request_spacing(spark, sf):
 
 
 def unreferenced_assets(spark, sf):
-    return E.pruned_assets(table(spark, sf, "part").select(F.col("p_partkey").alias("path")), table(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("target")))
+    return E.pruned_assets(table(spark, sf, "part").select(F.col("p_partkey").alias("path")), table(spark, sf, "lineitem").select((F.col("l_partkey") * 2).alias("target")))
 
 
 def inventory_pass(spark, sf):
@@ -85,25 +86,21 @@ def document_findings(spark, sf):
 
 
 def payloads(spark, sf):
-    t = F.concat(F.lit("`cmd "), "doc_id", F.lit("` takes "), F.col("doc_id") % 90, F.lit(" ms of 1.5 GB"))
-    return table(spark, sf, "documents").select("doc_id", E.technical_payloads(t).alias("payloads"))
+    return table(spark, sf, "documents").select("doc_id", E.technical_payloads(F.col("text")).alias("payloads"))
 
 
 def descriptions(spark, sf):
     return table(spark, sf, "documents").select("doc_id", E.first_paragraph(F.col("text")).alias("description"))
 
 
-_LD = (
-    '<script type="application/ld+json">{"@graph":[{"@type":"X"},{"datePublished":"2025-09-10T12:00:00Z","dateModified":"2026-06-24"}]}</script>',
-    '<script type="application/ld+json">[{"dateModified":"soon"}]</script>',
-    '<script type="application/ld+json">{"datePublished":"2024-01-02"}</script>',
-    "<p>none</p>",
-)
-
-
 def structured_dates(spark, sf):
-    rows = spark.createDataFrame([(i, h) for i, h in enumerate(_LD)], "id int, html string")
-    return rows.select("id", E.json_ld_dates(F.col("html")).alias("d")).select("id", "d.published", "d.modified")
+    """Whole pages with the metadata of the event of their number: in a graph, a list or one node by its kind."""
+    node = F.concat(F.lit('{"datePublished":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('"'), F.when(F.col("value") > 20, F.concat(F.lit(',"dateModified":"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"'))).otherwise(F.lit("")), F.lit("}"))
+    kind = F.col("event_type")
+    data = F.when(kind == "click", F.concat(F.lit('{"@graph":[{"@type":"X"},'), node, F.lit("]}"))).when(kind == "view", F.concat(F.lit("["), node, F.lit("]"))).when(kind == "error", F.lit('{"dateModified":"soon"}')).otherwise(node)
+    e = table(spark, sf, "events").select(F.col("event_id").alias("page_id"), data.alias("data"))
+    pages = table(spark, sf, "pages").join(e, "page_id", "left").select("page_id", F.concat(F.col("html"), F.coalesce(F.concat(F.lit('<script type="application/ld+json">'), "data", F.lit("</script>")), F.lit(""))).alias("html"))
+    return pages.select("page_id", E.json_ld_dates(F.col("html")).alias("d")).select("page_id", "d.published", "d.modified")
 
 
 def url_origins(spark, sf):
@@ -126,17 +123,17 @@ QUERIES = {f.__name__: f for f in (
 ORACLE_SQL = {
     "seal_verification": _SEAL_SQL,
     "frame_inventory": """SELECT d AS document, sha256(p::VARCHAR) AS sha256, CASE WHEN p % 2 = 0 THEN l * 10 ELSE row_number() OVER (PARTITION BY d ORDER BY l) - 1 END::INT AS frame
- FROM (SELECT l_orderkey AS d, l_linenumber AS l, min(l_partkey) AS p FROM lineitem WHERE l_linenumber <= 3 GROUP BY ALL)""",
+ FROM (SELECT l_orderkey AS d, l_linenumber AS l, min(l_partkey) AS p FROM lineitem GROUP BY ALL)""",
     "evidence_checks": """WITH o AS (SELECT DISTINCT o_custkey AS d, o_orderkey % 50 AS a FROM orders) SELECT c_custkey AS document, c_custkey % 3 <> 0 AND EXISTS (SELECT 1 FROM o WHERE d = c_custkey AND a = c_custkey * 7 % 50)
  AND EXISTS (SELECT 1 FROM o WHERE d = c_custkey AND a = c_custkey % 2) AS valid FROM customer""",
     "policy_qualification": """SELECT doc_id AS path, CASE WHEN doc_id % 10 = 0 THEN 'added' WHEN doc_id % 9 = 0 THEN 'removed' ELSE 'changed' END AS change, doc_id % 2 = 0 AS approved FROM documents
  WHERE (doc_id % 10 = 0) <> (doc_id % 9 = 0) OR (doc_id % 10 <> 0 AND doc_id % 9 <> 0 AND doc_id % 7 = 0)""",
     "resumable_capture": "SELECT c_custkey AS identity FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 4 = 0",
-    "disposition_history": """SELECT c_custkey AS identity, CASE WHEN c_custkey % 2 = 0 THEN 'keep' ELSE 'omit' END AS disposition, '2025-01-01' AS valid_from, CASE WHEN c_custkey % 10 = 5 THEN '2025-07-01' END AS valid_to FROM customer WHERE c_custkey <= 1000
- UNION ALL SELECT c_custkey, 'keep', '2025-07-01', NULL FROM customer WHERE c_custkey % 5 = 0 AND (c_custkey > 1000 OR c_custkey % 10 = 5)""",
+    "disposition_history": """SELECT c_custkey AS identity, CASE WHEN c_custkey % 2 = 0 THEN 'keep' ELSE 'omit' END AS disposition, '2025-01-01' AS valid_from, CASE WHEN c_custkey % 2 = 1 AND c_mktsegment = 'BUILDING' THEN '2025-07-01' END AS valid_to FROM customer WHERE c_acctbal >= 0
+ UNION ALL SELECT c_custkey, 'keep', '2025-07-01', NULL FROM customer WHERE c_mktsegment = 'BUILDING' AND (c_acctbal IS NULL OR c_acctbal < 0 OR c_custkey % 2 = 1)""",
     "request_spacing": """WITH n AS (SELECT user_id AS client, event_id AS request, (event_id % 100)::DOUBLE AS at0, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 100, event_id) - 1 AS n FROM events WHERE user_id IS NOT NULL)
  SELECT client, request, max(at0 - 2 * n) OVER (PARTITION BY client ORDER BY n) + 2.0 * n AS start FROM n""",
-    "unreferenced_assets": "SELECT p_partkey AS path FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)",
+    "unreferenced_assets": "SELECT p_partkey AS path FROM part WHERE p_partkey NOT IN (SELECT l_partkey * 2 FROM lineitem WHERE l_partkey IS NOT NULL)",
     "inventory_pass": """SELECT k AS id, CASE WHEN k % 7 = 0 THEN 'include' WHEN k % 6 = 0 THEN 'include' WHEN k % 3 = 0 OR (k % 5 = 0 AND k % 2 <> 0) THEN 'unresolved' ELSE 'exclude' END AS decision,
  CASE WHEN k % 7 = 0 THEN 'reviewed' WHEN k % 6 = 0 THEN 'listed and tagged' WHEN k % 3 = 0 THEN 'tagged but not listed' WHEN k % 5 = 0 AND k % 2 <> 0 THEN 'only in the sitemap' ELSE 'not tagged' END AS reason
  FROM (SELECT c_custkey AS k FROM customer) WHERE k % 2 = 0 OR k % 3 = 0 OR k % 5 = 0""",
@@ -145,9 +142,10 @@ ORACLE_SQL = {
     "document_findings": """WITH d AS (SELECT doc_id, text, substring(text, 1, 60) AS s, len(list_filter(regexp_split_to_array(CASE WHEN doc_id % 5 = 0 THEN 'Last updated May 1 ' || text || ' Figure 1: x Figure 2. y' ELSE text END, '\\s+'), lambda x: x <> '')) AS w FROM documents)
  SELECT doc_id, 'body_date' AS category, 1 AS n FROM d WHERE doc_id % 5 = 0 UNION ALL SELECT doc_id, 'duplicate_caption', 2 FROM d WHERE doc_id % 5 = 0 UNION ALL SELECT doc_id, 'short_document', 1 FROM d WHERE w < 80
  UNION ALL SELECT doc_id, 'clipped_description', 1 FROM d WHERE s <> '' AND NOT regexp_matches(s, '[.!?]$')""",
-    "payloads": "SELECT doc_id, ['`cmd ' || doc_id || '`', (doc_id % 90) || ' ms', '1.5 GB'] AS payloads FROM documents",
+    "payloads": f"SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{E.PAYLOAD}', 1) AS payloads FROM documents",
     "descriptions": """SELECT doc_id, trim(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^\\s*(?:#|[-*+] |\\d+[.)] |\\||>|!\\[|```)') AND length(trim(x)) >= 20 AND regexp_matches(trim(x), '[.!?]$'))[1]) AS description FROM documents""",
-    "structured_dates": "SELECT * FROM (VALUES (0, '2025-09-10', '2026-06-24'), (1, NULL, NULL), (2, '2024-01-02', NULL), (3, NULL, NULL)) t(id, published, modified)",
+    "structured_dates": """SELECT page_id, CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d') END AS published, CASE WHEN event_type <> 'error' AND value > 20 THEN strftime(ts, '%Y-%m-%d') END AS modified
+ FROM pages LEFT JOIN events ON event_id = page_id""",
     "url_origins": """SELECT o_custkey::VARCHAR AS url, array_to_string(list_filter([CASE WHEN bool_or(o_orderkey % 5 = 0) THEN 'discovery' END, CASE WHEN bool_or(o_orderkey % 3 = 0) THEN 'inventory' END, CASE WHEN bool_or(o_orderkey % 2 = 0) THEN 'previous_publication' END], lambda x: x IS NOT NULL), ',') AS origins,
  min(strftime(o_orderdate, '%Y-%m-%d')) AS first_seen FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 GROUP BY o_custkey""",
     "carried_budgets": "SELECT c_custkey AS identity, CASE WHEN c_custkey % 4 = 0 THEN 9 ELSE c_custkey % 3 END AS budget FROM customer",

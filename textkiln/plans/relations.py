@@ -23,17 +23,17 @@ SELECT node, min(depth)::INT AS depth FROM r GROUP BY node"""
 
 
 def alias_resolution(spark, sf):
-    """Orders as paths: an odd key points to half of it; the last keys form a cycle."""
+    """Orders as paths: an odd key points to half of it; a few more form a cycle, have two targets, or lead there."""
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
     chain = o.where("k > 3 and k % 2 = 1").select(F.concat(F.lit("p"), "k").alias("path"), F.concat(F.lit("p"), F.expr("k div 2")).alias("target"))
-    loop = spark.createDataFrame([("x1", "x2"), ("x2", "x3"), ("x3", "x1"), ("y", "x1")], "path string, target string")
+    loop = spark.createDataFrame([("x1", "x2"), ("x2", "x3"), ("x3", "x1"), ("y", "x1"), ("z", "p3"), ("z", "p1"), ("zz", "z")], "path string, target string")
     return G.resolve_aliases(chain.unionByName(loop))
 
 
 _ALIAS_SQL = """WITH RECURSIVE a AS (SELECT 'p' || o_orderkey AS path, 'p' || (o_orderkey // 2) AS target FROM orders WHERE o_orderkey > 3 AND o_orderkey % 2 = 1),
 r(path, target, hops) AS (SELECT path, target, 1 FROM a UNION ALL SELECT r.path, a.target, hops + 1 FROM r JOIN a ON a.path = r.target)
-SELECT path, arg_max(target, hops) AS target, max(hops)::BIGINT AS hops, false AS cycle FROM r GROUP BY path
-UNION ALL SELECT v.path, NULL, NULL, true FROM (VALUES ('x1'), ('x2'), ('x3'), ('y')) v(path)"""
+SELECT path, arg_max(target, hops) AS target, max(hops)::BIGINT AS hops, false AS cycle, NULL::VARCHAR AS error FROM r GROUP BY path
+UNION ALL SELECT path, NULL, NULL, error = 'cycle', error FROM (VALUES ('x1', 'cycle'), ('x2', 'cycle'), ('x3', 'cycle'), ('y', 'cycle'), ('z', 'several targets'), ('zz', 'leads to several targets')) v(path, error)"""
 
 
 def link_discovery(spark, sf):
@@ -54,7 +54,7 @@ def api_resolution(spark, sf):
         F.concat(F.lit("op"), F.col("p_partkey") % 500).alias("operation_id"), F.concat(F.lit("res-"), F.col("p_partkey") % 300).alias("resource"), F.col("p_brand").alias("domain"),
         F.concat(F.lit("https://api/"), F.col("p_partkey") % 700).alias("url"), F.concat(F.lit("https://api/o/"), F.col("p_partkey") % 300).alias("overview_url"),
         F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("https://old/"), F.col("p_partkey"))).alias("legacy_url"))
-    l = table(spark, sf, "lineitem").where("l_linenumber = 1")
+    l = table(spark, sf, "lineitem")
     refs = l.select(F.col("l_partkey").alias("k"), (F.col("l_suppkey") % 4).alias("m")).distinct().select(
         F.concat_ws("/", F.lit("ref"), "k", "m").alias("ref"), F.concat(F.lit("https://old/"), "k").alias("canonical"),
         F.when(F.col("m") == 0, F.concat(F.lit("op"), F.col("k") + 400)).otherwise(F.lit("")).alias("fragment"),
@@ -65,7 +65,7 @@ def api_resolution(spark, sf):
 
 _API_SQL = """WITH c AS (SELECT 'op' || (p_partkey % 500) AS op, 'res-' || (p_partkey % 300) AS res, p_brand AS domain, 'https://api/' || (p_partkey % 700) AS url, 'https://api/o/' || (p_partkey % 300) AS over, CASE WHEN p_partkey % 5 = 0 THEN 'https://old/' || p_partkey END AS legacy FROM part),
 r AS (SELECT 'ref/' || k || '/' || m AS ref, 'https://old/' || k AS canon, CASE WHEN m = 0 THEN 'op' || (k + 400) ELSE '' END AS frag, CASE WHEN m = 1 THEN 'RES_' || (k + 200) WHEN m = 2 THEN 'op' || (k % 600) ELSE 'none' END AS leaf
- FROM (SELECT DISTINCT l_partkey AS k, l_suppkey % 4 AS m FROM lineitem WHERE l_linenumber = 1)),
+ FROM (SELECT DISTINCT l_partkey AS k, l_suppkey % 4 AS m FROM lineitem)),
 h AS (SELECT ref, 0 AS p, 'https://api/x' AS t, '' AS i FROM r WHERE ref = 'ref/7/0' UNION ALL SELECT ref, 1, 'https://api/y', '' FROM r WHERE canon = 'https://old/11'
  UNION ALL SELECT ref, 2, url, res || domain FROM r JOIN c ON frag <> '' AND op = frag UNION ALL SELECT ref, 3, url, res || domain FROM r JOIN c ON op = leaf UNION ALL SELECT ref, 4, url, res || domain FROM r JOIN c ON legacy = canon
  UNION ALL SELECT ref, 5, url, res || domain FROM r JOIN c ON frag <> '' AND res || '#' || lower(op) = replace(replace(lower(leaf), '_', '-'), '.', '-') || '#' || lower(frag)
@@ -88,7 +88,7 @@ def earliest_observation(spark, sf):
 
 def question_documents(spark, sf):
     asked = table(spark, sf, "benchmark").select(F.concat(F.lit("d"), "item_id").alias("path"))
-    alias = table(spark, sf, "part").where("p_partkey < 60").select(F.concat(F.lit("d"), F.expr("p_partkey div 2")).alias("path"), F.concat(F.lit("t"), F.when(F.col("p_partkey") % 6 < 2, F.lit(0)).otherwise(F.col("p_partkey"))).alias("target"))
+    alias = table(spark, sf, "part").select(F.concat(F.lit("d"), F.expr("p_partkey div 2")).alias("path"), F.concat(F.lit("t"), F.when(F.col("p_partkey") % 6 < 2, F.lit(0)).otherwise(F.col("p_partkey"))).alias("target"))
     return R.cardinality_checked(asked, alias, "path", "target")
 
 
@@ -191,6 +191,12 @@ r AS (SELECT o_custkey, l_orderkey, size, i, 0::BIGINT AS bin, size AS s, 1 AS n
 SELECT o_custkey, l_orderkey, size, bin FROM r"""
 
 
+def fetch_order(spark, sf):
+    """Orders in the order of their fetch: dear ones first, then the urgent, newest first."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.coalesce(F.col("o_totalprice") > 300_000, F.lit(False)).alias("required"), F.coalesce(F.col("o_orderpriority") == "1-URGENT", F.lit(False)).alias("tagged"))
+    return R.fetch_order(o)
+
+
 def rerun_difference(spark, sf):
     """A second run that lost one document and doubled another."""
     d = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
@@ -199,9 +205,10 @@ def rerun_difference(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     link_closure, alias_resolution, link_discovery, api_resolution, strongest_ledgers, earliest_observation, question_documents, batch_packing, fact_groups, usage_rollup,
-    running_offsets, projected_ranges, interval_containment, first_turn_only, document_tags, related_last_wins, listing_differences, corpus_digests, unit_packing, rerun_difference)}
+    running_offsets, projected_ranges, interval_containment, first_turn_only, document_tags, related_last_wins, listing_differences, corpus_digests, unit_packing, fetch_order, rerun_difference)}
 ORACLE_SQL = {
     "unit_packing": _UNITS_SQL,
+    "fetch_order": "SELECT o_orderkey AS id, row_number() OVER (ORDER BY coalesce(o_totalprice > 300000, false) DESC, coalesce(o_orderpriority = '1-URGENT', false) DESC, o_orderkey DESC) AS place FROM orders",
     "rerun_difference": "SELECT doc_id, sha256(text) AS sha256, CASE WHEN doc_id = 5 THEN 'first' ELSE 'second' END AS side FROM documents WHERE doc_id IN (5, 7)",
     "link_closure": _CLOSURE_SQL,
     "alias_resolution": _ALIAS_SQL,
@@ -210,7 +217,7 @@ ORACLE_SQL = {
     "strongest_ledgers": """SELECT l_suppkey, max(l_quantity) AS l_quantity, max(l_returnflag) AS l_returnflag, count(*) > 1 AS tied FROM (SELECT DISTINCT * FROM (
  SELECT l_suppkey, l_quantity, l_returnflag, l_orderkey, rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_returnflag DESC) AS r FROM lineitem) WHERE r = 1) GROUP BY l_suppkey""",
     "earliest_observation": "SELECT user_id, min(CASE WHEN event_type <> 'click' THEN ts END)::VARCHAR AS observed FROM events WHERE user_id IS NOT NULL GROUP BY user_id",
-    "question_documents": """WITH m AS (SELECT 'd' || (p_partkey // 2) AS path, count(DISTINCT t) AS n, min(t) AS t FROM (SELECT p_partkey, 't' || CASE WHEN p_partkey % 6 < 2 THEN 0 ELSE p_partkey END AS t FROM part WHERE p_partkey < 60) GROUP BY 1)
+    "question_documents": """WITH m AS (SELECT 'd' || (p_partkey // 2) AS path, count(DISTINCT t) AS n, min(t) AS t FROM (SELECT p_partkey, 't' || CASE WHEN p_partkey % 6 < 2 THEN 0 ELSE p_partkey END AS t FROM part) GROUP BY 1)
  SELECT path, CASE WHEN coalesce(n, 0) <= 1 THEN coalesce(t, path) END AS resolved, CASE WHEN n > 1 THEN 'ambiguous' END AS error FROM (SELECT 'd' || item_id AS path FROM benchmark) LEFT JOIN m USING (path)""",
     "batch_packing": _PACK_SQL,
     "fact_groups": _FACTS_SQL,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -49,17 +49,18 @@ def page_states(events: DataFrame) -> DataFrame:
 
 
 def folded(events: DataFrame) -> DataFrame:
-    """The same for a batch: all events of a page in order, folded in the JVM."""
-    at = F.array_sort(F.collect_list(F.struct("at", "event_id", "kind")))
-    zero = F.struct(F.lit(0).alias("attempts"), F.lit(0).alias("failures"), F.lit(0).alias("terminals"), F.lit("discovered").alias("status"), F.lit(None).cast("string").alias("last_success"))
-
-    def one(a, e):
-        ok, gone = e["kind"] == "success", e["kind"] == "gone"
-        terminals = F.when(gone, a["terminals"] + 1).otherwise(0)
-        status = F.when(ok, "success").when(gone & (terminals >= 2), "confirmed_removal").when(gone, "removal_candidate").when(a["last_success"].isNotNull(), "carried_forward").otherwise("failed")
-        return F.struct((a["attempts"] + 1).alias("attempts"), F.when(ok, 0).otherwise(a["failures"] + 1).alias("failures"), terminals.alias("terminals"), status.alias("status"), F.when(ok, e["at"]).otherwise(a["last_success"]).alias("last_success"))
-
-    return events.groupBy("page").agg(at.alias("es")).select("page", F.aggregate("es", zero, one).alias("s")).select("page", "s.status", "s.attempts", "s.failures", "s.terminals", "s.last_success")
+    """The same for a batch, by counting what came after the last success and the last event that wasn't terminal; no page's events are gathered."""
+    place = F.struct("at", "event_id")
+    page = Window.partitionBy("page")
+    last = lambda when: F.max(F.when(when, place)).over(page)
+    ok, gone = F.col("kind") == "success", F.col("kind") == "gone"
+    after = lambda mark: F.col(mark).isNull() | (place > F.col(mark))
+    marked = events.withColumn("ok", last(ok)).withColumn("other", last(~gone))
+    each = marked.groupBy("page").agg(
+        F.count(F.lit(1)).cast("int").alias("attempts"), F.count_if(after("ok")).cast("int").alias("failures"), F.count_if(after("other")).cast("int").alias("terminals"),
+        F.max_by("kind", place).alias("kind"), F.max(F.when(ok, F.col("at"))).alias("last_success"))
+    status = F.when(ok, "success").when(gone & (F.col("terminals") >= 2), "confirmed_removal").when(gone, "removal_candidate").when(F.col("last_success").isNotNull(), "carried_forward").otherwise("failed")
+    return each.select("page", status.alias("status"), "attempts", "failures", "terminals", "last_success")
 
 
 def windowed_counts(events: DataFrame, ts: str = "ts", watermark: str = "1 hour", width: str = "1 hour") -> DataFrame:
