@@ -314,6 +314,27 @@ def test_sorted_suffixes():
     assert classes(text, order).sum() == len(set(got))
 
 
+def test_distributed_suffix_order(spark):
+    """The direct form finds the windows that the bucketed one and brute force find."""
+    from textkiln.llm.suffix_array import repeated_windows
+    from textkiln.llm.suffix_dedup import removed_windows
+    from textkiln.llm.tables import written
+
+    rng = np.random.default_rng(9)
+    text = "".join(rng.choice(list("ab"), 300))
+    rows = [(0, text), (1, "xy" + text[3:280]), (2, "ab" * 100), (3, "b" + "ab" * 60 + "z"), (4, text[100:149]), (5, text[100:150]), (6, text[:60] + "!" + text[200:260]), (7, "é" * 60), (8, "aé" * 60), (9, None)]
+    df = written(spark.createDataFrame([(i, i, t) for i, t in rows], "row long, d long, text string"), "suffix-test")
+    first, want = {}, set()
+    for d, t in rows:
+        b = (t or "").encode()
+        for i in range(len(b) - 49):
+            if first.setdefault(b[i:i + 50], d) < d:
+                want.add((d, i))
+    assert {tuple(r) for r in repeated_windows(df).collect()} == want
+    got = {(r["row"], r["lo"] + j) for r in removed_windows(df.where("text is not null")).collect() for j in range(31) if r["bits"] >> j & 1}
+    assert got == want
+
+
 def brute_topk(rows, every, k=5):
     """Per row that asks: (id, its ranks). ``rows``: (id, integers)."""
     out = []
