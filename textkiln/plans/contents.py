@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from textkiln.functions.text import body_hash
 from textkiln.operators import pages as P
 from textkiln.operators import privacy as V
 from textkiln.sources import documents as D
@@ -23,7 +24,9 @@ def markdown_blocks(spark, sf):
 
 
 def markdown_links(spark, sf):
-    return P.markdown_links(_rendered(spark, sf), "page_id", "markdown")
+    """Rendered pages with a link to themselves, an image, and a link in code that doesn't count."""
+    more = F.concat(F.col("markdown"), F.lit("\n[this page]("), F.col("url"), F.lit(") ![i](/img/"), F.col("page_id"), F.lit(".png)\n\n```\n[no](/code)\n```\n"))
+    return P.markdown_links(_rendered(spark, sf).select("page_id", more.alias("markdown")), "page_id", "markdown")
 
 
 def markdown_sections(spark, sf):
@@ -44,7 +47,7 @@ def frontmatter_roundtrip(spark, sf):
     text = D.serialize({"sourceId": F.lit("pages"), "title": F.col("title"), "url": F.col("url"), "description": F.col("description")}, F.col("markdown"))
     back = r.select("page_id", "title", "markdown", text.alias("document"))
     meta, body = D.split(F.col("document"))
-    return back.select("page_id", meta.alias("m"), body.alias("b"), "title", "markdown").select("page_id", (F.col("m")["title"] == F.col("title")).alias("same_title"), (F.col("b") == F.col("markdown")).alias("same_body"), F.col("m")["content_hash"].alias("content_hash"))
+    return back.select("page_id", meta.alias("m"), body.alias("b"), "title", "markdown").select("page_id", (F.col("m")["title"] == F.col("title")).alias("same_title"), (F.col("b") == F.col("markdown")).alias("same_body"), (F.col("m")["content_hash"] == body_hash(F.col("markdown"))).alias("same_hash"))
 
 
 def privacy_scan(spark, sf):
@@ -92,6 +95,8 @@ QUERIES = {f.__name__: f for f in (
     relevance_decision, redirect_resolution, unlinked_references)}
 _KINDS_SQL = ", ".join(f"CASE WHEN regexp_matches(text, '{p}') THEN '{k}' END" for k, p in sorted(V.KINDS.items()))
 ORACLE_SQL = {
+    "markdown_links": "SELECT page_id AS id, 'link' AS kind, url AS target FROM pages UNION ALL SELECT page_id, 'media', '/img/' || page_id || '.png' FROM pages",
+    "frontmatter_roundtrip": "SELECT page_id, true AS same_title, true AS same_body, true AS same_hash FROM pages",
     "privacy_scan": f"SELECT doc_id, kinds FROM (SELECT doc_id, array_to_string(list_filter([{_KINDS_SQL}], lambda x: x IS NOT NULL), ',') AS kinds FROM documents) WHERE kinds <> ''",
     "relevance_decision": f"""SELECT doc_id, CASE WHEN NOT regexp_matches(t || ' ' || b, '{_FOCUS}') THEN 'exclude' WHEN regexp_matches(t, '{_FOCUS}') AND NOT regexp_matches(t, '{_OTHER}') THEN 'include'
  WHEN regexp_matches(t, '{_OTHER}') AND NOT regexp_matches(b, '{_FOCUS}') THEN 'exclude' ELSE 'review' END AS decision

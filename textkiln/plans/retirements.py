@@ -97,7 +97,7 @@ def known_contents(spark, sf):
 
 def imported_provenance(spark, sf):
     url = lambda c: F.concat(F.lit("u"), F.col(c)).alias("url")
-    return T.imported_provenance(table(spark, sf, "customer").select(url("c_custkey")), table(spark, sf, "orders").select(url("o_custkey")), table(spark, sf, "customer").where("c_acctbal < 0").select(url("c_custkey"), F.col("c_mktsegment").alias("origin")))
+    return T.imported_provenance(table(spark, sf, "customer").select(url("c_custkey")), table(spark, sf, "orders").select(F.concat(F.lit("u"), F.col("o_custkey") * 2).alias("url")), table(spark, sf, "customer").where("c_acctbal < 0").select(url("c_custkey"), F.col("c_mktsegment").alias("origin")))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -127,5 +127,5 @@ SELECT * FROM (SELECT page_id, CASE WHEN p IN (SELECT {_PLACE('url')} FROM pages
     "unique_json": """SELECT event_id, CASE WHEN props IS NULL THEN 'ok' WHEN event_type = 'purchase' THEN 'duplicate key' WHEN event_type = 'error' THEN 'no JSON' ELSE 'ok' END AS outcome,
  CASE WHEN event_type NOT IN ('purchase', 'error') THEN sha256(replace(props, ' ', '')) END AS sha256 FROM events""",
     "known_contents": "SELECT doc_id, EXISTS (SELECT 1 FROM documents o WHERE o.doc_id % 2 = 1 AND o.text = d.text AND o.lang IS NOT DISTINCT FROM d.lang AND o.source IS NOT DISTINCT FROM d.source AND o.n_chars IS NOT DISTINCT FROM d.n_chars) AS known FROM documents d",
-    "imported_provenance": "SELECT 'u' || c_custkey AS url, CASE WHEN c_acctbal < 0 THEN c_mktsegment ELSE 'import' END AS origin FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "imported_provenance": "SELECT 'u' || c_custkey AS url, CASE WHEN c_acctbal < 0 THEN c_mktsegment ELSE 'import' END AS origin FROM customer WHERE c_custkey NOT IN (SELECT o_custkey * 2 FROM orders)",
 }

@@ -155,6 +155,7 @@ QUERIES = {f.__name__: f for f in (
 
 _LINES = "SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS piece, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line FROM documents"
 _T = X.tokens_sql
+_FLAT = X.folded_sql("trim(regexp_replace(piece, '\\s+', ' ', 'g'))")
 _SIGNIFICANT = f"list_distinct(list_filter({_T('text')}, lambda t: length(t) >= 5 AND t NOT IN ({', '.join(repr(x) for x in quality.COMMON)})))"
 _RECALL_SQL = f"""WITH p AS (SELECT * FROM (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS earlier FROM conversations) WHERE earlier IS NOT NULL),
 w AS (SELECT conv_id, turn, token, count(*) AS want FROM (SELECT conv_id, turn, unnest({_T('earlier')}) AS token FROM p) GROUP BY ALL),
@@ -215,8 +216,8 @@ ORACLE_SQL = {
  FROM (SELECT doc_id, {_T('piece')} AS t FROM ({pieces}) WHERE NOT regexp_matches(piece, '^[ \\n\\t\\x0b\\f\\r]*#')) WHERE len(t) >= 8) GROUP BY block HAVING count(*) >= 3"""
        for name, pieces in (("lines", _LINES), ("blocks", f"SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '{X.BLANK_LINE.replace(chr(10), chr(92) + 'n')}')) AS piece FROM documents"))},
     "exact_repetition": f"SELECT sha256(piece) AS sha256, count(*) AS occurrences, count(DISTINCT doc_id) AS n_docs, min(doc_id) AS first_doc FROM ({_LINES}) WHERE trim(piece) <> '' GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3",
-    "near_repetition": """SELECT sha256(flat) AS normalized_sha256, count(*) AS occurrences, count(DISTINCT doc_id) AS n_docs, count(DISTINCT piece) AS n_forms FROM (
- SELECT doc_id, piece, lower(trim(regexp_replace(piece, '\\s+', ' ', 'g'))) AS flat FROM (
+    "near_repetition": f"""SELECT sha256(flat) AS normalized_sha256, count(*) AS occurrences, count(DISTINCT doc_id) AS n_docs, count(DISTINCT piece) AS n_forms FROM (
+ SELECT doc_id, piece, {_FLAT} AS flat FROM (
  SELECT doc_id, unnest(string_split(CASE WHEN source < 'src5' THEN lower(text) ELSE text END, chr(10))) AS piece FROM documents))
  WHERE length(flat) >= 80 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2 AND count(DISTINCT piece) > 1""",
     "canonical_candidates": f"SELECT sha256(lower(text)) AS key, count(*) AS documents, min(doc_id) AS first_doc, count(DISTINCT {_NORMAL}) = 1 AS substantive_match FROM documents GROUP BY 1 HAVING count(*) > 1",
