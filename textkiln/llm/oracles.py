@@ -57,6 +57,20 @@ s AS (SELECT a.r AS ar, b.r AS br, a.vec_id AS query_id, b.vec_id, list_inner_pr
 SELECT query_id, rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, br)::INT AS rank FROM s) WHERE rank <= 5
 """
 
+#: CRC-32 byte by byte, with its table made by eight steps for each of 256 values.
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(x)), '..'), lambda h: ('0x' || h)::BIGINT)), lambda a, b: xor(a >> 8, tab[xor(a & 255, b) + 1])), 4294967295::BIGINT)"
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END"
+
+OP9 = f"""
+WITH RECURSIVE steps(i, k, c) AS (SELECT i, 0, i FROM range(256) t(i) UNION ALL SELECT i, k + 1, {_CRC_STEP} FROM steps WHERE k < 8), crc AS (SELECT list(c ORDER BY i) AS tab FROM steps WHERE k = 8),
+d AS (SELECT doc_id, coalesce(text, '') AS x, (strlen(coalesce(text, '')) + 1)::BIGINT AS size, sha256(coalesce(text, '')) AS digest FROM documents),
+o AS (SELECT *, (sum(size) OVER (ORDER BY digest, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS lo, row_number() OVER (ORDER BY digest, doc_id NULLS FIRST) AS n FROM d),
+g AS (SELECT *, min(lo) OVER (PARTITION BY digest) AS glo, max(lo + size) OVER (PARTITION BY digest) AS ghi FROM o), t AS (SELECT sum(size)::BIGINT AS total FROM d),
+s AS (SELECT total * j // 8 AS x, CASE WHEN ghi - glo <= floor(0.05 * total / 8) THEN glo ELSE lo END AS a, CASE WHEN ghi - glo <= floor(0.05 * total / 8) THEN ghi ELSE lo + size END AS b FROM t, range(1, 8) r(j), g WHERE lo <= total * j // 8 AND total * j // 8 < lo + size),
+c AS (SELECT list(CASE WHEN x - a <= b - x THEN a ELSE b END) AS cuts FROM s), h AS (SELECT *, len(list_filter(cuts, lambda v: v <= lo))::INT AS shard FROM o, c)
+SELECT doc_id, size, {_CRC} AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY n) - 1 AS slot, NULL::INT AS grown_shard FROM h, crc
+"""
+
 
 def op10(lures: list[str], places: list[str], tops: list[str]) -> str:
     """``lures-places.example.tops``: the listed hosts."""

@@ -102,6 +102,6 @@ QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix_sources, op3_line_
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
-    "op1_quality_rules": oracles.OP1, "op2_mix_sources": oracles.OP2, "op3_line_dedup": oracles.OP3, "op6_exact_topk": oracles.OP6,
+    "op1_quality_rules": oracles.OP1, "op2_mix_sources": oracles.OP2, "op3_line_dedup": oracles.OP3, "op6_exact_topk": oracles.OP6, "op9_sharding": oracles.OP9,
     "op10_url_filter": oracles.op10(LURES, PLACES, TOPS),
 }
