@@ -189,3 +189,28 @@ def test_receipts(spark):
     errors = lambda r, sha256, names: {tuple(x) for x in P.receipt_errors(r, {"tag": "v1", "source_commit": "abc"}, sha256, spark.createDataFrame([(n,) for n in names], "name string")).collect()}
     assert errors(r, good["sha256"], ["a", "b"]) == set()
     assert errors(r, "0", ["a", "c"]) == {("receipt", "digest"), ("b", "unexpected"), ("c", "missing")}
+
+
+def test_policies_need_their_digest(spark, tmp_path):
+    import gzip
+
+    from pyspark.errors import PySparkException
+
+    from textkiln.operators import projections as J
+
+    path = tmp_path / "policy.json.gz"
+    path.write_bytes(gzip.compress(b'{"url": "https://h/a", "disposition": "keep"}\n{"url": "https://h/b", "disposition": "omit"}\n', mtime=0))
+    digest = hashlib.sha256(path.read_bytes()).hexdigest()
+    assert [r["sha256"] for r in J.file_digests(spark, str(tmp_path), "*.gz").collect()] == [digest]
+    assert J.pinned_policy(spark, str(path), digest, "url string, disposition string").count() == 2
+    with pytest.raises(PySparkException):
+        J.pinned_policy(spark, str(path), "0" * 64, "url string, disposition string").collect()
+
+
+def test_routes(spark):
+    from textkiln.operators import projections as J
+
+    urls = ["https://h/docs/how-to/site_a/add.html?x", "https://h", "https://h/one/", None]
+    m = J.route_metadata(F.col("u"))
+    got = [tuple(r) for r in spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string").orderBy("i").select(*m.values()).collect()]
+    assert got == [("add", "docs", "how-to", ["Docs", "How To", "Site A"]), (None, None, None, []), ("one", "one", None, []), (None, None, None, [])]
