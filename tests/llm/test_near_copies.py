@@ -73,3 +73,21 @@ def test_repeated_rows_and_null_ids_leave_one_row(spark):
     out = [(r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()]
     assert len(out) == 3 and set(out) <= set(rows)
     assert sorted(d or 0 for d, _, _ in out) == [0, 1, 3]
+
+
+def test_parities_never_exclude_a_similar_pair():
+    import numpy as np
+    from textkiln.llm.near_copies import FEW, _fits, parities
+
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(rng.integers(FEW + 1, 3000))
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        cut, extra = base[: n - int(rng.integers(0, n // 9))], rng.integers(0, 1 << 63, int(rng.integers(0, n // 9)), dtype=np.uint64)
+        x, y = np.unique(base), np.unique(np.concatenate((cut, extra)))
+        wide = [parities(s, 2 << len(s).bit_length()).tobytes() for s in (x, y)]
+        common = len(np.intersect1d(x, y))
+        if 9 * common >= 4 * (len(x) + len(y)):
+            assert _fits(*wide, len(x) + len(y))
+        z = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        assert not _fits(wide[0], parities(z, 2 << len(z).bit_length()).tobytes(), len(x) + len(z))

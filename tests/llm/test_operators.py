@@ -634,20 +634,73 @@ def test_bloom_has_no_false_negatives(spark):
     assert bloom_hits(other, "k", bloom, 63).count() < 400
 
 
-def test_pipeline(spark):
+def kept_by_rules(sf):
+    """Ids that the quality rules keep, by the SQL."""
+    import duckdb
+
+    from textkiln.llm.oracles import OP1
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    return {r[0] for r in con.sql(f"SELECT doc_id FROM ({OP1}) WHERE kept").fetchall()}
+
+
+def test_pipeline_by_brute_force(spark):
+    """Every stage against a plain version over what the stage before it left; the run against the last."""
     import corpus_pipeline
+    import public_tokenizers as P
+    import tiktoken
+    from test_near_copies import groups
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    now = docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        now = stage(spark, now, sf)
-        assert now.columns == docs.columns, name
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+    kept = stages["quality_rules"](spark, docs, sf)
+    good = kept_by_rules(sf)
+    assert Counter(rows(kept)) == Counter(x for x in rows(docs) if x[0] in good)
+
+    lines = stages["line_dedup"](spark, kept, sf)
+    want = Counter((d, t if len(a) == len(k) else "\n".join(k)) for d, t, a, k in line_drops(rows(kept)))
+    assert lines.columns == docs.columns and Counter(rows(lines)) == want
+
+    single = stages["simhash_near_dedup"](spark, lines, sf)
+    left = rows(lines)
+    firsts = {min(left[i][0] for i in g) for g in groups(left)}
+    assert single.columns == docs.columns and Counter(rows(single)) == Counter(x for x in left if x[0] in firsts)
+
+    mixed = stages["mix_sources"](spark, single, sf)
+    _, _, target = source_targets([(r["source"], r["text"]) for r in single.select("source", "text").collect()])
+    taken, copies = defaultdict(int), Counter()
+    for r in mixed.select("doc_id", "source", "text").collect():
+        taken[r["source"]] += len(WORD.findall(r["text"]))
+        copies[(r["doc_id"], r["text"])] += 1
+    assert mixed.columns == docs.columns and set(copies) <= set(rows(single)) and max(copies.values()) <= 3
+    sizes = defaultdict(list)
+    for r in single.select("source", "text").collect():
+        sizes[r["source"]].append(len(WORD.findall(r["text"])))
+    # a source of a few documents comes within one of them
+    assert all(abs(taken[s] - t) <= max(sizes[s]) for s, t in target.items())
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ids = lambda t: np.array(enc.encode_ordinary(t), "<u4").tobytes()
+    want = Counter((d, ids(t), hashlib.sha256(t.encode()).hexdigest()) for (d, t), n in copies.items() for _ in range(n))
     out = corpus_pipeline.run(spark, sf).collect()
-    assert len(out) == now.count() and all(len(r["ids"]) == 4 * r["n_tokens"] for r in out)
+    assert Counter((r["doc_id"], bytes(r["ids"]), r["decoded_sha256"]) for r in out) == want
+    assert all(len(r["ids"]) == 4 * r["n_tokens"] and hashlib.sha256(r["ids"]).hexdigest() == r["ids_sha256"] for r in out)
+
+
+def test_pipeline_stages_take_awkward_and_empty_tables(spark):
+    import corpus_pipeline
+
+    all_rows = [tuple(r) for r in table(spark).collect()]
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, table(spark), sf).columns == table(spark).columns
-        assert stage(spark, table(spark, "none"), sf).count() == 0
+        out = stage(spark, table(spark), "")
+        assert out.columns == table(spark).columns and {r["doc_id"] for r in out.collect()} <= {r[0] for r in all_rows}
+        assert stage(spark, table(spark, "none"), "").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, table(spark), "").count() == len(all_rows)
 
 
 def test_streams_carry_over_small_batches(spark):
