@@ -48,8 +48,7 @@ def edited(spark):
     return spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
 
 
-@pytest.mark.parametrize("docs", ["awkward", "documents", "edited"])
-@pytest.mark.parametrize("frequent", [8, 1])
+@pytest.mark.parametrize("docs, frequent", [("awkward", 8), ("documents", 1), ("edited", 8), ("edited", 1)])
 def test_stage_keeps_one_of_each_group(spark, docs, frequent, monkeypatch):
     import corpus_pipeline
     from textkiln.llm import near_copies
