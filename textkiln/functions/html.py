@@ -377,32 +377,40 @@ def page_measures(root: Node) -> dict[str, int]:
     return {"links": len(links), "content": content, "free_chars": len(text.strip())}
 
 
+#: In how many first characters a sign-in wall speaks, the longest page that can be a missing one, and where it says so.
+WALL_CHARS, MISSING_PAGE_CHARS, MISSING_CHARS = 2000, 1200, 600
+
+
 def classify(title: str, text: str, measures: dict[str, int]) -> str:
     """``auth_wall``, ``not_found``, ``navigation`` or ``content``."""
-    head = text[:2000].lower()
+    head = text[:WALL_CHARS].lower()
     if re.search(r"sign in to continue|log in to (?:view|continue)|authentication required", head):
         return "auth_wall"
-    if re.search(r"\b404\b|page not found", title.lower()) or (len(text) < 1200 and re.search(r"page (?:not found|does not exist)", text[:600].lower())):
+    if re.search(r"\b404\b|page not found", title.lower()) or (len(text) < MISSING_PAGE_CHARS and re.search(r"page (?:not found|does not exist)", text[:MISSING_CHARS].lower())):
         return "not_found"
     if measures["links"] >= 3 and measures["content"] < 5 and measures["free_chars"] < 300:
         return "navigation"
     return "content"
 
 
-#: Classes of decoration in forum posts.
+#: Classes and tags of decoration in forum posts, how a line of authors begins, and the largest side of an icon.
 POST_CHROME = frozenset(("emoji", "mention", "avatar", "anchor"))
+POST_TAGS = frozenset(("script", "style", "button", "form", "iframe"))
+AUTHOR_LINE = r"^(?:co[ -]?authors?|authors?|written by|posted by)\s*:"
+ICON_PIXELS = 32
 
 
 def clean_post(root: Node) -> Node:
     """A forum post without decoration, author lines and small icons; lightbox links become their full image."""
-    def small(n: Node) -> bool:
-        w, h = n.attrs.get("width", ""), n.attrs.get("height", "")
-        return n.tag == "img" and not n.attrs.get("alt") and w.isdigit() and h.isdigit() and int(w) <= 32 and int(h) <= 32
-
-    def author(n: Node) -> bool:
-        return n.tag == "p" and re.match(r"(?:co[ -]?authors?|authors?|written by|posted by)\s*:", n.strings(), re.I) is not None
+    def decoration(n: Node) -> bool:
+        if POST_CHROME & set(n.classes()) or n.tag in POST_TAGS or "data-user-id" in n.attrs:
+            return True
+        if n.tag == "img" and not n.attrs.get("alt"):
+            sides = [n.attrs.get(side, "") for side in ("width", "height")]
+            return all(x.isdigit() and int(x) <= ICON_PIXELS for x in sides)
+        return n.tag == "p" and re.match(AUTHOR_LINE, n.strings(), re.I) is not None
 
-    remove(root, lambda n: bool(POST_CHROME & set(n.classes())) or n.tag in ("script", "style", "button", "form", "iframe") or small(n) or author(n) or "data-user-id" in n.attrs)
+    remove(root, decoration)
     for n in list(root.walk()):
         if n.tag == "a" and "lightbox" in n.classes() and n.attrs.get("href") and (image := n.find("img")):
             image.attrs["src"] = n.attrs["href"]
