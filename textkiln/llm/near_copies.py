@@ -1,12 +1,19 @@
-"""Near copies by exact set similarity: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Shingles are ordered alike for all texts. Of two sets of that similarity each has a common shingle among its
-first ``n - ceil(0.8 n) + 1``, so texts that share none of these need no comparison, and no pair is lost. The
-order is free: shingles that a sample finds in many texts come last, the others by hash, so that the shared
-shingles are rare ones. Two rounds look at the texts that share such a shingle. The first compares neighbours
-by size, which joins large groups by few pairs; the second compares all that are not joined by then. Sizes,
-positions and parities of 512 classes of shingles bound the common part of a pair; the whole sets decide. Sets are larger
-than their texts, so they are made anew from the texts where they are needed, and only those of candidate pairs are kept.
+SimHash fingerprints of the sets, linked through Golay keys at four bits or fewer (``simhash.fingerprint_links``), find
+most copies, and sets of that similarity can differ in 13 bits and more, which no affordable number of keys
+reaches. So candidates come from two places, and whole sets verify both.
+
+1. Golay links, and beside them neighbours by size among texts that share a shingle that counts (below). Together they join
+   large groups by few pairs.
+2. What is not joined by then is compared exactly. Shingles are ordered alike for all texts; of two sets of
+   that similarity each has a common shingle among its first ``n - ceil(0.8 n) + 1``, so texts that share none of
+   these need no comparison, and no pair is lost. The order is free: shingles that a sample finds in many texts come
+   last, the others by hash, so that the shared shingles are rare ones.
+
+Sizes, positions and parities of classes of shingles bound the common part of a pair before any set is sent: a class that is
+odd in one set only holds a shingle of that set only. There are 512 classes, and for larger sets as many more as they
+have shingles. Sets are larger than their texts, so they are made anew from the texts where they are needed.
 
 Defined results: words are what blanks divide, in lower case; fewer words than a shingle make one shingle; texts without
 words, null texts included, are copies of each other. Shingles and sets go by hashes of 64 bits.
@@ -25,12 +32,15 @@ from pyspark.sql import functions as F
 
 from textkiln.llm.arrow import small
 from textkiln.llm.components import components
+from textkiln.llm.simhash import fingerprint_links, majority, signed
 from textkiln.llm.tables import dropped, written
 
 WORDS = 5
 #: One text of so many is looked at for frequent shingles, and these are what so many of them hold; only the order depends on it.
 SAMPLE, FREQUENT, MOST_FREQUENT = 8, 8, 200_000
 PARITIES = [f"b{i}" for i in range(8)]
+#: Sets of more shingles have more classes.
+FEW = 256
 
 
 def shingles(text: bytes | None) -> np.ndarray:
@@ -51,16 +61,40 @@ def set_key(s: np.ndarray) -> int:
     return k - (1 << 64) if k >> 63 else k
 
 
+def parities(s: np.ndarray, classes: int) -> np.ndarray:
+    """Bytes of a bit for each class (a power of two): is it odd? Classes go by the hash's first bits, so halves of them add up."""
+    odd = np.bincount((s >> np.uint64(64 - classes.bit_length() + 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in small(batches):
         sets = [shingles(t) for t in b["text"].cast(pa.binary()).to_pylist()]
-        keys = np.array([set_key(s) for s in sets], np.int64)
-        odd = np.zeros((len(sets), 512), np.uint8)
-        for i, s in enumerate(sets):
-            odd[i] = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=512) & 1
-        bits = np.packbits(odd, axis=1, bitorder="little").view("<i8")
-        columns = [b["doc_id"], b["row_hash"], pa.array(keys), pa.array([len(s) for s in sets], pa.int32()), *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(8)]]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_hash", "set_key", "n", *PARITIES])
+        bits = np.array([parities(s, 512) for s in sets]).reshape(len(sets), 64).view("<i8")
+        wide = [parities(s, 2 << len(s).bit_length()).tobytes() if len(s) > FEW else None for s in sets]
+        columns = [
+            b["doc_id"], b["row_hash"], pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([signed(majority(s)) for s in sets], pa.int64()),
+            *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(8)], pa.array(wide, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_hash", "set_key", "n", "fp", *PARITIES, "wide"])
+
+
+def _fits(x: bytes | None, y: bytes | None, n: int) -> bool:
+    """May sets of ``n`` shingles together have the similarity, by their parities?"""
+    if x is None or y is None:
+        return True
+    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(p) != len(q):
+        # twice the classes: neighbours add up
+        long = np.unpackbits(p if len(p) > len(q) else q, bitorder="little")
+        half = np.packbits(long[::2] ^ long[1::2], bitorder="little")
+        p, q = (half, q) if len(p) > len(q) else (p, half)
+    return 9 * int(np.bitwise_count(p ^ q).sum()) <= n
+
+
+def _narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in small(batches):
+        ok = pa.array([_fits(x, y, n) for x, y, n in zip(b["x"].to_pylist(), b["y"].to_pylist(), b["n"].to_pylist())], pa.bool_())
+        yield pa.RecordBatch.from_arrays([b["a"].filter(ok), b["b"].filter(ok)], ["a", "b"])
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,6 +150,12 @@ def _may(x: str, y: str) -> Column:
     return (5 * F.least(f"{x}.n", f"{y}.n") >= 4 * F.greatest(f"{x}.n", f"{y}.n")) & (9 * differ <= F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
+def _pairs(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """Those of ``a, b`` (set keys) that sizes and parities allow."""
+    near = pairs.join(bits.alias("x"), F.col("a") == F.col("x.set_key")).join(bits.alias("y"), (F.col("b") == F.col("y.set_key")) & _may("x", "y"))
+    return near.select("a", "b", F.col("x.wide").alias("x"), F.col("y.wide").alias("y"), (F.col("x.n") + F.col("y.n")).alias("n")).mapInArrow(_narrowed, "a long, b long")
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, label: str) -> DataFrame:
     """Those of ``a, b`` whose whole sets have a similarity of 0.8."""
     pairs = written(pairs, f"{label}-pairs")
@@ -128,6 +168,19 @@ def _verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, label: str) ->
     return links
 
 
+def golay_pairs(bits: DataFrame) -> DataFrame:
+    """``a, b``: sets whose fingerprints are equal, each with the least of them, and one pair for each Golay link of two fingerprints."""
+    of = written(bits.select("fp", "set_key"), "near-fp")
+    least = of.groupBy("fp").agg(F.min("set_key").alias("rep"))
+    links = written(fingerprint_links(least.select("fp")), "near-golay")
+    same = of.join(least, "fp").where("set_key != rep").select(F.col("rep").alias("a"), F.col("set_key").alias("b"))
+    end = lambda c: least.select(F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep"))
+    between = links.join(end("a"), "a").join(end("b"), "b").select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
+    out = written(same.unionByName(between).distinct(), "near-golay-pairs")
+    dropped(of, links)
+    return out
+
+
 def set_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b`` (set keys): links that join all sets of similarity 0.8 or more."""
     counted = rows.where(F.pmod("row_hash", F.lit(SAMPLE)) == 0).select("text").mapInArrow(_exploded, "shingle long").groupBy("shingle").count()
@@ -137,29 +190,32 @@ def set_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     shared = written(
         firsts.withColumn("before", F.lag("set_key").over(w)).withColumn("after", F.lead("set_key").over(w))
         .where("before != set_key or after != set_key"), "near-shared")
-    bits = written(sets.select("set_key", "n", *PARITIES).dropDuplicates(["set_key"]), "near-bits")
-    beside = shared.where("before != set_key").select(F.least("before", "set_key").alias("a"), F.greatest("before", "set_key").alias("b")).distinct()
-    near = beside.join(bits.alias("x"), F.col("a") == F.col("x.set_key")).join(bits.alias("y"), (F.col("b") == F.col("y.set_key")) & _may("x", "y"))
-    first = _verified(near.select("a", "b"), rows, sets, "near-1")
+    bits = written(sets.select("set_key", "n", "fp", *PARITIES, "wide").dropDuplicates(["set_key"]), "near-bits")
+    golay = golay_pairs(bits)
+    beside = shared.where("before != set_key").select(F.least("before", "set_key").alias("a"), F.greatest("before", "set_key").alias("b"))
+    first = _verified(_pairs(beside.unionByName(golay).distinct(), bits), rows, sets, "near-1")
+    dropped(golay)
     joined = components(first, "near-cc-1")
     rest = written(
-        shared.select("shingle", "set_key", "place").distinct().join(bits, "set_key").join(joined.withColumnRenamed("node", "set_key"), "set_key", "left")
+        shared.select("shingle", "set_key", "place").distinct().join(bits.drop("fp", "wide"), "set_key").join(joined.withColumnRenamed("node", "set_key"), "set_key", "left")
         .withColumn("group", F.coalesce("component", "set_key")).drop("component"), "near-rest")
-    dropped(shared, bits)
+    dropped(shared)
     # where all are joined by now there is nothing to compare
     mixed = rest.groupBy("shingle").agg(F.min("group").alias("g"), F.max("group").alias("h")).where("g != h").select("shingle")
     rest = rest.join(mixed, "shingle", "left_semi")
     left = [F.col(f"{x}.n") - F.col(f"{x}.place") for x in ("x", "y")]
     meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.set_key") < F.col("y.set_key")) & (F.col("x.group") != F.col("y.group"))
     meet = meet & (9 * F.least(*left) >= 4 * (F.col("x.n") + F.col("y.n"))) & _may("x", "y")
-    second = _verified(rest.alias("x").join(rest.alias("y"), meet).select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")).distinct(), rows, sets, "near-2")
+    left_over = rest.alias("x").join(rest.alias("y"), meet).select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")).distinct()
+    second = _verified(_pairs(left_over, bits), rows, sets, "near-2")
+    dropped(bits)
     return first.unionByName(second)
 
 
 def near_copy_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, row_hash, group`` of every row; a group is what links of similarity 0.8 join."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(*docs.columns).alias("row_hash"), "text")
-    sets = written(rows.mapInArrow(_sets, f"doc_id long, row_hash long, set_key long, n int, {', '.join(f'{c} long' for c in PARITIES)}"), "near-sets")
+    sets = written(rows.mapInArrow(_sets, f"doc_id long, row_hash long, set_key long, n int, fp long, {', '.join(f'{c} long' for c in PARITIES)}, wide binary"), "near-sets")
     groups = components(set_links(rows, sets), "near-cc-2").withColumnRenamed("node", "set_key")
     out = written(sets.select("doc_id", "row_hash", "set_key").join(groups, "set_key", "left").select("doc_id", "row_hash", F.coalesce("component", "set_key").alias("group")), "near-groups")
     dropped(sets)

@@ -97,6 +97,11 @@ def fingerprint(text: bytes | None, size: int = 4) -> int:
         stops = (ends[size - 1:] - 1).tolist()
         digest = xxhash.xxh64_intdigest
         h = np.fromiter([digest(joined[s:e], 42) for s, e in zip(starts, stops)], np.uint64, len(starts))
+    return majority(h)
+
+
+def majority(h: np.ndarray) -> int:
+    """The 64 bits that more than half of some hashes have set; none for no hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), 1 << 14):
         ones += np.unpackbits(h[i:i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -104,7 +109,7 @@ def fingerprint(text: bytes | None, size: int = 4) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def _signed(x: int) -> int:
+def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
@@ -112,7 +117,7 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, fp`` (the fingerprint's 64 bits as a signed long) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            fps = [_signed(fingerprint(t)) for t in b["text"].cast(pa.binary()).to_pylist()]
+            fps = [signed(fingerprint(t)) for t in b["text"].cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
@@ -227,9 +232,3 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
 
 def hex_fingerprint(c):
     return F.lower(F.lpad(F.hex(c), 16, "0"))
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id names its group: one document of each group stays, all columns kept."""
-    groups = written(near_duplicate_groups(docs).select(F.col("doc_id").alias("__id"), "component_id").where("__id <=> component_id").select("__id").distinct(), "simhash-keep")
-    return docs.join(groups, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
