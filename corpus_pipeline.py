@@ -10,7 +10,7 @@ from textkiln.llm.line_dedup import dedup_lines
 from textkiln.llm.mixing import mixed_documents
 from textkiln.llm.near_copies import keep_one_of_near_copies
 from textkiln.llm.quality import quality_filter
-from textkiln.llm.tables import written
+from textkiln.llm.tables import dropped, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document, the smallest doc_id, of each group of near copies (five-word shingles, similarity 0.8 or more): SimHash links, verified, and what they can't reach."""
     return keep_one_of_near_copies(docs)
 
 
@@ -54,5 +54,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)
