@@ -1,7 +1,7 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 SimHash fingerprints of the sets, linked through Golay keys at four bits or fewer (``simhash.fingerprint_links``), find
-most copies, and sets of that similarity can differ in 13 bits and more, which no affordable number of keys
+close copies, and sets of that similarity can differ in 13 bits and more, which no affordable number of keys
 reaches. So candidates come from two places, and whole sets verify both.
 
 1. Golay links, and beside them neighbours by size among texts that share a shingle that counts (below). Together they join
