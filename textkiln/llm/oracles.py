@@ -84,3 +84,19 @@ bad AS (SELECT DISTINCT host FROM h WHERE EXISTS (SELECT 1 FROM listed WHERE hos
 SELECT page_id, host, path, CASE {' '.join(f"WHEN {fits(x, p)} THEN '{x}{p}'" for x, p, _ in rules)} END AS rule,
  CASE {' '.join(f"WHEN {fits(x, p)} THEN '{v}'" for x, p, v in rules)} WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END AS verdict FROM h
 """
+
+OP11 = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, '{_UP}', '{_LOW}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+f1 AS (SELECT lang, x, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+f2 AS (SELECT lang, g[1] AS x, g[2] AS y, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) AS g FROM w) GROUP BY ALL HAVING f >= 10),
+f3 AS (SELECT lang, g[1] AS x, g[2] AS y, g[3] AS z, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS g FROM w) GROUP BY ALL HAVING f >= 10),
+c2 AS (SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.f AS a, u.f AS l, v.f AS r FROM f2 JOIN f1 u ON u.lang = f2.lang AND u.x = f2.x JOIN f1 v ON v.lang = f2.lang AND v.x = f2.y
+ WHERE NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND 100 * f3.f >= 50 * f2.f AND f3.x = f2.x AND f3.y = f2.y) AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND 100 * f3.f >= 50 * f2.f AND f3.y = f2.x AND f3.z = f2.y)),
+k3 AS (SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z AS phrase, f3.f AS a, u.f AS l1, q.f AS r1, o.f AS l2, v.f AS r2, (1000000 * f3.f * f3.f) // (u.f * q.f) AS s1, (1000000 * f3.f * f3.f) // (o.f * v.f) AS s2 FROM f3
+ JOIN f1 u ON u.lang = f3.lang AND u.x = f3.x JOIN f1 v ON v.lang = f3.lang AND v.x = f3.z JOIN f2 o ON o.lang = f3.lang AND o.x = f3.x AND o.y = f3.y JOIN f2 q ON q.lang = f3.lang AND q.x = f3.y AND q.y = f3.z),
+c AS (SELECT lang, phrase, a, l, r, (1000000 * a * a) // (l * r) AS score FROM c2 UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM k3),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM c)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM o JOIN total USING (lang) WHERE rank <= 2000
+"""

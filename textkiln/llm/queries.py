@@ -1,4 +1,4 @@
-"""The ten operators over whole tables, as registered in ``__spark_entry__``."""
+"""The numbered operators over whole tables, as registered in ``__spark_entry__``."""
 
 from __future__ import annotations
 
@@ -98,10 +98,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_read(spark, sf_dir, "pages"), listed_urls(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix_sources, op3_line_dedup, op4_simhash, op5_suffix_dedup, op6_exact_topk, op7_byte_bpe, op8_language_id, op9_sharding, op10_url_filter)}
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textkiln.llm.phrases import collocations
+
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix_sources, op3_line_dedup, op4_simhash, op5_suffix_dedup, op6_exact_topk, op7_byte_bpe, op8_language_id, op9_sharding, op10_url_filter, op11_phrase_collocations)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": oracles.OP1, "op2_mix_sources": oracles.OP2, "op3_line_dedup": oracles.OP3, "op6_exact_topk": oracles.OP6, "op9_sharding": oracles.OP9,
-    "op10_url_filter": oracles.op10(LURES, PLACES, TOPS),
+    "op10_url_filter": oracles.op10(LURES, PLACES, TOPS), "op11_phrase_collocations": oracles.OP11,
 }
