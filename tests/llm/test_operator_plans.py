@@ -32,4 +32,4 @@ def test_features_are_evaluated_once(spark):
 def test_listed_rules_and_sql_have_the_same_names(spark):
     from textkiln.llm.queries import ORACLE_SQL, QUERIES
 
-    assert set(ORACLE_SQL) <= set(QUERIES) and len(QUERIES) == 12
+    assert set(ORACLE_SQL) <= set(QUERIES) and len(QUERIES) == 13

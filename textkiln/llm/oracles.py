@@ -100,3 +100,18 @@ c AS (SELECT lang, phrase, a, l, r, (1000000 * a * a) // (l * r) AS score FROM c
 o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM c)
 SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM o JOIN total USING (lang) WHERE rank <= 2000
 """
+
+_NAMES = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+OP12 = f"""
+WITH b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '{_NAMES}') AS w FROM benchmark WHERE text IS NOT NULL),
+ph AS (SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS p FROM (SELECT item, w, least(10, len(w)) AS l FROM b WHERE len(w) > 0) x, unnest(range(1, len(w) - l + 2)) t(i)),
+ls AS (SELECT DISTINCT l FROM ph),
+d AS (SELECT row_number() OVER () AS r, doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '{_NAMES}') END AS w FROM documents),
+g AS (SELECT r, i, l, array_to_string(w[i:i + l - 1], ' ') AS p FROM (SELECT r, w, l FROM d JOIN ls ON len(w) >= l) x, unnest(range(1, len(w) - l + 2)) t(i)),
+o AS (SELECT r, i, l, item FROM g JOIN ph USING (l, p)),
+h AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT r, i, l FROM o) x, unnest(range(l)) t(k) GROUP BY r),
+m AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM o GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN m USING (r)
+"""

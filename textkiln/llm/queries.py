@@ -104,16 +104,22 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_read(spark, sf_dir, "documents"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textkiln.llm.decontaminate import digest
+
+    return digest(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textkiln.llm.runs import digest
 
     return digest(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix_sources, op3_line_dedup, op4_simhash, op5_suffix_dedup, op6_exact_topk, op7_byte_bpe, op8_language_id, op9_sharding, op10_url_filter, op11_phrase_collocations, op13_periodic_runs)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mix_sources, op3_line_dedup, op4_simhash, op5_suffix_dedup, op6_exact_topk, op7_byte_bpe, op8_language_id, op9_sharding, op10_url_filter, op11_phrase_collocations, op12_decontamination, op13_periodic_runs)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": oracles.OP1, "op2_mix_sources": oracles.OP2, "op3_line_dedup": oracles.OP3, "op6_exact_topk": oracles.OP6, "op9_sharding": oracles.OP9,
-    "op10_url_filter": oracles.op10(LURES, PLACES, TOPS), "op11_phrase_collocations": oracles.OP11,
+    "op10_url_filter": oracles.op10(LURES, PLACES, TOPS), "op11_phrase_collocations": oracles.OP11, "op12_decontamination": oracles.OP12,
 }
