@@ -90,3 +90,14 @@ def test_parities_never_exclude_a_similar_pair():
             assert _fits(*wide, len(x) + len(y))
         z = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
         assert not _fits(wide[0], parities(z, 2 << len(z).bit_length()).tobytes(), len(x) + len(z))
+
+
+def test_values_that_move_between_columns_and_columns_of_any_kind(spark):
+    """Rows that differ in where a value stands are two documents; maps, arrays and names of the stage's own pass."""
+    import corpus_pipeline
+
+    rows = [(7, None, "x", None, {"k": 1}, [1], 5), (7, "x", None, None, {"k": 1}, [1], 5), (8, "x", None, None, None, None, None), (8, "x", None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, m map<string, int>, row array<int>, set_key long")
+    out = corpus_pipeline.simhash_near_dedup(spark, docs, "")
+    assert out.columns == docs.columns and sorted(map(repr, (tuple(r) for r in out.collect()))) == sorted(map(repr, rows[:2]))
+    assert corpus_pipeline.simhash_near_dedup(spark, docs.limit(0), "").count() == 0

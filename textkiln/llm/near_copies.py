@@ -56,9 +56,8 @@ def shingles(text: bytes | None) -> np.ndarray:
     return np.unique(np.fromiter([digest(joined[s:e], 42) for s, e in zip(starts, stops)], np.uint64, len(starts)))
 
 
-def set_key(s: np.ndarray) -> int:
-    k = xxhash.xxh64_intdigest(s.tobytes(), 7)
-    return k - (1 << 64) if k >> 63 else k
+def set_digest(s: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(s.tobytes(), 7)
 
 
 def parities(s: np.ndarray, classes: int) -> np.ndarray:
@@ -73,9 +72,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.array([parities(s, 512) for s in sets]).reshape(len(sets), 64).view("<i8")
         wide = [parities(s, 2 << len(s).bit_length()).tobytes() if len(s) > FEW else None for s in sets]
         columns = [
-            b["doc_id"], b["row_hash"], pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([signed(majority(s)) for s in sets], pa.int64()),
+            b["row"], b["doc_id"], b["text_hash"], pa.array([set_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32()), pa.array([signed(majority(s)) for s in sets], pa.int64()),
             *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(8)], pa.array(wide, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_hash", "set_key", "n", "fp", *PARITIES, "wide"])
+        yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "text_hash", "digest", "n", "fp", *PARITIES, "wide"])
 
 
 def _fits(x: bytes | None, y: bytes | None, n: int) -> bool:
@@ -106,23 +105,21 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in small(batches):
         sets = [shingles(t) for t in b["text"].cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_key", "shingles"])
+        yield pa.RecordBatch.from_arrays([b["set_key"], pa.array([s.tobytes() for s in sets], pa.binary())], ["set_key", "shingles"])
 
 
 def _firsts(frequent: np.ndarray):
-    """Of every set, once a task: the shingles that a set of similarity 0.8 shares one of. ``frequent``: shingles that come last, in this order."""
+    """Of every set the shingles that a set of similarity 0.8 shares one of. ``frequent``: shingles that come last, in this order."""
     by_hash = np.argsort(frequent)
     known = frequent[by_hash]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for b in small(batches):
             keys, first = [], [np.empty(0, np.uint64)]
-            for t in b["text"].cast(pa.binary()).to_pylist():
+            for k, t in zip(b["set_key"].to_pylist(), b["text"].cast(pa.binary()).to_pylist()):
                 s = shingles(t)
-                if not len(s) or (k := set_key(s)) in seen:
+                if not len(s):
                     continue
-                seen.add(k)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     late = known[at] == s
@@ -156,12 +153,11 @@ def _pairs(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     return near.select("a", "b", F.col("x.wide").alias("x"), F.col("y.wide").alias("y"), (F.col("x.n") + F.col("y.n")).alias("n")).mapInArrow(_narrowed, "a long, b long")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, label: str) -> DataFrame:
     """Those of ``a, b`` whose whole sets have a similarity of 0.8."""
     pairs = written(pairs, f"{label}-pairs")
     asked = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
-    one = sets.groupBy("set_key").agg(F.min("row_hash").alias("row_hash")).join(asked, "set_key", "left_semi").select("row_hash")
-    whole = written(rows.select("row_hash", "text").join(one, "row_hash", "left_semi").select("text").mapInArrow(_whole, "set_key long, shingles binary").dropDuplicates(["set_key"]), f"{label}-whole")
+    whole = written(rows.join(asked, "set_key", "left_semi").select("set_key", "text").mapInArrow(_whole, "set_key long, shingles binary"), f"{label}-whole")
     x, y = (whole.select(F.col("set_key").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
     links = written(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_similar, "a long, b long"), f"{label}-links")
     dropped(pairs, whole)
@@ -181,19 +177,18 @@ def golay_pairs(bits: DataFrame) -> DataFrame:
     return out
 
 
-def set_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b`` (set keys): links that join all sets of similarity 0.8 or more."""
-    counted = rows.where(F.pmod("row_hash", F.lit(SAMPLE)) == 0).select("text").mapInArrow(_exploded, "shingle long").groupBy("shingle").count()
+def set_links(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """``a, b`` (set keys): links that join all sets of similarity 0.8 or more. ``rows``: a text of every set; ``bits``: their sizes, fingerprints and parities."""
+    counted = rows.where(F.pmod(F.xxhash64("set_key"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(_exploded, "shingle long").groupBy("shingle").count()
     frequent = [r["shingle"] for r in counted.where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT).collect()]
-    firsts = rows.select("text").mapInArrow(_firsts(np.array(frequent[::-1], np.int64).view(np.uint64)), "shingle long, set_key long, n int, place int")
+    firsts = rows.select("set_key", "text").mapInArrow(_firsts(np.array(frequent[::-1], np.int64).view(np.uint64)), "shingle long, set_key long, n int, place int")
     w = Window.partitionBy("shingle").orderBy("n", "set_key")
     shared = written(
         firsts.withColumn("before", F.lag("set_key").over(w)).withColumn("after", F.lead("set_key").over(w))
         .where("before != set_key or after != set_key"), "near-shared")
-    bits = written(sets.select("set_key", "n", "fp", *PARITIES, "wide").dropDuplicates(["set_key"]), "near-bits")
     golay = golay_pairs(bits)
     beside = shared.where("before != set_key").select(F.least("before", "set_key").alias("a"), F.greatest("before", "set_key").alias("b"))
-    first = _verified(_pairs(beside.unionByName(golay).distinct(), bits), rows, sets, "near-1")
+    first = _verified(_pairs(beside.unionByName(golay).distinct(), bits), rows, "near-1")
     dropped(golay)
     joined = components(first, "near-cc-1")
     rest = written(
@@ -207,23 +202,33 @@ def set_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.set_key") < F.col("y.set_key")) & (F.col("x.group") != F.col("y.group"))
     meet = meet & (9 * F.least(*left) >= 4 * (F.col("x.n") + F.col("y.n"))) & _may("x", "y")
     left_over = rest.alias("x").join(rest.alias("y"), meet).select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")).distinct()
-    second = _verified(_pairs(left_over, bits), rows, sets, "near-2")
-    dropped(bits)
+    second = _verified(_pairs(left_over, bits), rows, "near-2")
     return first.unionByName(second)
 
 
-def near_copy_groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, row_hash, group`` of every row; a group is what links of similarity 0.8 join."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(*docs.columns).alias("row_hash"), "text")
-    sets = written(rows.mapInArrow(_sets, f"doc_id long, row_hash long, set_key long, n int, fp long, {', '.join(f'{c} long' for c in PARITIES)}, wide binary"), "near-sets")
-    groups = components(set_links(rows, sets), "near-cc-2").withColumnRenamed("node", "set_key")
-    out = written(sets.select("doc_id", "row_hash", "set_key").join(groups, "set_key", "left").select("doc_id", "row_hash", F.coalesce("component", "set_key").alias("group")), "near-groups")
-    dropped(sets)
+def near_copy_groups(rows: DataFrame) -> DataFrame:
+    """``row`` (unique), ``doc_id, text`` -> ``row, doc_id, text_hash, group`` of every row; a group is what links of similarity 0.8 join."""
+    made = rows.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    digests = written(made.mapInArrow(_sets, f"row long, doc_id long, text_hash long, digest binary, n int, fp long, {', '.join(f'{c} long' for c in PARITIES)}, wide binary"), "near-digests")
+    least = digests.groupBy("digest").agg(F.min("row").alias("set_key"))
+    sets = written(digests.select("row", "doc_id", "text_hash", "digest").join(least, "digest").drop("digest"), "near-sets")
+    own = sets.where("row = set_key").select("row")
+    bits = written(digests.join(own, "row", "left_semi").select(F.col("row").alias("set_key"), "n", "fp", *PARITIES, "wide"), "near-bits")
+    dropped(digests)
+    texts = rows.join(own, "row", "left_semi").select(F.col("row").alias("set_key"), "text")
+    groups = components(set_links(texts, bits), "near-cc-2").withColumnRenamed("node", "set_key")
+    out = written(sets.join(groups, "set_key", "left").select("row", "doc_id", "text_hash", F.coalesce("component", "set_key").alias("group")), "near-groups")
+    dropped(sets, bits)
     return out
 
 
 def keep_one_of_near_copies(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each group of near copies, all columns kept: of the smallest doc_id, and of its rows the one of least hash. Nulls come last."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash"))
-    kept = written(near_copy_groups(docs).groupBy("group").agg(first.alias("k")).select(F.col("k.row_hash").alias("__row_hash")), "near-keep")
-    return docs.withColumn("__row_hash", F.xxhash64(*docs.columns)).join(kept, "__row_hash", "left_semi").dropDuplicates(["__row_hash"]).select(*docs.columns)
+    """One row of ``docs`` for each group of near copies, all columns kept: of the smallest doc_id, and of its rows the one of least text hash. Nulls come last."""
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    numbered = written(docs.withColumn(name, F.monotonically_increasing_id()), "near-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "row"))
+    rows = numbered.select(F.col(name).alias("row"), "doc_id", "text")
+    kept = written(near_copy_groups(rows).groupBy("group").agg(first.alias("k")).select(F.col("k.row").alias(name)), "near-keep")
+    return numbered.join(kept, name, "left_semi").drop(name)
