@@ -721,3 +721,18 @@ def test_streams_carry_over_small_batches(spark):
         test_suffix_dedup(fixture_docs(spark).limit(40))
     finally:
         spark.conf.set(key, held)
+
+
+def test_small_documents_fill_what_large_ones_leave(spark):
+    """A source of one large and many small documents comes within half of its smallest one, however many that takes."""
+    from textkiln.llm.mixing import mixed_documents
+
+    text = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = [(0, text(0, 3000), "a")] + [(i, text(i, 4), "a") for i in range(1, 600)] + [(1000 + i, text(i, 50), "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = mixed_documents(docs).select("doc_id", "source", "text").collect()
+    assert max(Counter(r["doc_id"] for r in out).values()) <= 3
+    _, sizes, target = source_targets([(s, t) for _, t, s in rows])
+    for s, least in (("a", 4), ("b", 50)):
+        taken = sum(len(WORD.findall(r["text"])) for r in out if r["source"] == s)
+        assert abs(taken - target[s]) <= least, (s, taken, target[s])

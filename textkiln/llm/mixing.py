@@ -136,41 +136,61 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n
     return _laid(docs, weights, repeats, n_shards, blocks_per_shard, seed, ()).select("doc_id", "size", "source_size", "target", "taken")
 
 
-#: Documents that a source may add, one after another, to come closer to its words once remainders are dealt.
-FILLS = 3
-
-
 def document_copies(docs: DataFrame, repeats: int = 3, **options) -> DataFrame:
     """``doc_id, row_key, copies``: how often the mix repeats each document, as whole documents.
 
     A document has as many copies as its taken words fill. The words left over in a source are dealt by largest
-    remainder: documents whose last copy is most complete get it, as far as the words go; then up to ``FILLS``
-    documents whose size comes closest to what is still missing, each if it brings the source nearer to its words.
-    Rows that agree in doc_id, source and text are one document, repeated together.
+    remainder: documents whose last copy is most complete get it, as far as the words go. What is still missing goes to the
+    largest documents that fit, pass after pass, each of which at least halves it, until none fits; a last document may follow
+    if it brings the source nearer to its words. Rows that agree in doc_id, source and text are one document, repeated together.
     """
     options = {"weights": WEIGHTS, "n_shards": 8, "blocks_per_shard": 512, "seed": 7, **options}
     rows = docs.select("doc_id", "source", "text", _row_key().alias("row_key"))
     units = written(
         _laid(rows, repeats=repeats, carry=("row_key",), **options).where("size > 0")
         .groupBy("rank", "key", "doc_id", "row_key").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
-        .selectExpr("rank", "key", "doc_id", "row_key", "size", "taken div size as copies", "taken % size as over", "-(taken % size) / size as least"), "mix-units")
-    left = units.groupBy("rank").agg(F.sum("over").alias("left"))
-    dealt = running_totals(units, ["rank", "least", "key", "doc_id", "row_key"], "size", group="rank", label="mix-dealt").join(left, "rank")
-    more = (F.col("before") + F.col("size") <= F.col("left")) & (F.col("over") > 0)
-    now = written(dealt.select("rank", "key", "doc_id", "row_key", "size", "over", (F.col("copies") + more.cast("int")).alias("copies"), F.when(more, F.col("size")).otherwise(0).alias("given")), "mix-dealt-out")
-    for i in range(FILLS):
-        gap = now.groupBy("rank").agg((F.sum("over") - F.sum("given")).alias("gap")).where("gap > 0")
-        near = now.where(F.col("copies") < repeats).join(gap, "rank").where("size < 2 * gap")
-        # one row a source
-        best = near.groupBy("rank").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "key", F.col("doc_id"), F.col("row_key"))).alias("b"))
-        best = best.select("rank", F.col("b.key").alias("__k"), F.col("b.doc_id").alias("__d"), F.col("b.row_key").alias("__t"))
-        joined = now.join(best, "rank", "left")
-        hit = F.coalesce((F.col("key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("row_key") == F.col("__t")), F.lit(False))
-        nxt = written(joined.select("rank", "key", "doc_id", "row_key", "size", "over", (F.col("copies") + hit.cast("int")).alias("copies"), (F.col("given") + F.when(hit, F.col("size")).otherwise(0)).alias("given")), f"mix-filled-{i}")
-        dropped(now)
-        now = nxt
-    dropped(units)
-    return now.select("doc_id", "row_key", "copies")
+        .selectExpr("rank", "key", "doc_id", "row_key", "size", "taken div size as copies", "taken % size as over", "-(taken % size) / size as least", "monotonically_increasing_id() as unit"), "mix-units")
+    left = written(units.groupBy("rank").agg(F.sum("over").alias("left")), "mix-left")
+    # one row a source
+    small = F.broadcast if left.count() <= BROADCAST_ROWS else lambda df: df
+
+    def ordered(some: DataFrame, by: str, upto: str) -> DataFrame:
+        """Units of a source in order, as far as their sizes come to no more than ``upto``."""
+        return running_totals(some, ["rank", by, "key", "doc_id", "row_key"], "size", group="rank", label="mix-dealt").where(F.col("before") + F.col("size") <= F.col(upto))
+
+    def without(gap: DataFrame, given: DataFrame, label: str) -> DataFrame:
+        """What is still missing after units were given."""
+        sums = given.groupBy("rank").agg(F.sum("size").alias("given"))
+        return written(gap.join(small(sums), "rank", "left").select("rank", (F.col("gap") - F.coalesce("given", F.lit(0))).alias("gap")), label)
+
+    given = written(ordered(units.join(small(left), "rank"), "least", "left").where("over > 0").select("rank", "unit", "size"), "mix-given")
+    gap = without(left.withColumnRenamed("left", "gap"), given, "mix-gap")
+    more = [given]
+
+    def short(fits: str) -> DataFrame:
+        """Units that may be repeated once more and fit in what is missing."""
+        again = more[0].select("unit")
+        for g in more[1:]:
+            again = again.unionByName(g.select("unit"))
+        now = units.join(again.groupBy("unit").count(), "unit", "left").where(F.col("copies") + F.coalesce("count", F.lit(0)) < repeats)
+        return now.join(small(gap.where("gap > 0")), "rank").where(fits).select("rank", "key", "doc_id", "row_key", "unit", "size", "gap", (-F.col("size")).alias("less"))
+
+    while True:
+        fit = written(short("size <= gap"), "mix-fit")
+        if fit.isEmpty():
+            dropped(fit)
+            break
+        more.append(written(ordered(fit, "less", "gap").select("rank", "unit", "size"), "mix-given"))
+        before, gap = gap, without(gap, more[-1], "mix-gap")
+        dropped(before, fit)
+    nearest = F.min(F.struct((F.col("size") - F.col("gap")).alias("off"), "key", "doc_id", "row_key", "unit"))
+    last = written(short("size < 2 * gap").groupBy("rank").agg(nearest.alias("b")).select("rank", F.col("b.unit").alias("unit")), "mix-last")
+    again = last.select("unit")
+    for g in more:
+        again = again.unionByName(g.select("unit"))
+    out = written(units.join(again.groupBy("unit").count(), "unit", "left").select("doc_id", "row_key", (F.col("copies") + F.coalesce("count", F.lit(0))).alias("copies")), "mix-copies")
+    dropped(units, left, gap, last, *more)
+    return out
 
 
 def _row_key() -> Column:
