@@ -736,3 +736,13 @@ def test_small_documents_fill_what_large_ones_leave(spark):
     for s, least in (("a", 4), ("b", 50)):
         taken = sum(len(WORD.findall(r["text"])) for r in out if r["source"] == s)
         assert abs(taken - target[s]) <= least, (s, taken, target[s])
+
+
+def test_tokens_replace_columns_of_their_names(spark):
+    import public_tokenizers
+    from textkiln.llm.bpe import decode, encode
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = spark.createDataFrame([(1, "a b", "x", "y", "z"), (1, "a b", "x", "y", "z"), (2, None, None, None, None)], "doc_id long, text string, ids string, offsets string, decoded string")
+    rows = decode(encode(docs, path), path).collect()
+    assert sorted((r["doc_id"], bytes(r["decoded"]), len(r["ids"]), len(r["offsets"])) for r in rows) == [(1, b"a b", 2, 3), (1, b"a b", 2, 3), (2, b"", 0, 1)]

@@ -264,7 +264,8 @@ def vocabulary_lines(path: str) -> bytes:
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """``docs`` plus ``ids`` (array<int>) and ``offsets`` (array<int>, one more than ids)."""
+    """``docs`` plus ``ids`` (array<int>) and ``offsets`` (array<int>, one more than ids); columns of these names are replaced."""
+    docs = docs.drop("ids", "offsets")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("offsets", T.ArrayType(T.IntegerType()))])
     lines = vocabulary_lines(vocabulary)
 
@@ -278,7 +279,8 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
 
 def decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
-    """``rows`` plus ``decoded`` (binary)."""
+    """``rows`` plus ``decoded`` (binary), which replaces a column of that name."""
+    rows = rows.drop("decoded")
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
     lines = vocabulary_lines(vocabulary)
 

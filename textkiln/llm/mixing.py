@@ -136,13 +136,28 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, n
     return _laid(docs, weights, repeats, n_shards, blocks_per_shard, seed, ()).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _largest_first(fit: DataFrame) -> DataFrame:
+    """Units (``rank, group, size, gap, key, doc_id, row_key``; a group is a rank's size) taken from the largest size down, as many of each as fit in what is left of ``gap``."""
+    sizes = fit.groupBy("rank", "gap", "size").agg(F.count(F.lit(1)).alias("n")).groupBy("rank", "gap").agg(F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("sizes"))
+    start = F.struct(F.col("gap").cast("long").alias("gap"), F.array().cast("array<struct<size:bigint,k:bigint>>").alias("picks"))
+
+    def take(now: Column, x: Column) -> Column:
+        k = F.least(x["n"], F.call_function("div", now["gap"], x["size"].cast("long")))
+        picks = F.when(k > 0, F.concat(now["picks"], F.array(F.struct(x["size"].cast("long").alias("size"), k.alias("k"))))).otherwise(now["picks"])
+        return F.struct((now["gap"] - k * x["size"]).cast("long").alias("gap"), picks.alias("picks"))
+
+    picks = sizes.select("rank", F.explode(F.aggregate("sizes", start, take)["picks"]).alias("p")).select(F.concat_ws(":", "rank", "p.size").alias("group"), "p.k")
+    # one row for each size that is taken; a source takes few sizes unless it takes all of its documents
+    return running_totals(fit.join(picks, "group"), ["group", "key", "doc_id", "row_key"], "size", group="group", label="mix-dealt").where("index < k")
+
+
 def document_copies(docs: DataFrame, repeats: int = 3, **options) -> DataFrame:
     """``doc_id, row_key, copies``: how often the mix repeats each document, as whole documents.
 
     A document has as many copies as its taken words fill. The words left over in a source are dealt by largest
     remainder: documents whose last copy is most complete get it, as far as the words go. What is still missing goes to the
-    largest documents that fit, pass after pass, each of which at least halves it, until none fits; a last document may follow
-    if it brings the source nearer to its words. Rows that agree in doc_id, source and text are one document, repeated together.
+    largest documents that fit, then to the largest that fit in what that leaves, and so on until none fits; a last document may follow
+    if it brings the source nearer to its words. How many of each size that takes follows from a source's counts of sizes. Rows that agree in doc_id, source and text are one document, repeated together.
     """
     options = {"weights": WEIGHTS, "n_shards": 8, "blocks_per_shard": 512, "seed": 7, **options}
     rows = docs.select("doc_id", "source", "text", _row_key().alias("row_key"))
@@ -173,14 +188,14 @@ def document_copies(docs: DataFrame, repeats: int = 3, **options) -> DataFrame:
         for g in more[1:]:
             again = again.unionByName(g.select("unit"))
         now = units.join(again.groupBy("unit").count(), "unit", "left").where(F.col("copies") + F.coalesce("count", F.lit(0)) < repeats)
-        return now.join(small(gap.where("gap > 0")), "rank").where(fits).select("rank", "key", "doc_id", "row_key", "unit", "size", "gap", (-F.col("size")).alias("less"))
+        return now.join(small(gap.where("gap > 0")), "rank").where(fits).select("rank", "key", "doc_id", "row_key", "unit", "size", "gap")
 
-    while True:
-        fit = written(short("size <= gap"), "mix-fit")
+    while True:  # each document once at most, so this ends after as many passes as a document may have copies
+        fit = written(short("size <= gap").withColumn("group", F.concat_ws(":", "rank", "size")), "mix-fit")
         if fit.isEmpty():
             dropped(fit)
             break
-        more.append(written(ordered(fit, "less", "gap").select("rank", "unit", "size"), "mix-given"))
+        more.append(written(_largest_first(fit).select("rank", "unit", "size"), "mix-given"))
         before, gap = gap, without(gap, more[-1], "mix-gap")
         dropped(before, fit)
     nearest = F.min(F.struct((F.col("size") - F.col("gap")).alias("off"), "key", "doc_id", "row_key", "unit"))

@@ -199,9 +199,13 @@ def set_links(rows: DataFrame, bits: DataFrame) -> DataFrame:
     mixed = rest.groupBy("shingle").agg(F.min("group").alias("g"), F.max("group").alias("h")).where("g != h").select("shingle")
     rest = rest.join(mixed, "shingle", "left_semi")
     left = [F.col(f"{x}.n") - F.col(f"{x}.place") for x in ("x", "y")]
-    meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.set_key") < F.col("y.set_key")) & (F.col("x.group") != F.col("y.group"))
+    # sets of similarity 0.8 have sizes of one band or of neighbouring ones: the smaller of a pair meets its own and the next
+    rest = rest.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.26))).cast("int"))
+    larger = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.set_key") < F.col("y.set_key")))
+    meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.band") == F.col("y.band")) & larger & (F.col("x.group") != F.col("y.group"))
     meet = meet & (9 * F.least(*left) >= 4 * (F.col("x.n") + F.col("y.n"))) & _may("x", "y")
-    left_over = rest.alias("x").join(rest.alias("y"), meet).select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")).distinct()
+    upward = rest.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+    left_over = upward.alias("x").join(rest.alias("y"), meet).select(F.least("x.set_key", "y.set_key").alias("a"), F.greatest("x.set_key", "y.set_key").alias("b")).distinct()
     second = _verified(_pairs(left_over, bits), rows, "near-2")
     return first.unionByName(second)
 
