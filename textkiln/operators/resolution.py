@@ -106,33 +106,54 @@ def running_delta(edits: DataFrame, group: str) -> DataFrame:
     return edits.withColumn("delta", F.coalesce(F.sum(F.col("new_length") - (F.col("end") - F.col("start"))).over(w), F.lit(0)))
 
 
+#: Sizes of cells for spans: the smallest, how much larger the next is, and how many there are.
+CELL, LARGER, SIZES = 64, 8, 10
+
+
 def smallest_enclosing(spans: DataFrame, blocks: DataFrame, group: str) -> DataFrame:
     """Each span with its smallest enclosing block of the same group (``start, end``; ties to the smaller start).
 
-    Blocks are hashed to the cells they touch, spans to the cell of their start, so the join is an
-    equi-join on (group, cell) and only blocks near the span meet it.
+    A block is hashed to cells of the least size that isn't smaller than itself, so to two at most, however long it is; a span to the cell of its start in
+    every size. The join is an equi-join on (group, size, cell), and only blocks near the span, on the block's own scale, meet it.
     """
-    cell = 256
-    b = blocks.select(group, F.col("start").alias("b_start"), F.col("end").alias("b_end")).withColumn("cell", F.explode(F.sequence(F.floor(F.col("b_start") / cell), F.floor(F.col("b_end") / cell))))
-    s = spans.withColumn("cell", F.floor(F.col("start") / cell))
-    met = s.join(b, [group, "cell"]).where((F.col("b_start") <= F.col("start")) & (F.col("end") <= F.col("b_end")))
+    size = F.lit(SIZES - 1)
+    for k in range(SIZES - 2, -1, -1):
+        size = F.when(F.col("b_end") - F.col("b_start") <= CELL * LARGER ** k, F.lit(k)).otherwise(size)
+    width = F.element_at(F.array(*[F.lit(CELL * LARGER ** k) for k in range(SIZES)]), F.col("size") + 1)
+    b = blocks.select(group, F.col("start").alias("b_start"), F.col("end").alias("b_end")).withColumn("size", size)
+    b = b.withColumn("cell", F.explode(F.sequence(F.floor(F.col("b_start") / width), F.floor(F.col("b_end") / width))))
+    s = spans.withColumn("size", F.explode(F.sequence(F.lit(0), F.lit(SIZES - 1)))).withColumn("cell", F.floor(F.col("start") / width))
+    met = s.join(b, [group, "size", "cell"]).where((F.col("b_start") <= F.col("start")) & (F.col("end") <= F.col("b_end")))
     best = met.groupBy(group, "start", "end").agg(F.min_by(F.struct("b_start", "b_end"), F.struct(F.col("b_end") - F.col("b_start"), "b_start")).alias("b"))
     return best.select(group, "start", "end", "b.b_start", "b.b_end")
 
 
 def project_range(ranges: DataFrame, changes: DataFrame, group: str) -> DataFrame:
-    """Ranges after edits: moved by what ends at or before their start; null where a change straddles a bound.
+    """Ranges after edits, in one sorted pass over bounds and changes: moved by what ends at or before their bounds.
 
-    ``changes``: start, end, new_length, not overlapping.
+    ``changes``: start, end, new_length, not overlapping. Null where a change lies across a bound, or inserts inside the range: a
+    reference that was changed in part isn't inferred.
     """
-    c = changes.select(group, F.struct("start", "end", "new_length").alias("c")).groupBy(group).agg(F.collect_list("c").alias("cs"))
-    j = ranges.join(c, group, "left").withColumn("cs", F.coalesce("cs", F.array().cast(c.schema["cs"].dataType)))
-
-    def moved(at: str) -> Column:
-        return F.aggregate(F.filter("cs", lambda x: x["end"] <= F.col(at)), F.lit(0).cast("long"), lambda a, x: a + x["new_length"] - (x["end"] - x["start"]))
-
-    straddles = F.exists("cs", lambda x: ((x["start"] < F.col("start")) & (F.col("start") < x["end"])) | ((x["start"] < F.col("end")) & (F.col("end") < x["end"])))
-    return j.select(*ranges.columns, F.when(~straddles, F.col("start") + moved("start")).alias("new_start"), F.when(~straddles, F.col("end") + moved("end")).alias("new_end"))
+    whole = ranges.select(group, "start", "end").distinct()
+    none = F.lit(None).cast("long")
+    at = lambda df, place, kind, **more: df.select(group, F.col(place).cast("long").alias("at"), F.lit(kind).alias("kind"), *[more.get(c, none).alias(c) for c in ("start", "end", "moved", "upto", "inserted")])
+    inserts = changes.where(F.col("start") == F.col("end"))
+    # at one place: what ends there counts for both bounds, an insertion for a start only, what starts there for neither
+    events = (
+        at(changes, "end", 0, moved=(F.col("new_length") - (F.col("end") - F.col("start"))).cast("long"))
+        .unionByName(at(whole, "end", 1, start=F.col("start").cast("long"), end=F.col("end").cast("long")))
+        .unionByName(at(inserts, "start", 2, inserted=F.lit(1).cast("long")))
+        .unionByName(at(whole, "start", 3, start=F.col("start").cast("long"), end=F.col("end").cast("long")))
+        .unionByName(at(changes, "start", 4, upto=F.col("end").cast("long"))))
+    w = Window.partitionBy(group).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    passed = events.select(
+        group, "at", "kind", "start", "end", F.coalesce(F.sum("moved").over(w), F.lit(0)).alias("delta"), F.coalesce(F.max("upto").over(w) > F.col("at"), F.lit(False)).alias("across"), F.coalesce(F.sum("inserted").over(w), F.lit(0)).alias("before"))
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    both = passed.where(F.col("kind").isin(1, 3)).groupBy(group, "start", "end").agg(
+        of(3, "delta").alias("d_start"), of(1, "delta").alias("d_end"), F.bool_or("across").alias("across"), (of(1, "before") > of(3, "before")).alias("inserted"))
+    fine = ~F.col("across") & ~F.col("inserted")
+    moved = both.select(group, "start", "end", F.when(fine, F.col("start") + F.col("d_start")).alias("new_start"), F.when(fine, F.col("end") + F.col("d_end")).alias("new_end"))
+    return ranges.join(moved, [group, "start", "end"]).select(*ranges.columns, "new_start", "new_end")
 
 
 def set_difference_report(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:

@@ -37,14 +37,15 @@ UNION ALL SELECT path, NULL, NULL, error = 'cycle', error FROM (VALUES ('x1', 'c
 
 
 def link_discovery(spark, sf):
-    """Nations by steps from region 0's nations along shared trailing digits of their keys."""
-    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("r"))
-    edges = n.alias("a").join(n.alias("b"), F.col("b.k") == (F.col("a.k") * 3 + 1) % 25).select(F.col("a.k").alias("src"), F.col("b.k").alias("dst"))
-    return G.reachable(edges, n.where("r = 0").select(F.col("k").alias("node")))
+    """Pages and routes by steps from every fiftieth page: along the links of a page, and from a route to the pages whose heading begins with its word."""
+    p = table(spark, sf, "pages").select(F.concat(F.lit("p"), "page_id").alias("page"), "html", "page_id")
+    out = p.select(F.col("page").alias("src"), F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("dst"))
+    back = p.select(F.concat(F.lit("/"), F.regexp_extract("html", "<h1>([^ <]+)", 1)).alias("src"), F.col("page").alias("dst"))
+    return G.reachable(out.unionByName(back), p.where("page_id % 50 = 0").select(F.col("page").alias("node")))
 
 
-_DISCOVERY_SQL = """WITH RECURSIVE s(node, depth) AS (SELECT n_nationkey, 0 FROM nation WHERE n_regionkey = 0 UNION SELECT (node * 3 + 1) % 25, depth + 1 FROM s WHERE depth < 30)
-SELECT node::INT AS node, min(depth)::INT AS depth FROM s WHERE node IN (SELECT n_nationkey FROM nation) GROUP BY node"""
+_DISCOVERY_SQL = """WITH RECURSIVE e AS (SELECT DISTINCT 'p' || page_id AS src, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS dst FROM pages UNION SELECT '/' || regexp_extract(html, '<h1>([^ <]+)', 1), 'p' || page_id FROM pages),
+s(node, depth) AS (SELECT 'p' || page_id, 0 FROM pages WHERE page_id % 50 = 0 UNION SELECT dst, depth + 1 FROM s JOIN e ON src = node WHERE depth < 40) SELECT node, min(depth)::INT AS depth FROM s GROUP BY node"""
 
 
 def api_resolution(spark, sf):
@@ -133,7 +134,8 @@ def running_offsets(spark, sf):
 
 def projected_ranges(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc"), (F.col("o_custkey") % 400).cast("long").alias("start"), (F.col("o_custkey") % 400 + 60).cast("long").alias("end"))
-    return R.project_range(o, _edits(spark, sf), "doc")
+    changes = _edits(spark, sf).withColumn("end", F.when(F.col("new_length") % 7 == 0, F.col("start")).otherwise(F.col("end")))  # one in seven inserts
+    return R.project_range(o, changes, "doc")
 
 
 _EDITS = "(SELECT l_orderkey AS doc, l_linenumber * 100 AS s, l_linenumber * 100 + max(l_quantity)::INT AS e, max(l_partkey) % 80 AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)"
@@ -225,8 +227,9 @@ ORACLE_SQL = {
  FROM (SELECT min(l_returnflag) AS model, min(l_quantity::BIGINT) AS tokens FROM lineitem GROUP BY l_orderkey, l_partkey) GROUP BY model""",
     "running_offsets": f"""SELECT doc, s AS start, e AS "end", n AS new_length, coalesce(sum(n - (e - s)) OVER (PARTITION BY doc ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS delta FROM {_EDITS}""",
     "projected_ranges": f"""SELECT doc, a AS start, b AS "end", CASE WHEN NOT bad THEN a + da END AS new_start, CASE WHEN NOT bad THEN b + db END AS new_end FROM (
- SELECT o_orderkey AS doc, o_custkey % 400 AS a, o_custkey % 400 + 60 AS b, coalesce(bool_or((s < o_custkey % 400 AND o_custkey % 400 < e) OR (s < o_custkey % 400 + 60 AND o_custkey % 400 + 60 < e)), false) AS bad,
- coalesce(sum(n - (e - s)) FILTER (e <= o_custkey % 400), 0)::BIGINT AS da, coalesce(sum(n - (e - s)) FILTER (e <= o_custkey % 400 + 60), 0)::BIGINT AS db FROM orders LEFT JOIN {_EDITS} x ON x.doc = o_orderkey GROUP BY o_orderkey, o_custkey)""",
+ SELECT o_orderkey AS doc, o_custkey % 400 AS a, o_custkey % 400 + 60 AS b, coalesce(bool_or(s < o_custkey % 400 + 60 AND e > o_custkey % 400 AND NOT (o_custkey % 400 <= s AND s < e AND e <= o_custkey % 400 + 60)), false) AS bad,
+ coalesce(sum(n - (e - s)) FILTER (e <= o_custkey % 400), 0)::BIGINT AS da, coalesce(sum(n - (e - s)) FILTER (e <= o_custkey % 400 + 60), 0)::BIGINT AS db
+ FROM orders LEFT JOIN (SELECT doc, s, CASE WHEN n % 7 = 0 THEN s ELSE e END AS e, n FROM {_EDITS}) x ON x.doc = o_orderkey GROUP BY o_orderkey, o_custkey)""",
     "interval_containment": _CONTAIN_SQL,
     "first_turn_only": "SELECT conv_id, arg_min(role, turn) AS role, arg_min(text, turn) AS text FROM conversations WHERE turn IS NOT NULL GROUP BY conv_id",
     "document_tags": """SELECT doc_id, list_transform(list_sort(list_transform(list_distinct(list_filter(list_transform([lang, ' ' || upper(source), '', source, lower(source), 'Zeta', 'alpha'], lambda x: trim(x)), lambda x: x <> '')), lambda x: {'k': lower(x), 't': x})), lambda x: x.t) AS tags FROM documents""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES (name -> function of session and folder) and ORACLE_SQL.
-MODULES = ("urls", "texts", "states", "relations", "contents", "checks", "curations", "custody", "retirements", "proofs", "projections")
+MODULES = ("urls", "texts", "states", "relations", "contents", "checks", "curations", "custody", "retirements", "proofs", "projections", "changes")
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}

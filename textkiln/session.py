@@ -36,6 +36,12 @@ def settled(df: DataFrame) -> DataFrame:
     return out
 
 
+def forgotten(spark: SparkSession, path: str) -> None:
+    """Marks a folder that goes when the application ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def unsettled(*frames: DataFrame) -> None:
     """Removes what ``settled`` wrote, once nothing reads it any more."""
     for df in frames:

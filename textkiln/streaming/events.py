@@ -1,7 +1,9 @@
 """State as a stream: page events folded into one row a page, with state kept for each key.
 
-The fold is associative in arrival order per key. Running counts use built-in aggregation; the page
-state machine needs more than one field of history and runs as a keyed stateful operator.
+Events may come in any order over any number of batches, and the newest rows equal the fold of all events in the order of their time. The
+state of a page is its counts, its last success, and the events after that success, which a success that is still to come may
+fall between; it lies in RocksDB. Results go to a folder by batch number, so a batch that is replayed after a failure
+overwrites what it wrote, and the newest row of a page is that of its highest batch.
 """
 
 from __future__ import annotations
@@ -11,41 +13,60 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE = "attempts int, failures int, terminals int, status string, last_success string"
 OUTPUT = "page string, status string, attempts int, failures int, terminals int, last_success string"
-
-
-def read_events(spark: SparkSession, folder: str, schema, name: str = "events.parquet") -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", name).option("maxFilesPerTrigger", 1).parquet(folder)
-
-
-def step(state: tuple, kind: str, at: str) -> tuple:
-    """One event: success resets the counters, a terminal failure counts towards removal, others reset that count."""
-    attempts, failures, terminals, _, last = state
-    attempts += 1
-    if kind == "success":
-        return attempts, 0, 0, "success", at
-    if kind == "gone":
-        terminals += 1
-        return attempts, failures + 1, terminals, "confirmed_removal" if terminals >= 2 else "removal_candidate", last
-    return attempts, failures + 1, 0, "carried_forward" if last else "failed", last
-
-
-def _fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    now = state.get if state.exists else (0, 0, 0, "discovered", None)
-    rows = pd.concat(list(frames)).sort_values(["at", "event_id"])
-    for kind, at in zip(rows["kind"], rows["at"]):
-        now = step(now, kind, at)
-    state.update(now)
-    yield pd.DataFrame([(key[0], now[3], now[0], now[1], now[2], now[4])], columns=["page", "status", "attempts", "failures", "terminals", "last_success"])
+_ROCKS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def read_events(spark: SparkSession, folder: str, schema, name: str = "*.parquet", files: int = 1) -> DataFrame:
+    """Parquet files of a folder as a stream, so many a batch; the folder may still be empty."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    return spark.readStream.schema(schema).option("pathGlobFilter", name).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+class PageFold(StatefulProcessor):
+    """Counts of a page, its last success, and the events after it."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "attempts int, at string, event_id long")
+        self.after = handle.getListState("after", "at string, event_id long, gone boolean")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        attempts, *ok = self.known.get() if self.known.exists() else (0, None, None)
+        ok = tuple(ok) if ok[1] is not None else None
+        before, new = ok, []
+        for f in rows:
+            attempts += len(f)
+            for at, number, kind in zip(f["at"].tolist(), f["event_id"].tolist(), f["kind"].tolist()):
+                place = (at, number)
+                if kind == "success":
+                    ok = place if ok is None else max(ok, place)
+                elif ok is None or place > ok:
+                    new.append((at, number, kind == "gone"))
+        new = [e for e in new if ok is None or e[:2] > ok]
+        old = [tuple(e) for e in self.after.get()] if self.after.exists() else []
+        if ok != before:
+            old = [e for e in old if e[:2] > ok]
+            if old or new:
+                self.after.put(old + new)
+            else:
+                self.after.clear()
+        elif new:
+            self.after.appendList(new)
+        self.known.update((attempts, *(ok or (None, None))))
+        events = old + new
+        other = max((e[:2] for e in events if not e[2]), default=None)
+        terminals = sum(e[2] and (other is None or e[:2] > other) for e in events)
+        gone = bool(events) and max(events, key=lambda e: e[:2])[2]
+        status = "success" if not events else "confirmed_removal" if gone and terminals >= 2 else "removal_candidate" if gone else "carried_forward" if ok else "failed"
+        yield pd.DataFrame([(key[0], status, attempts, len(events), terminals, ok[0] if ok else None)], columns=["page", "status", "attempts", "failures", "terminals", "last_success"])
 
 
 def page_states(events: DataFrame) -> DataFrame:
     """Stream of ``page, kind, at, event_id`` -> the page's newest state after each batch."""
-    return events.groupBy("page").applyInPandasWithState(_fold, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
+    return events.groupBy("page").transformWithStateInPandas(statefulProcessor=PageFold(), outputStructType=OUTPUT, outputMode="Update", timeMode="None")
 
 
 def folded(events: DataFrame) -> DataFrame:
@@ -68,12 +89,33 @@ def windowed_counts(events: DataFrame, ts: str = "ts", watermark: str = "1 hour"
     return events.withWatermark(ts, watermark).groupBy(F.window(ts, width).alias("w"), "kind").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "kind", "n")
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
-    """Drains what is there and returns the rows of the in-memory table."""
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    q = (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
+def upsert(stream: DataFrame, folder: str, checkpoint: str) -> None:
+    """Drains what is there into ``folder``, a folder for each batch; taken up where ``checkpoint`` left off."""
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+
+    spark = stream.sparkSession
+    held = {k: spark.conf.get(k, None) for k in _ROCKS}
+    for k, v in _ROCKS.items():
+        spark.conf.set(k, v)
     try:
-        q.awaitTermination()
+        query = stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        finally:
+            query.stop()
     finally:
-        q.stop()
-    return stream.sparkSession.table(name)
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def newest(spark: SparkSession, folder: str, key: str = "page", schema: str = OUTPUT) -> DataFrame:
+    """The row of each key's highest batch."""
+    rows = spark.read.schema(f"{schema}, batch long").parquet(folder)
+    names = [c for c in rows.columns if c != "batch"]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*names), "batch").alias("r")).select("r.*")
+
+
+def compact(spark: SparkSession, folder: str, into: str) -> None:
+    """Writes the newest rows as batch -1 of another folder, which later batches may follow."""
+    newest(spark, folder).write.mode("overwrite").parquet(f"{into}/batch=-1")
