@@ -132,9 +132,10 @@ def technical_payloads(text: Column) -> Column:
 
 
 def first_paragraph(body: Column, least: int = 20) -> Column:
-    """The first line that is prose: no heading, list, table, quote, image or fence, of ``least`` characters or more, ending a sentence."""
-    prose = F.filter(F.split(body, "\n"), lambda x: ~x.rlike(r"^\s*(?:#|[-*+] |\d+[.)] |\||>|!\[|```)") & (F.length(F.trim(x)) >= least) & F.trim(x).rlike(r"[.!?]$"))
-    return F.trim(F.get(prose, F.lit(0)))
+    """The first paragraph that is prose, on one line: none of its lines begins a heading, list, table, quote, image or fence; of ``least`` characters or more, ending a sentence."""
+    prose = F.filter(F.split(body, r"\n[ \t]*\n"), lambda p: ~p.rlike(r"(?m)^[ \t]*(?:#|[-*+] |\d+[.)] |\||>|!\[|```)"))
+    flat = F.transform(prose, lambda p: F.trim(F.regexp_replace(p, r"[ \t\n\r\f]+", " ")))
+    return F.get(F.filter(flat, lambda p: (F.length(p) >= least) & p.rlike(r"[.!?]$")), F.lit(0))
 
 
 def json_ld_dates(html: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textkiln.functions.text import body_hash
+from textkiln.functions.text import normalize_body_sql
 from textkiln.operators import pages as P
 from textkiln.operators import privacy as V
 from textkiln.sources import documents as D
@@ -24,9 +24,9 @@ def markdown_blocks(spark, sf):
 
 
 def markdown_links(spark, sf):
-    """Rendered pages with a link to themselves, an image, and a link in code that doesn't count."""
-    more = F.concat(F.col("markdown"), F.lit("\n[this page]("), F.col("url"), F.lit(") ![i](/img/"), F.col("page_id"), F.lit(".png)\n\n```\n[no](/code)\n```\n"))
-    return P.markdown_links(_rendered(spark, sf).select("page_id", more.alias("markdown")), "page_id", "markdown")
+    """Whole pages with their own anchors written as links, and their stylesheets and scripts as code, which has none."""
+    text = F.regexp_replace("html", '<a href="([^"]*)">([^<]*)</a>', "[$2]($1)")
+    return P.markdown_links(table(spark, sf, "pages").select("page_id", text.alias("markdown")), "page_id", "markdown")
 
 
 def markdown_sections(spark, sf):
@@ -42,18 +42,26 @@ def guarded_removals(spark, sf):
 
 
 def frontmatter_roundtrip(spark, sf):
-    """Documents with frontmatter, split again: metadata and body come back."""
-    r = _rendered(spark, sf).where("markdown is not null")
-    text = D.serialize({"sourceId": F.lit("pages"), "title": F.col("title"), "url": F.col("url"), "description": F.col("description")}, F.col("markdown"))
-    back = r.select("page_id", "title", "markdown", text.alias("document"))
-    meta, body = D.split(F.col("document"))
-    return back.select("page_id", meta.alias("m"), body.alias("b"), "title", "markdown").select("page_id", (F.col("m")["title"] == F.col("title")).alias("same_title"), (F.col("b") == F.col("markdown")).alias("same_body"), (F.col("m")["content_hash"] == body_hash(F.col("markdown"))).alias("same_hash"))
+    """Whole documents with frontmatter, split again: what comes back of each field and of the body."""
+    d = table(spark, sf, "documents").where("text is not null")
+    text = D.serialize({"sourceId": F.col("source"), "title": F.split_part("text", F.lit("\n"), F.lit(1)), "url": F.concat(F.lit("https://d/"), "doc_id"), "description": F.col("lang")}, F.col("text"))
+    meta, body = D.split(text)
+    return d.select("doc_id", meta.alias("m"), body.alias("b")).select(
+        "doc_id", F.col("m")["sourceId"].alias("source"), F.col("m")["title"].alias("title"), F.col("m")["url"].alias("url"), F.col("m")["description"].alias("description"),
+        F.col("m")["content_hash"].alias("content_hash"), F.sha2("b", 256).alias("body_sha256"))
 
 
 def privacy_scan(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(V.kinds(F.col("text")), ",").alias("kinds")).where("kinds != ''")
 
 
+def page_privacy(spark, sf):
+    """Whole pages, with the document of their number as what an image of theirs shows."""
+    p, d = table(spark, sf, "pages").select("page_id", "html"), table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), "text")
+    said = F.concat(F.col("html"), F.lit('<img src="x.png" alt="'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit("&quot;")), F.lit('">'))
+    return p.join(d, "page_id").select("page_id", F.array_join(V.page_kinds(said), ",").alias("kinds")).where("kinds != ''")
+
+
 def privacy_findings(spark, sf):
     return V.findings(table(spark, sf, "documents"))
 
@@ -91,13 +99,25 @@ def unlinked_references(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    render_markdown, markdown_blocks, markdown_links, markdown_sections, guarded_removals, frontmatter_roundtrip, privacy_scan, privacy_findings, privacy_redaction,
+    render_markdown, markdown_blocks, markdown_links, markdown_sections, guarded_removals, frontmatter_roundtrip, privacy_scan, page_privacy, privacy_findings, privacy_redaction,
     relevance_decision, redirect_resolution, unlinked_references)}
+_NORMAL = normalize_body_sql("text")
 _KINDS_SQL = ", ".join(f"CASE WHEN regexp_matches(text, '{p}') THEN '{k}' END" for k, p in sorted(V.KINDS.items()))
+_quoted = lambda p: p.replace("'", "''")
+_ENTITIES = "x"
+for _entity, _c in V.ENTITIES:
+    _ENTITIES = f"replace({_ENTITIES}, '{_entity}', '{_quoted(_c)}')"
+# RE2 knows no lookahead: the excepted host is taken out of the text instead
+_EXCEPTION = "(?!example-corp\\.)"
+_PAGE_KINDS = ", ".join(
+    f"""CASE WHEN regexp_matches({"regexp_replace(t, '(?i)https://example-corp[.]', ' ', 'g')" if _EXCEPTION in p else 't'}, '(?i){_quoted(p.replace(_EXCEPTION, ""))}') THEN '{k}' END""" for k, p in sorted(V.PAGE_KINDS.items()))
 ORACLE_SQL = {
-    "markdown_links": "SELECT page_id AS id, 'link' AS kind, url AS target FROM pages UNION ALL SELECT page_id, 'media', '/img/' || page_id || '.png' FROM pages",
-    "frontmatter_roundtrip": "SELECT page_id, true AS same_title, true AS same_body, true AS same_hash FROM pages",
+    "markdown_links": "SELECT DISTINCT page_id AS id, 'link' AS kind, t AS target FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', 1)) AS t FROM pages) WHERE regexp_full_match(t, '[^ \\t\\n()<>]+')",
+    "frontmatter_roundtrip": f"""SELECT doc_id, source, split_part(text, chr(10), 1) AS title, 'https://d/' || doc_id AS url, lang AS description, sha256({_NORMAL}) AS content_hash, sha256({_NORMAL}) AS body_sha256 FROM documents WHERE text IS NOT NULL""",
     "privacy_scan": f"SELECT doc_id, kinds FROM (SELECT doc_id, array_to_string(list_filter([{_KINDS_SQL}], lambda x: x IS NOT NULL), ',') AS kinds FROM documents) WHERE kinds <> ''",
+    "page_privacy": f"""WITH h AS (SELECT page_id, html || '<img src="x.png" alt="' || replace(coalesce(text, ''), '"', '&quot;') || '">' AS h FROM pages JOIN documents ON doc_id = page_id),
+ t AS (SELECT page_id, {_ENTITIES} AS t FROM (SELECT page_id, regexp_replace(h, '{V.UNSEEN}', ' ', 'g') || ' ' || array_to_string(regexp_extract_all(h, '{_quoted(V.SAYING)}', 1), ' ') AS x FROM h))
+ SELECT * FROM (SELECT page_id, array_to_string(list_filter([{_PAGE_KINDS}], lambda x: x IS NOT NULL), ',') AS kinds FROM t) WHERE kinds <> ''""",
     "relevance_decision": f"""SELECT doc_id, CASE WHEN NOT regexp_matches(t || ' ' || b, '{_FOCUS}') THEN 'exclude' WHEN regexp_matches(t, '{_FOCUS}') AND NOT regexp_matches(t, '{_OTHER}') THEN 'include'
  WHEN regexp_matches(t, '{_OTHER}') AND NOT regexp_matches(b, '{_FOCUS}') THEN 'exclude' ELSE 'review' END AS decision
  FROM (SELECT doc_id, split_part(text, chr(10), 1) AS t, substring(text, length(split_part(text, chr(10), 1)) + 1) AS b FROM documents)""",

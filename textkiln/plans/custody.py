@@ -80,9 +80,9 @@ def release_manifest(spark, sf):
 
 
 def document_findings(spark, sf):
-    body = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("Last updated May 1\n"), "text", F.lit("\nFigure 1: x\nFigure 2. y"))).otherwise(F.col("text"))
-    d = table(spark, sf, "documents").select("doc_id", body.alias("body"), F.substring("text", 1, 60).alias("description"))
-    return E.document_findings(d, "doc_id", "body", "description")
+    """Whole texts, with the first 240 characters that a listing shows of them as descriptions."""
+    shown = F.substring(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[ \t\n\r\f]+", " ")), 1, 240)
+    return E.document_findings(table(spark, sf, "documents").select("doc_id", "text", shown.alias("description")), "doc_id", "text", "description")
 
 
 def payloads(spark, sf):
@@ -139,11 +139,13 @@ ORACLE_SQL = {
  FROM (SELECT c_custkey AS k FROM customer) WHERE k % 2 = 0 OR k % 3 = 0 OR k % 5 = 0""",
     "release_manifest": """SELECT count(*) AS page_count, sum(strlen(text))::BIGINT AS page_bytes, count(*) FILTER (doc_id % 4 <> 0) AS fresh, count(DISTINCT source) AS sources, (SELECT count(*) FROM part) AS asset_count, (SELECT sum(p_size)::BIGINT FROM part) AS asset_bytes,
  '2026-01-01T00:00:00Z' AS started_at, '2026-01-01T01:00:00Z' AS ended_at FROM documents""",
-    "document_findings": """WITH d AS (SELECT doc_id, text, substring(text, 1, 60) AS s, len(list_filter(regexp_split_to_array(CASE WHEN doc_id % 5 = 0 THEN 'Last updated May 1 ' || text || ' Figure 1: x Figure 2. y' ELSE text END, '\\s+'), lambda x: x <> '')) AS w FROM documents)
- SELECT doc_id, 'body_date' AS category, 1 AS n FROM d WHERE doc_id % 5 = 0 UNION ALL SELECT doc_id, 'duplicate_caption', 2 FROM d WHERE doc_id % 5 = 0 UNION ALL SELECT doc_id, 'short_document', 1 FROM d WHERE w < 80
- UNION ALL SELECT doc_id, 'clipped_description', 1 FROM d WHERE s <> '' AND NOT regexp_matches(s, '[.!?]$')""",
+    "document_findings": f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, substring(trim(regexp_replace(coalesce(text, ''), '[ \\t\\n\\r\\f]+', ' ', 'g')), 1, 240) AS s FROM documents),
+ f AS ({' UNION ALL '.join(f"SELECT doc_id, '{k}' AS category, len(regexp_extract_all(text, '{p}'))::INT AS n FROM d" for k, p in E.FINDINGS.items())}
+ UNION ALL SELECT doc_id, 'short_document', (len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) < 80)::INT FROM d UNION ALL SELECT doc_id, 'clipped_description', (s <> '' AND NOT regexp_matches(s, '[.!?]$'))::INT FROM d)
+ SELECT * FROM f WHERE n > 0""",
     "payloads": f"SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{E.PAYLOAD}', 1) AS payloads FROM documents",
-    "descriptions": """SELECT doc_id, trim(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^\\s*(?:#|[-*+] |\\d+[.)] |\\||>|!\\[|```)') AND length(trim(x)) >= 20 AND regexp_matches(trim(x), '[.!?]$'))[1]) AS description FROM documents""",
+    "descriptions": """SELECT doc_id, list_filter(list_transform(list_filter(regexp_split_to_array(text, '\\n[ \\t]*\\n'), lambda x: NOT regexp_matches(x, '(?m)^[ \\t]*(?:#|[-*+] |\\d+[.)] |\\||>|!\\[|```)')),
+ lambda x: trim(regexp_replace(x, '[ \\t\\n\\r\\f]+', ' ', 'g'))), lambda x: length(x) >= 20 AND regexp_matches(x, '[.!?]$'))[1] AS description FROM documents""",
     "structured_dates": """SELECT page_id, CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d') END AS published, CASE WHEN event_type <> 'error' AND value > 20 THEN strftime(ts, '%Y-%m-%d') END AS modified
  FROM pages LEFT JOIN events ON event_id = page_id""",
     "url_origins": """SELECT o_custkey::VARCHAR AS url, array_to_string(list_filter([CASE WHEN bool_or(o_orderkey % 5 = 0) THEN 'discovery' END, CASE WHEN bool_or(o_orderkey % 3 = 0) THEN 'inventory' END, CASE WHEN bool_or(o_orderkey % 2 = 0) THEN 'previous_publication' END], lambda x: x IS NOT NULL), ',') AS origins,

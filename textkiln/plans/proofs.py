@@ -180,9 +180,9 @@ def without_links(spark, sf):
 
 
 def rewritten_media(spark, sf):
-    line = lambda x: F.concat(F.lit("![x](m/"), F.length(x) % 400, F.lit(".png) "), x)
+    line = lambda x: F.concat(F.lit("![x](m/"), F.length(x), F.lit(".png) "), x)
     d = _docs(spark, sf).select("doc_id", F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), line), "\n").alias("body"))
-    p = table(spark, sf, "part").where("p_partkey < 400 and p_size > 20")
+    p = table(spark, sf, "part").where("p_size > 20")
     to = p.select(F.concat(F.lit("m/"), "p_partkey", F.lit(".png")).alias("target"), F.concat(F.lit("n/"), "p_size", F.lit(".gif")).alias("replacement"))
     return W.rewritten_media(d, "doc_id", "body", to, p.where("p_size != 33").select(F.concat(F.lit("n/"), "p_size", F.lit(".gif")).alias("name"))).select("doc_id", "error", F.sha2("body", 256).alias("sha256"))
 
@@ -246,7 +246,7 @@ def capture_report(spark, sf):
 
 
 def article_hashes(spark, sf):
-    return table(spark, sf, "nation").select("n_nationkey", R.article_hash("n_name", "n_regionkey").alias("sha256"))
+    return table(spark, sf, "customer").select("c_custkey", R.article_hash("c_mktsegment", "c_nationkey").alias("sha256"))
 
 
 def destination_errors(spark, sf):
@@ -311,8 +311,8 @@ SELECT * FROM (SELECT target, CASE WHEN target NOT IN (SELECT p_partkey FROM par
     "rewritten_urls": f"""SELECT doc_id, count(p_partkey)::INT AS rewritten, sha256(string_agg(piece || ' See ' || CASE WHEN p_partkey IS NOT NULL THEN 'https://example.org/' || (p_partkey * 2) ELSE 'https://example.com/n/' || length(piece) END
  || CASE WHEN length(piece) % 2 = 0 THEN '.' ELSE '?!' END, chr(10) || chr(10) ORDER BY line)) AS sha256 FROM ({_LINES}) LEFT JOIN part ON p_partkey = length(piece) AND p_size > 25 GROUP BY doc_id""",
     "without_links": f"SELECT doc_id, count(p_partkey)::INT AS removed FROM ({_LINES}) LEFT JOIN part ON p_partkey = length(piece) AND p_size > 25 GROUP BY doc_id",
-    "rewritten_media": f"""WITH j AS (SELECT doc_id, line, piece, p_size, coalesce(bool_or(p_size = 33) OVER (PARTITION BY doc_id), false) AS bad FROM ({_LINES}) LEFT JOIN part ON p_partkey = length(piece) % 400 AND p_size > 20)
- SELECT doc_id, CASE WHEN bool_or(bad) THEN 'missing file' END AS error, sha256(string_agg(CASE WHEN NOT bad AND p_size IS NOT NULL THEN '![x](n/' || p_size || '.gif) ' ELSE '![x](m/' || (length(piece) % 400) || '.png) ' END || piece, chr(10) ORDER BY line)) AS sha256 FROM j GROUP BY doc_id""",
+    "rewritten_media": f"""WITH j AS (SELECT doc_id, line, piece, p_size, coalesce(bool_or(p_size = 33) OVER (PARTITION BY doc_id), false) AS bad FROM ({_LINES}) LEFT JOIN part ON p_partkey = length(piece) AND p_size > 20)
+ SELECT doc_id, CASE WHEN bool_or(bad) THEN 'missing file' END AS error, sha256(string_agg(CASE WHEN NOT bad AND p_size IS NOT NULL THEN '![x](n/' || p_size || '.gif) ' ELSE '![x](m/' || length(piece) || '.png) ' END || piece, chr(10) ORDER BY line)) AS sha256 FROM j GROUP BY doc_id""",
     "text_fields": """SELECT event_id, 'metadata/title' AS address, event_type AS value FROM events WHERE event_type IS NOT NULL UNION ALL SELECT event_id, 'metadata/more/tags/0', props FROM events WHERE props IS NOT NULL UNION ALL SELECT event_id, 'metadata/more/tags/1', 'b' FROM events""",
     "addressed_spans": f"""WITH l AS ({_LINES}), w AS (SELECT doc_id, unnest(regexp_extract_all(piece, '[^ \\t\\x0b\\f\\r]+')) AS x FROM l), a AS (SELECT doc_id, count(*) AS lines, min(sha256(piece)) AS h, sum(length(piece) + 1) - 1 AS last FROM l GROUP BY doc_id)
  SELECT a.doc_id, lines, coalesce(n, 0) AS words, last::BIGINT AS last, least(a.h, coalesce(b.h, a.h)) AS least_sha256 FROM a LEFT JOIN (SELECT doc_id, count(*) AS n, min(sha256(x)) AS h FROM w GROUP BY doc_id) b USING (doc_id)""",
@@ -328,6 +328,6 @@ SELECT * FROM (SELECT target, CASE WHEN target NOT IN (SELECT p_partkey FROM par
     "route_report": """WITH s AS (SELECT o_custkey AS k, max(200 + floor(o_totalprice)::BIGINT % 2 * 204) AS status FROM orders GROUP BY 1), j AS (SELECT coalesce(c_custkey, p_partkey) AS k, c_custkey IS NOT NULL AS c, p_partkey IS NOT NULL AS p FROM customer FULL JOIN part ON c_custkey = p_partkey)
  SELECT CASE WHEN NOT c THEN 'new' WHEN NOT p THEN 'gone' ELSE 'kept' END AS change, coalesce(status::VARCHAR, 'none') AS status, count(*) AS urls FROM j LEFT JOIN s USING (k) GROUP BY ALL""",
     "capture_report": """SELECT source, count(*) AS captures, count(*) FILTER (f) AS final, bool_and(f) AS complete, nullif(count(*) FILTER (NOT f), 0) AS queued FROM (SELECT source, lang = 'en' OR n_chars > 900 AS f FROM documents) GROUP BY source""",
-    "article_hashes": """SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}') AS sha256 FROM nation""",
+    "article_hashes": """SELECT c_custkey, sha256('{"c_mktsegment":"' || c_mktsegment || '","c_nationkey":' || c_nationkey || '}') AS sha256 FROM customer""",
     "destination_errors": "SELECT l_partkey AS source, count(DISTINCT CASE WHEN l_quantity > 45 THEN l_suppkey ELSE 0 END) AS destinations FROM lineitem GROUP BY 1 HAVING count(DISTINCT CASE WHEN l_quantity > 45 THEN l_suppkey ELSE 0 END) > 1",
 }

@@ -37,19 +37,18 @@ def obsolete_texts(spark, sf):
 
 
 def limitation_notices(spark, sf):
-    """Lines of documents as quoted notes, some about a subject, some with more."""
+    """Lines of documents as quoted notes, in which what is "of the" something is said not to support it."""
     lines = _docs(spark, sf).select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "t"))
-    n = F.length("t")
-    note = F.concat(F.when(n % 2 == 0, F.lit("> **Note:** ")).otherwise(F.lit("> ")), F.lit("It does not support "), F.when(n % 3 == 0, F.lit("old stacks")).otherwise(F.lit("old things")), F.when(n % 5 == 0, F.lit(", nor retired tools")).when(n % 7 == 0, F.lit(" `x`")).otherwise(F.lit(", ever")))
-    return lines.where(T.limitation_notice(note, "old[ -]stacks?", ("retired tools",))).select("doc_id", "line")
+    note = F.concat(F.lit("> **Note:** "), F.replace("t", F.lit(" of the "), F.lit(" does not support the ")))
+    return lines.where(T.limitation_notice(note, "the|an", ("ingth", "released"))).select("doc_id", "line")
 
 
 def legacy_pages(spark, sf):
     """Documents with a title from their first line's length, tags from their source and a life cycle from their language."""
     d, n = _docs(spark, sf), F.length(F.split_part("text", F.lit("\n"), F.lit(1)))
     title = F.when(n % 11 == 0, F.lit("Guide (Legacy)")).when(n % 13 == 0, F.lit("A legacy site here")).otherwise(F.lit("Guide"))
-    why = T.legacy_page(title, F.col("text"), F.col("source"), F.array(F.when(F.col("source").endswith("7"), F.lit("Retired")), F.col("source")), F.when(F.col("lang") == "es", F.lit("deprecated")), ("site", "workflow"), _WORDS)
-    return d.select("doc_id", why.alias("why")).where("why is not null")
+    why = T.legacy_reasons(title, F.col("text"), F.col("source"), F.array(F.when(F.col("source").endswith("7"), F.lit("Retired")), F.col("source")), F.when(F.col("lang") == "es", F.lit("deprecated")), ("site", "workflow"), _WORDS)
+    return d.select("doc_id", F.array_join(why, "+").alias("why")).where("why != ''")
 
 
 def retired_providers(spark, sf):
@@ -110,10 +109,10 @@ ORACLE_SQL = {
     "policy_texts": f"SELECT doc_id, sha256({folded_sql('text')}) AS sha256 FROM documents",
     "excluded_topics": f"""SELECT * FROM (SELECT page_id, CASE WHEN {_PLACE('url')} IN (SELECT {_PLACE('url')} FROM pages WHERE url LIKE '%://blog.%') THEN 'url' WHEN regexp_matches(url, '(?i)/fr/[0-9]*5') THEN 'text'
  WHEN len(list_filter(string_split({_PLACE('url')}, '/'), lambda x: try_cast(x AS INT) BETWEEN 0 AND 40 AND try_cast(x AS INT)::VARCHAR = x)) > 0 THEN 'identity' END AS reason FROM pages) WHERE reason IS NOT NULL""",
-    "limitation_notices": """SELECT doc_id, line::INT AS line FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line FROM documents)
- WHERE length(t) % 2 = 0 AND length(t) % 3 = 0 AND length(t) % 5 <> 0 AND length(t) % 7 <> 0""",
-    "legacy_pages": f"""SELECT * FROM (SELECT doc_id, CASE WHEN length(split_part(text, chr(10), 1)) % 11 = 0 OR length(split_part(text, chr(10), 1)) % 13 = 0 THEN 'label' WHEN ends_with(source, '7') THEN 'tag' WHEN lang = 'es' THEN 'lifecycle'
- WHEN {_ANY.format('text')} THEN 'scope' END AS why FROM documents) WHERE why IS NOT NULL""",
+    "limitation_notices": """SELECT doc_id, line::INT AS line FROM (SELECT doc_id, lower('> **Note:** ' || replace(x, ' of the ', ' does not support the ')) AS t, line FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line FROM documents))
+ WHERE contains(t, ' does not support the ') AND NOT regexp_matches(t, 'https?://|`|\\]\\(|<|\\[.*\\]') AND NOT contains(t, 'ingth') AND NOT contains(t, 'released')""",
+    "legacy_pages": f"""SELECT * FROM (SELECT doc_id, array_to_string(list_filter([CASE WHEN length(split_part(text, chr(10), 1)) % 11 = 0 OR length(split_part(text, chr(10), 1)) % 13 = 0 THEN 'label' END, CASE WHEN lang = 'es' THEN 'lifecycle' END,
+ CASE WHEN {_ANY.format('text')} THEN 'scope' END, CASE WHEN ends_with(source, '7') THEN 'tag' END], lambda x: x IS NOT NULL), '+') AS why FROM documents) WHERE why <> ''""",
     "retired_providers": """SELECT doc_id FROM documents WHERE regexp_matches(lower(text), 'released under the') OR regexp_matches(lower(text), '(^|[^a-z])heing([^a-z]|$)')
  OR len(list_filter(string_split(lower(text), chr(10)), lambda x: regexp_matches(x, '(^|[^a-z])the([^a-z]|$)') AND regexp_matches(x, '(^|[^a-z])thining([^a-z]|$)'))) > 0""",
     "retired_references": f"""WITH q AS (SELECT page_id, {_PLACE('url')} AS p FROM pages WHERE NOT regexp_matches(url, '[?%]')), x AS (SELECT DISTINCT regexp_extract(lower(url), '://([^/?#]*)', 1) || '/fr' AS prefix FROM pages WHERE url LIKE '%.org/%')
