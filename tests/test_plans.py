@@ -35,7 +35,11 @@ def test_shuffles(spark, name, most):
     assert p.count("Exchange hashpartitioning") <= most
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+#: Their results read tables that the query has written, so their plans say nothing of how these were made.
+WRITTEN = {"incremental_recheck", "snapshot_differences", "combined_verification", "committed_updates", "stored_contents", "sitemap_worklist", "event_stream"}
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - WRITTEN))
 def test_no_cross_join_of_tables(spark, name):
     if name in ("release_manifest", "publication_receipt"):
         pytest.skip("joins one-row aggregates")
