@@ -87,3 +87,12 @@ def test_sections_are_lossless():
 
 def test_anchors():
     assert {"a", "b", "b-1"} <= M.anchors(BODY)
+
+
+def test_sections_left_without_content_go_and_empty_ones_stay():
+    body = "# A\n\ntext\n\n## Empty before\n\n## B\n\ngone\n\n---\n\n### C\n\n## D\n\nstays\n"
+    gone = next(b for b in M.blocks(body) if b.kind == "paragraph" and b.text.strip() == "gone")
+    assert M.remove_blocks(body, [(gone.location, gone.sha256)]) == "# A\n\ntext\n\n## Empty before\n\n## D\n\nstays\n"
+    with pytest.raises(ValueError):
+        M.remove_blocks(body, [(gone.location, gone.sha256)] * 2)
+    assert M.remove_blocks(body, []) == body

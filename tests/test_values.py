@@ -90,3 +90,16 @@ def test_heading_titles_and_anchors_take_any_blank(spark):
 
     assert column(spark, ["#\tA  b\n## C\n#d\n####### e"], X.heading_titles(F.col("v"))) == [["a b", "c"]]
     assert anchors("#\tTitle\n# Title\n## Title two\n<a id='x'></a>") == {"title", "title-1", "title-two", "x"}
+
+
+def test_private_data_on_pages(spark):
+    from textkiln.operators.privacy import page_kinds
+
+    pages = [
+        ("<p>write to a.b@mail.org or 10.1.2.3</p>", "email,ipv4"), ('<img alt="key 123456789012">', "cloud-account"), ("<script>a@b.org</script><!-- a@b.org --><p>none</p>", ""),
+        ("<a href='https://corp.console.ves.io/x'>x</a>", "tenant-host"), ("<a href='https://example-corp.console.ves.io/x'>x</a>", ""), ("<code>API_KEY = &quot;abcdefghijklmnop0&quot;</code>", "credential"),
+        ("<p>Authorization: Bearer abcdefghijklmnop1</p>", "authorization-header"), ("<pre>--cookie sid=abcdefghijklmnop1</pre>", "session-cookie"), ("<p>vpc-0a1b2c3d and 01234567-89ab-cdef-0123-456789abcdef</p>", "resource-id,uuid"),
+        ("-----BEGIN RSA PRIVATE KEY-----", "private-key"), (None, ""),
+    ]
+    df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(pages)], "i int, h string")
+    assert [",".join(r["k"]) for r in df.select("i", page_kinds(F.col("h")).alias("k")).orderBy("i").collect()] == [k for _, k in pages]

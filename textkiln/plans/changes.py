@@ -13,6 +13,7 @@ from textkiln.operators import policydiff as D
 from textkiln.operators import recheck as R
 from textkiln.operators import worklist as K
 from textkiln.operators.matching import longest_prefix
+from textkiln.operators.relocation import relocated
 from textkiln.session import forgotten, shared_dir
 from textkiln.sources import contents as S
 from textkiln.sources.committed import CommittedTable
@@ -182,9 +183,20 @@ def listing_loops(spark, sf):
     return K.before_loops(e, "user_id", "event_id", "digest").select("user_id", "event_id")
 
 
+def relocated_references(spark, sf):
+    """Whole texts from which every fourth line was masked: where the other lines, and those, are now."""
+    d = table(spark, sf, "documents").where("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
+    lines = F.split("text", "\n")
+    after = d.select("doc_id", F.array_join(F.transform(lines, lambda x, k: F.when(k % 4 == 1, F.lit("masked")).otherwise(x)), "\n").alias("text"))
+    w = Window.partitionBy("doc_id").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    placed = d.select("doc_id", F.posexplode(lines).alias("k", "x")).withColumn("start", F.coalesce(F.sum(F.length("x").cast("long") + 1).over(w), F.lit(0)))
+    references = placed.where("length(x) >= 20").select("doc_id", "start", (F.col("start") + F.length("x")).alias("end"))
+    return relocated(d, after, references, "doc_id", "text")
+
+
 QUERIES = {f.__name__: f for f in (
     incremental_recheck, snapshot_differences, combined_verification, committed_updates, stored_contents, merged_edits, assembled_documents, guarded_placements, policy_difference,
-    sitemap_worklist, listing_loops)}
+    sitemap_worklist, listing_loops, relocated_references)}
 #: ASCII letters only, alike in Spark and SQL.
 _CASE = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _NOW = "SELECT doc_id, text, n_chars FROM documents WHERE doc_id % 101 <> 3"
