@@ -40,7 +40,7 @@ COVER = 50
 #: Words of a chunk; a longer text is a chunk of its own.
 CHUNK = 1 << 20
 #: Rows of n-grams that a mining task holds.
-HOLD = 1 << 22
+HOLD = 1 << 21
 _BREAK = b"."
 _BYTES = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CHUNKS = "chunk long, tokens binary, lang string, word string, local int, n long"
