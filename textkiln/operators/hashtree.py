@@ -3,7 +3,7 @@
 A file falls in the range named by the first ``digits`` hexadecimal digits of the SHA-256 of its path; a range's digest is that of its sorted
 paths and file digests, an inner node's that of its up to sixteen children. Ranges are as even as a hash, and ``digits`` keeps them at a few
 hundred files, so a range is gathered in one task whatever the snapshot's size. Nodes are a table by level, files a table by
-the first two digits: a comparison reads a level's children of differing nodes, then the files of differing ranges.
+the first one or two digits: a comparison reads a level's children of differing nodes, then the files of differing ranges.
 """
 
 from __future__ import annotations
@@ -35,11 +35,16 @@ class HashTree:
     root: str
     digits: int
 
+    @property
+    def folders(self) -> int:
+        """Digits of a folder of files: 16 folders for a small tree, 256 for others."""
+        return 1 if self.digits == 2 else 2
+
     def nodes(self, level: int) -> DataFrame:
         return self.spark.read.schema("prefix string, digest string").parquet(f"{self.root}/nodes/level={level}")
 
     def files(self, parts: list[str]) -> DataFrame:
-        """Files of ranges that begin with one of ``parts`` (two digits)."""
+        """Files of ranges in the folders ``parts``."""
         schema = "path string, sha256 string, leaf string"
         have = {s.getPath().getName() for s in self._listed("files")}
         paths = [f"{self.root}/files/part={p}" for p in parts if f"part={p}" in have]
@@ -61,7 +66,7 @@ def grown(files: DataFrame, root: str, digits: int | None = None) -> HashTree:
     digits = digits or digits_for(files.count())
     tree = HashTree(spark, root.rstrip("/"), digits)
     leaf = F.substring(F.sha2("path", 256), 1, digits)
-    dealt = files.select("path", "sha256", leaf.alias("leaf")).withColumn("part", F.substring("leaf", 1, 2))
+    dealt = files.select("path", "sha256", leaf.alias("leaf")).withColumn("part", F.substring("leaf", 1, tree.folders))
     dealt.repartition("part").sortWithinPartitions("part", "leaf", "path").write.partitionBy("part").parquet(f"{tree.root}/files")
     written = spark.read.schema("path string, sha256 string, leaf string, part string").parquet(f"{tree.root}/files")
     line = F.concat("path", F.lit("\0"), F.coalesce("sha256", F.lit("")), F.lit("\n"))
@@ -96,7 +101,7 @@ def differing_ranges(a: HashTree, b: HashTree) -> DataFrame:
 def differences(a: HashTree, b: HashTree) -> DataFrame:
     """``path, change`` from ``a`` to ``b``: added, removed, changed."""
     ranges = differing_ranges(a, b)
-    parts = sorted(r[0] for r in ranges.select(F.substring("prefix", 1, 2)).distinct().collect())  # 256 at most
+    parts = sorted(r[0] for r in ranges.select(F.substring("prefix", 1, a.folders)).distinct().collect())  # 256 at most
     x, y = (t.files(parts).join(ranges.select(F.col("prefix").alias("leaf")), "leaf", "left_semi").drop("leaf") for t in (a, b))
     both = x.withColumn("here", F.lit(True)).join(y.select("path", F.col("sha256").alias("other"), F.lit(True).alias("there")), "path", "full")
     change = F.when(F.col("here").isNull(), "added").when(F.col("there").isNull(), "removed").when(~F.col("sha256").eqNullSafe(F.col("other")), "changed")
