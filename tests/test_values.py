@@ -97,7 +97,7 @@ def test_private_data_on_pages(spark):
 
     pages = [
         ("<p>write to a.b@mail.org or 10.1.2.3</p>", "email,ipv4"), ('<img alt="key 123456789012">', "cloud-account"), ("<script>a@b.org</script><!-- a@b.org --><p>none</p>", ""),
-        ("<a href='https://corp.console.ves.io/x'>x</a>", "tenant-host"), ("<a href='https://example-corp.console.ves.io/x'>x</a>", ""), ("<code>API_KEY = &quot;abcdefghijklmnop0&quot;</code>", "credential"),
+        ("<a href='https://corp.console.example.net/x'>x</a>", "tenant-host"), ("<a href='https://example-corp.console.example.net/x'>x</a>", ""), ("<code>API_KEY = &quot;abcdefghijklmnop0&quot;</code>", "credential"),
         ("<p>Authorization: Bearer abcdefghijklmnop1</p>", "authorization-header"), ("<pre>--cookie sid=abcdefghijklmnop1</pre>", "session-cookie"), ("<p>vpc-0a1b2c3d and 01234567-89ab-cdef-0123-456789abcdef</p>", "resource-id,uuid"),
         ("-----BEGIN RSA PRIVATE KEY-----", "private-key"), (None, ""),
     ]

@@ -43,7 +43,8 @@ def kinds(text: Column) -> Column:
     return F.array_sort(F.array_compact(F.array(*[holds(k, p) for k, p in KINDS.items()])))
 
 
-#: Kinds of private data that a page is searched for, and their patterns, without regard to case.
+#: Kinds of private data that a page is searched for, and their patterns, without regard to case. Whose consoles a tenant's
+#: host is below depends on the corpus; another table of patterns can be given.
 PAGE_KINDS = {
     "authorization-header": r"""Authorization[\s"':]+(?:Bearer|APIToken)\s+[A-Za-z0-9+/=_-]{16,}""",
     "cloud-account": r"\b\d{12}\b",
@@ -53,7 +54,7 @@ PAGE_KINDS = {
     "private-key": r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----",
     "resource-id": r"\b(?:vpc|subnet|rtb|i|sg)-[a-f0-9]{8,}\b",
     "session-cookie": r"""(?:\b(?:Set-Cookie|Cookie)\s*:|--cookie(?:\s+|=))[^\r\n<>]*?\b[A-Za-z0-9_-]+\s*=\s*["']?[A-Za-z0-9+/=_-]{16,}""",
-    "tenant-host": r"https://(?!example-corp\.)[a-z0-9-]+\.console\.(?:ves\.volterra\.io|ves\.io)",
+    "tenant-host": r"https://(?!example-corp\.)[a-z0-9-]+\.console\.example\.(?:net|org)",
     "uuid": r"\b[a-f0-9]{8}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{12}\b",
 }
 #: What a reader doesn't see of a page, attributes that say something all the same, and characters written as entities.
@@ -62,13 +63,13 @@ SAYING = r"""(?is)\s(?:alt|title|href|src)\s*=\s*("[^"]*"|'[^']*')"""
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#64;", "@"), ("&amp;", "&"))
 
 
-def page_kinds(html: Column) -> Column:
+def page_kinds(html: Column, patterns: dict[str, str] = PAGE_KINDS) -> Column:
     """Sorted kinds that a page holds in its visible text or in an ``alt``, ``title``, ``href`` or ``src``."""
     h = F.coalesce(html, F.lit(""))
     text = F.concat_ws(" ", F.regexp_replace(h, UNSEEN, " "), F.array_join(F.regexp_extract_all(h, F.lit(SAYING), F.lit(1)), " "))
     for entity, c in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(c))
-    return F.array_compact(F.array(*[F.when(text.rlike(f"(?i){p}"), F.lit(k)) for k, p in sorted(PAGE_KINDS.items())]))
+    return F.array_compact(F.array(*[F.when(text.rlike(f"(?i){p}"), F.lit(k)) for k, p in sorted(patterns.items())]))
 
 
 def findings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
