@@ -214,3 +214,16 @@ def test_routes(spark):
     m = J.route_metadata(F.col("u"))
     got = [tuple(r) for r in spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string").orderBy("i").select(*m.values()).collect()]
     assert got == [("add", "docs", "how-to", ["Docs", "How To", "Site A"]), (None, None, None, []), ("one", "one", None, []), (None, None, None, [])]
+
+
+def test_spans_leave_a_task_in_bounded_batches():
+    import pyarrow as pa
+
+    texts = ["w " * 3 * W.MOST_SPANS, "a\n" * W.MOST_SPANS, "", "x y"]
+    got = list(W.span_batches(iter([pa.RecordBatch.from_pydict({"k": [1, 2, 3, 4], "t": texts})]), "k"))
+    assert len(got) > 5 and all(sum(map(len, b["spans"].to_pylist())) <= W.MOST_SPANS for b in got)
+    found = defaultdict(list)
+    for b in got:
+        for k, spans in zip(b["k"].to_pylist(), b["spans"].to_pylist()):
+            found[k] += [(s["address"], s["start"], s["end"], s["sha256"]) for s in spans]
+    assert dict(found) == {k: list(W._spans(t)) for k, t in enumerate(texts, 1)}
