@@ -227,3 +227,23 @@ def test_spans_leave_a_task_in_bounded_batches():
         for k, spans in zip(b["k"].to_pylist(), b["spans"].to_pylist()):
             found[k] += [(s["address"], s["start"], s["end"], s["sha256"]) for s in spans]
     assert dict(found) == {k: list(W._spans(t)) for k, t in enumerate(texts, 1)}
+
+
+def test_references_meet_each_key_of_a_catalog_once(spark):
+    """Many operations under one name: the join makes no more rows than it was asked for."""
+    catalog = spark.range(2_000).select(
+        F.lit("op").alias("operation_id"), F.concat(F.lit("r"), "id").alias("resource"), F.lit("d").alias("domain"), F.when(F.col("id") < 1_999, "u").alias("url"), F.lit("o").alias("overview_url"), F.lit(None).cast("string").alias("legacy_url"))
+    refs = spark.range(2_000).select(F.concat(F.lit("ref"), "id").alias("ref"), F.lit("c").alias("canonical"), F.lit("").alias("fragment"), F.lit("op").alias("leaf"))
+    out = resolution.resolve_reference(refs, catalog, spark.createDataFrame([], "legacy_url string, destination string"), "f")
+    assert {(r["destination"], r["reason"]) for r in out.collect()} == {("u", "exact_operation")}
+
+    def joined(plan):
+        kids = [plan.children().apply(i) for i in range(plan.children().size())]
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            kids = [plan.executedPlan()]
+        if "QueryStage" in plan.nodeName():
+            kids = [plan.plan()]
+        own = [plan.metrics().apply("numOutputRows").value()] if plan.nodeName().endswith("Join") else []
+        return own + [n for k in kids for n in joined(k)]
+
+    assert 0 < max(joined(out._jdf.queryExecution().executedPlan())) <= 10_000

@@ -34,12 +34,13 @@ def resolve_reference(refs: DataFrame, catalog: DataFrame, overrides: DataFrame,
         F.when(F.col("fragment") != "", F.concat(identity(F.col("leaf")), F.lit("#"), F.lower("fragment"))), identity(F.col("leaf")))
     probes = F.array(*[F.struct(F.lit(i).alias("p"), k.alias("key")) for i, k in enumerate(keys)])
     asked = refs.select("ref", F.explode(probes).alias("x")).select("ref", "x.p", "x.key").where("key is not null")
-    hits = (
-        asked.join(index, ["p", "key"]).groupBy("ref", "p")
-        .agg(F.count_distinct("target").alias("targets"), F.count_distinct(F.struct("resource", "domain")).alias("identities"), F.min("target").alias("target"))
-    )
-    best = hits.groupBy("ref").agg(F.min_by(F.struct("p", "targets", "identities", "target"), "p").alias("b"))
-    one = F.when(F.col("b.p") == 6, F.col("b.identities") == 1).otherwise(F.col("b.targets") == 1)
+    # how many targets a key has doesn't matter, only whether there is one: the least and the greatest tell, so each key of the index is one row
+    ends = lambda rows, *by: rows.groupBy(*by).agg(*[f(c).alias(c) for f, c in ((F.min, "target"), (F.max, "target_hi"), (F.min, "identity"), (F.max, "identity_hi"))])
+    who = F.struct("resource", "domain")
+    keyed_once = ends(index.select("p", "key", "target", F.col("target").alias("target_hi"), who.alias("identity"), who.alias("identity_hi")), "p", "key")
+    hits = ends(asked.join(keyed_once, ["p", "key"]), "ref", "p")
+    best = hits.groupBy("ref").agg(F.min_by(F.struct("p", "target", "target_hi", "identity", "identity_hi"), "p").alias("b"))
+    one = F.when(F.col("b.p") == 6, F.col("b.identity") == F.col("b.identity_hi")).otherwise(F.coalesce(F.col("b.target") == F.col("b.target_hi"), F.lit(False)))
     reason = (
         F.when(F.col("b").isNull(), "unmatched").when(F.col("b.p") <= 1, "explicit_override")
         .when(F.col("b.p") == 6, F.when(one, "exact_resource").otherwise("ambiguous_resource")).when(one, "exact_operation").otherwise("ambiguous_operation"))
