@@ -247,3 +247,12 @@ def test_references_meet_each_key_of_a_catalog_once(spark):
         return own + [n for k in kids for n in joined(k)]
 
     assert 0 < max(joined(out._jdf.queryExecution().executedPlan())) <= 10_000
+
+
+def test_links_are_those_of_whole_pages_and_of_rendered_ones(spark, tmp_path):
+    from textkiln.plans.contents import markdown_links
+
+    html = '<html><body><a href="/a">x</a><a href="/a">y</a><p>text</p></body></html>'
+    spark.createDataFrame([(1, "https://h/1", html), (2, None, "<p>none</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = Counter(tuple(r) for r in markdown_links(spark, str(tmp_path)).collect())
+    assert got == Counter([(1, "link", "/a"), (1, "link", "https://h/a"), (1, "link", "https://h/1"), (1, "media", "/img/1.png"), (2, "media", "/img/2.png")])

@@ -24,9 +24,11 @@ def markdown_blocks(spark, sf):
 
 
 def markdown_links(spark, sf):
-    """Whole pages with their own anchors written as links, and their stylesheets and scripts as code, which has none."""
-    text = F.regexp_replace("html", '<a href="([^"]*)">([^<]*)</a>', "[$2]($1)")
-    return P.markdown_links(table(spark, sf, "pages").select("page_id", text.alias("markdown")), "page_id", "markdown")
+    """Whole pages with their own anchors written as links, and rendered pages with a link to themselves, an image, and a link in code that doesn't count."""
+    anchored = F.regexp_replace("html", '<a href="([^"]*)">([^<]*)</a>', "[$2]($1)")
+    more = F.concat(F.coalesce("markdown", F.lit("")), F.lit("\n[this page]("), F.coalesce("url", F.lit("")), F.lit(") ![i](/img/"), F.col("page_id"), F.lit(".png)\n\n```\n[no](/code)\n```\n"))
+    both = table(spark, sf, "pages").select("page_id", anchored.alias("markdown")).unionByName(_rendered(spark, sf).select("page_id", more.alias("markdown")))
+    return P.markdown_links(both, "page_id", "markdown").distinct()
 
 
 def markdown_sections(spark, sf):
@@ -112,7 +114,8 @@ _EXCEPTION = "(?!example-corp\\.)"
 _PAGE_KINDS = ", ".join(
     f"""CASE WHEN regexp_matches({"regexp_replace(t, '(?i)https://example-corp[.]', ' ', 'g')" if _EXCEPTION in p else 't'}, '(?i){_quoted(p.replace(_EXCEPTION, ""))}') THEN '{k}' END""" for k, p in sorted(V.PAGE_KINDS.items()))
 ORACLE_SQL = {
-    "markdown_links": "SELECT DISTINCT page_id AS id, 'link' AS kind, t AS target FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', 1)) AS t FROM pages) WHERE regexp_full_match(t, '[^ \\t\\n()<>]+')",
+    "markdown_links": """SELECT page_id AS id, 'link' AS kind, t AS target FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS t FROM pages) WHERE regexp_full_match(t, '[^ \\t\\n()<>]+')
+ UNION SELECT page_id, 'link', url FROM pages WHERE url <> '' UNION SELECT page_id, 'media', '/img/' || page_id || '.png' FROM pages""",
     "frontmatter_roundtrip": f"""SELECT doc_id, source, split_part(text, chr(10), 1) AS title, 'https://d/' || doc_id AS url, lang AS description, sha256({_NORMAL}) AS content_hash, sha256({_NORMAL}) AS body_sha256 FROM documents WHERE text IS NOT NULL""",
     "privacy_scan": f"SELECT doc_id, kinds FROM (SELECT doc_id, array_to_string(list_filter([{_KINDS_SQL}], lambda x: x IS NOT NULL), ',') AS kinds FROM documents) WHERE kinds <> ''",
     "page_privacy": f"""WITH h AS (SELECT page_id, html || '<img src="x.png" alt="' || replace(coalesce(text, ''), '"', '&quot;') || '">' AS h FROM pages JOIN documents ON doc_id = page_id),
