@@ -103,3 +103,8 @@ def test_private_data_on_pages(spark):
     ]
     df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(pages)], "i int, h string")
     assert [",".join(r["k"]) for r in df.select("i", page_kinds(F.col("h")).alias("k")).orderBy("i").collect()] == [k for _, k in pages]
+
+
+def test_normal_bodies_try_no_pattern_at_every_character(spark):
+    plan = spark.range(1).select(X.normalize_body(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert "(?<" not in plan and "\\z" not in plan

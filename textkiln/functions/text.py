@@ -55,12 +55,12 @@ _BLANK, _INNER = _class(BLANKS), _class(BLANKS.replace("\n", ""))
 def normalize_body(text: Column) -> Column:
     """LF line ends, no blanks at line ends, at most one empty line between, stripped, one final LF.
 
-    The look-behinds let a run of blanks be tried once, from its start.
+    Lines and the whole are trimmed from their ends: a pattern would be tried at every character.
     """
     t = F.regexp_replace(F.coalesce(text, F.lit("")), f"\r\n|{_class(LINE_ENDS)}", "\n")
-    t = F.regexp_replace(t, rf"(?<!{_INNER}){_INNER}++(?=\n|\z)", "")
+    t = F.array_join(F.transform(F.split(t, "\n"), lambda x: F.rtrim(x, F.lit(BLANKS))), "\n")
     t = F.regexp_replace(t, "\n{3,}", "\n\n")
-    return F.concat(F.regexp_replace(t, rf"\A{_BLANK}+|(?<!{_BLANK}){_BLANK}++\z", ""), F.lit("\n"))
+    return F.concat(F.btrim(t, F.lit(BLANKS)), F.lit("\n"))
 
 
 def normalize_body_sql(text: str) -> str:
