@@ -118,3 +118,10 @@ def test_bad_page_is_a_row():
     assert pages.render_page(1, None, None)[5] == "content"
     deep = "<div>" * 20_000
     assert pages.render_page(2, "u", deep)[8] is None or "Recursion" in pages.render_page(2, "u", deep)[8]
+
+
+def test_a_document_is_written_once_however_often_its_parts_are_read(spark):
+    from textkiln.plans.contents import frontmatter_roundtrip
+
+    plan = frontmatter_roundtrip(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("sha2(") <= 3

@@ -47,8 +47,8 @@ def frontmatter_roundtrip(spark, sf):
     """Whole documents with frontmatter, split again: what comes back of each field and of the body."""
     d = table(spark, sf, "documents").where("text is not null")
     text = D.serialize({"sourceId": F.col("source"), "title": F.split_part("text", F.lit("\n"), F.lit(1)), "url": F.concat(F.lit("https://d/"), "doc_id"), "description": F.col("lang")}, F.col("text"))
-    meta, body = D.split(text)
-    return d.select("doc_id", meta.alias("m"), body.alias("b")).select(
+    meta, body = D.split(F.col("document"))
+    return d.select("doc_id", text.alias("document")).select("doc_id", meta.alias("m"), body.alias("b")).select(
         "doc_id", F.col("m")["sourceId"].alias("source"), F.col("m")["title"].alias("title"), F.col("m")["url"].alias("url"), F.col("m")["description"].alias("description"),
         F.col("m")["content_hash"].alias("content_hash"), F.sha2("b", 256).alias("body_sha256"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,19 +29,35 @@ def serialize(metadata: dict[str, Column], body: Column) -> Column:
     return F.concat(F.lit("---\n"), F.concat_ws("\n", *lines), F.lit("\n---\n\n"), normalize_body(body))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is made once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _undone(plain: Column) -> Column:
+    for old, new in (("\\\\", "\x00"), ('\\"', '"'), ("\\n", "\n"), ("\\t", "\t"), ("\x00", "\\")):
+        plain = F.replace(plain, F.lit(old), F.lit(new))
+    return plain
+
+
 def split(document: Column) -> tuple[Column, Column]:
-    """Metadata (a map of strings) and body of a document; null metadata without frontmatter."""
+    """Metadata (a map of strings) and body of a document; null metadata without frontmatter.
+
+    Give a column of a table: an expression would be made again for each of its uses.
+    """
     head = F.regexp_extract(document, r"(?s)^---\n(.*?)\n---\n", 1)
     body = F.regexp_extract(document, r"(?s)^---\n.*?\n---\n\n?(.*)$", 1)
 
     def value(line: Column) -> Column:
-        raw = F.regexp_extract(line, r"(?s)^[^:]+: ?(.*)$", 1)
-        plain = F.regexp_extract(raw, r'(?s)^"(.*)"$', 1)
-        undone = F.replace(F.replace(F.replace(F.replace(F.replace(plain, F.lit("\\\\"), F.lit("\x00")), F.lit('\\"'), F.lit('"')), F.lit("\\n"), F.lit("\n")), F.lit("\\t"), F.lit("\t")), F.lit("\x00"), F.lit("\\"))
-        return F.when(raw == "null", F.lit(None)).when(raw.startswith('"'), undone).otherwise(raw)
+        def read(raw: Column) -> Column:
+            return F.when(raw == "null", F.lit(None)).when(raw.startswith('"'), _undone(F.regexp_extract(raw, r'(?s)^"(.*)"$', 1))).otherwise(raw)
+
+        return _once(F.regexp_extract(line, r"(?s)^[^:]+: ?(.*)$", 1), read)
+
+    def entries(head: Column) -> Column:
+        return F.transform(F.filter(F.split(head, "\n"), lambda x: x.contains(":")), lambda x: F.struct(F.regexp_extract(x, r"^([^:]+):", 1).alias("key"), value(x).alias("value")))
 
-    entries = F.transform(F.filter(F.split(head, "\n"), lambda x: x.contains(":")), lambda x: F.struct(F.regexp_extract(x, r"^([^:]+):", 1).alias("key"), value(x).alias("value")))
-    return F.when(head != "", F.map_from_entries(entries)), F.when(head != "", normalize_body(body))
+    return _once(head, lambda h: F.when(h != "", F.map_from_entries(entries(h)))), F.when(head != "", normalize_body(body))
 
 
 def read_documents(spark: SparkSession, root: str) -> DataFrame:
