@@ -256,3 +256,25 @@ def test_links_are_those_of_whole_pages_and_of_rendered_ones(spark, tmp_path):
     spark.createDataFrame([(1, "https://h/1", html), (2, None, "<p>none</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = Counter(tuple(r) for r in markdown_links(spark, str(tmp_path)).collect())
     assert got == Counter([(1, "link", "/a"), (1, "link", "https://h/a"), (1, "link", "https://h/1"), (1, "media", "/img/1.png"), (2, "media", "/img/2.png")])
+
+
+def test_parsers_take_and_give_back_a_few_texts_at_a_time(spark):
+    import pandas as pd
+    import pyarrow as pa
+    from textkiln.operators import pages
+
+    class Table:
+        def mapInArrow(self, run, schema):
+            return run
+
+    taken = []
+
+    def run(frames):
+        for f in frames:
+            taken.append(len(f))
+            yield pd.DataFrame({"id": f["k"].repeat(3), "x": "b"})
+
+    batch = pa.RecordBatch.from_pydict({"k": list(range(1_000))})
+    out = list(pages.mapped(Table(), run, "id long, x string")(iter([batch])))
+    assert max(taken) <= pages.ROWS and max(b.num_rows for b in out) <= 3 * pages.ROWS
+    assert [x for b in out for x in b["id"].to_pylist()] == [k for k in range(1_000) for _ in range(3)]

@@ -10,12 +10,35 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from textkiln.functions import html as H
 from textkiln.functions import markdown as M
 
+#: Rows that a parser takes at once; what it makes of them goes back before it takes more.
+ROWS = 64
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``run`` over frames of at most ``ROWS``: a batch from the JVM holds up to 10,000 rows, and neither their objects nor their blocks are made at once."""
+    of = to_arrow_schema(StructType.fromDDL(schema))
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i in range(0, b.num_rows, ROWS):
+                yield b.slice(i, ROWS).to_pandas()
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in run(slices(batches)):
+            yield pa.RecordBatch.from_pandas(f, schema=of, preserve_index=False)
+
+    return df.mapInArrow(parsed, schema)
+
+
 RENDERED = "page_id long, url string, markdown string, assets array<struct<url:string,placeholder:string,alt:string>>, links array<string>, verdict string, title string, description string, error string"
 
 
@@ -71,7 +94,7 @@ def render_pages(pages: DataFrame, source: str = "default") -> DataFrame:
             rows = [render_page(*x, extractor=extractor) for x in zip(f["page_id"], f["url"], f["html"])]
             yield pd.DataFrame(rows, columns=["page_id", "url", "markdown", "assets", "links", "verdict", "title", "description", "error"])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, RENDERED)
+    return mapped(pages.select("page_id", "url", "html"), run, RENDERED)
 
 
 BLOCKS = "id long, address string, kind string, start int, end int, sha256 string, estimated_tokens int, text string"
@@ -84,7 +107,7 @@ def markdown_blocks(docs: DataFrame, key: str, body: str) -> DataFrame:
             rows = [(k, b.location, b.kind, b.start, b.end, b.sha256, (len(b.text) + 3) // 4, b.text) for k, t in zip(f["k"], f["b"]) for b in M.addressed(t or "")]
             yield pd.DataFrame(rows, columns=["id", "address", "kind", "start", "end", "sha256", "estimated_tokens", "text"])
 
-    return docs.select(F.col(key).cast("long").alias("k"), F.col(body).alias("b")).mapInPandas(run, BLOCKS)
+    return mapped(docs.select(F.col(key).cast("long").alias("k"), F.col(body).alias("b")), run, BLOCKS)
 
 
 def markdown_links(docs: DataFrame, key: str, body: str) -> DataFrame:
@@ -94,7 +117,7 @@ def markdown_links(docs: DataFrame, key: str, body: str) -> DataFrame:
             rows = [(k, kind, x) for k, t in zip(f["k"], f["b"]) for kind, xs in (("link", M.links(t or "")), ("media", M.media(t or ""))) for x in xs]
             yield pd.DataFrame(rows, columns=["id", "kind", "target"])
 
-    return docs.select(F.col(key).cast("long").alias("k"), F.col(body).alias("b")).mapInPandas(run, "id long, kind string, target string")
+    return mapped(docs.select(F.col(key).cast("long").alias("k"), F.col(body).alias("b")), run, "id long, kind string, target string")
 
 
 def markdown_sections(docs: DataFrame, key: str, body: str, most: int = 48_000) -> DataFrame:
@@ -103,7 +126,7 @@ def markdown_sections(docs: DataFrame, key: str, body: str, most: int = 48_000)
         for f in frames:
             yield pd.DataFrame([(k, i, a, b) for k, t in zip(f["k"], f["b"]) for i, (a, b) in enumerate(M.sections(t or "", most))], columns=["id", "part", "start", "end"])
 
-    return docs.select(F.col(key).cast("long").alias("k"), F.col(body).alias("b")).mapInPandas(run, "id long, part int, start int, end int")
+    return mapped(docs.select(F.col(key).cast("long").alias("k"), F.col(body).alias("b")), run, "id long, part int, start int, end int")
 
 
 def guarded_removals(docs: DataFrame, rules: DataFrame, key: str, body: str) -> DataFrame:
@@ -124,7 +147,7 @@ def guarded_removals(docs: DataFrame, rules: DataFrame, key: str, body: str) ->
             yield pd.DataFrame(rows, columns=["id", "body", "error"])
 
     joined = docs.select(F.col(key).cast("long").alias("k"), F.col(body).alias("b")).join(r, F.col("k") == F.col("id"), "left").select("k", "b", "rules")
-    return joined.mapInPandas(run, "id long, body string, error string")
+    return mapped(joined, run, "id long, body string, error string")
 
 
 def unlinked(docs: DataFrame, retired: DataFrame, key: str, body: str, retired_url: str) -> DataFrame:
@@ -143,7 +166,7 @@ def unlinked(docs: DataFrame, retired: DataFrame, key: str, body: str, retired_u
             yield pd.DataFrame(rows, columns=["id", "body", "unlinked"])
 
     joined = docs.select(F.col(key).cast("long").alias("k"), F.col(body).alias("b")).join(wanted, F.col("k") == F.col("id"), "left").select("k", "b", "gone")
-    return joined.mapInPandas(run, "id long, body string, unlinked int")
+    return mapped(joined, run, "id long, body string, unlinked int")
 
 
 def resolve_redirects(links: DataFrame, redirects: DataFrame, most: int = 100) -> DataFrame:
@@ -177,4 +200,4 @@ def request_hashes(rows: DataFrame, key: str) -> DataFrame:
             yield pd.DataFrame({"k": f["k"], "sha256": [hashlib.sha256(b.encode()).hexdigest() for b in bodies]})
 
     body = F.to_json(F.struct(*[c for c in rows.columns if c != key]))
-    return rows.select(F.col(key).cast("string").alias("k"), body.alias("j")).mapInPandas(run, "k string, sha256 string").withColumnRenamed("k", key)
+    return mapped(rows.select(F.col(key).cast("string").alias("k"), body.alias("j")), run, "k string, sha256 string").withColumnRenamed("k", key)
