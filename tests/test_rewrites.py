@@ -278,3 +278,16 @@ def test_parsers_take_and_give_back_a_few_texts_at_a_time(spark):
     out = list(pages.mapped(Table(), run, "id long, x string")(iter([batch])))
     assert max(taken) <= pages.ROWS and max(b.num_rows for b in out) <= 3 * pages.ROWS
     assert [x for b in out for x in b["id"].to_pylist()] == [k for k in range(1_000) for _ in range(3)]
+
+
+def test_best_documents_are_those_of_all_scores(spark):
+    from textkiln.operators import retrieval
+
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.when(F.col("id") % n < 2, F.repeat(F.lit(f"w{n} "), (F.col("id") % 9).cast("int"))) for n in (2, 3, 5, 7)], F.lit("x")).alias("text"))
+    asked = retrieval.asked_words(spark.createDataFrame([(1, "w2 w3"), (2, "w5 w7 w3"), (3, "none"), (4, "x")], "question_id long, text string"))
+    tf = retrieval.term_counts(docs, asked).localCheckpoint()
+    scored = retrieval.scored(tf, 300, asked)
+    found = retrieval.best(tf, 300, asked)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, retrieval.top_k(scored).collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [question_id" not in plan and "MapInArrow" in plan

@@ -107,7 +107,8 @@ def _questions(spark, sf):
 
 
 def retrieval_topk(spark, sf):
-    return retrieval.top_k(retrieval.scores(_docs(spark, sf), _questions(spark, sf)))
+    docs, asked = _docs(spark, sf), retrieval.asked_words(_questions(spark, sf))
+    return retrieval.best(settled(retrieval.term_counts(docs, asked)), docs.count(), asked)
 
 
 def retrieval_evaluation(spark, sf):
@@ -115,8 +116,8 @@ def retrieval_evaluation(spark, sf):
     docs, asked = _docs(spark, sf), retrieval.asked_words(_questions(spark, sf))
     tf = settled(retrieval.term_counts(docs, asked, "lang"))
     n = docs.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("lang") == "en").alias("en")).first()
-    after = settled(retrieval.top_k(retrieval.scored(tf, n["all"], asked)))
-    before = retrieval.top_k(retrieval.scored(tf.where("lang = 'en'"), n["en"], asked))
+    after = settled(retrieval.best(tf, n["all"], asked))
+    before = retrieval.best(tf.where("lang = 'en'"), n["en"], asked)
     wanted = after.where("rank = 1").select("question_id", "doc_id")
     return retrieval.evaluate(before, after, wanted)
 
