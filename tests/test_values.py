@@ -1,5 +1,7 @@
 """Expressions over chosen values."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from textkiln.functions import html as H
@@ -108,3 +110,17 @@ def test_private_data_on_pages(spark):
 def test_normal_bodies_try_no_pattern_at_every_character(spark):
     plan = spark.range(1).select(X.normalize_body(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
     assert "(?<" not in plan and "\\z" not in plan
+
+
+def test_bodies_are_not_dealt_by_the_target_of_a_decision(spark):
+    """Most documents have no target; they would all meet in one task."""
+    import re
+
+    docs = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z"), ("d", "u")], "document string, body string")
+    sha = lambda t: hashlib.sha256(f"{t}\n".encode()).hexdigest()
+    decisions = spark.createDataFrame(
+        [("a", sha("x"), "alias", None, "b"), ("b", sha("y"), "alias", None, "gone"), ("c", sha("z"), "alias", None, "c"), ("d", sha("u"), "rewrite", "new", None), ("d", sha("u"), "retain", None, None)],
+        "document string, input_sha256 string, disposition string, body string, target string")
+    out = C.replay(docs, decisions)
+    assert {(r["document"], r["disposition"], r["error"]) for r in out.collect()} == {("a", "alias", None), ("b", "fallback", "alias without target"), ("c", "fallback", "alias without target"), ("d", "fallback", "several decisions")}
+    assert not re.search(r"Join \[target#\d+\], \[\w+#\d+\], LeftOuter", out._jdf.queryExecution().executedPlan().toString())

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textkiln.functions.text import body_hash, sorted_tags
@@ -97,12 +97,12 @@ def replay(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     ``docs``: document, body; ``decisions``: document, input_sha256, disposition (rewrite, retain, alias, exclude), body,
     target. Returns document, disposition, body, error; whatever fails a gate falls back to the input.
     """
-    d = docs.withColumn("input_sha256", body_hash(F.col("body")))
-    n = Window.partitionBy("document", "input_sha256")
-    r = decisions.select("document", "input_sha256", "disposition", F.col("body").alias("new_body"), "target", F.count(F.lit(1)).over(n).alias("n")).dropDuplicates(["document", "input_sha256"])
-    j = d.join(r, ["document", "input_sha256"], "left")
-    known = j.select(F.col("document").alias("t")).distinct().withColumn("target_known", F.lit(True))
-    j = j.join(known, F.col("target") == F.col("t"), "left")
+    once = decisions.groupBy("document", "input_sha256").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("disposition", F.col("body").alias("new_body"), "target")).alias("d")).select("document", "input_sha256", "n", "d.*")
+    # targets are looked up for aliases only, before they meet the bodies: documents without a target would all go to one task
+    known = docs.select(F.col("document").alias("target")).distinct()
+    found = once.where("n = 1 and disposition = 'alias' and target is not null").select("document", "input_sha256", "target").join(known, "target", "left_semi").select("document", "input_sha256", F.lit(True).alias("target_known"))
+    r = once.join(found, ["document", "input_sha256"], "left")
+    j = docs.withColumn("input_sha256", body_hash(F.col("body"))).join(r, ["document", "input_sha256"], "left")
     error = (
         F.when(F.col("n").isNull(), "no decision").when(F.col("n") > 1, "several decisions")
         .when((F.col("disposition") == "rewrite") & (F.trim(F.coalesce("new_body", F.lit(""))) == ""), "empty rewrite")
