@@ -231,3 +231,11 @@ def test_streams_over_files_restarts_and_replays(spark, tmp_path):
     E.upsert(stream, str(tmp_path / "out"), str(tmp_path / "log"))
     assert {tuple(r) for r in E.newest(spark, str(tmp_path / "out")).collect()} == want
     E.compact(spark, str(tmp_path / "out"), str(tmp_path / uuid.uuid4().hex))
+
+
+def test_tasks_list_the_store(spark, tmp_path):
+    root = str(tmp_path / "store")
+    S.store(spark.createDataFrame([("a", b"1"), ("e", b"")], "name string, content binary"), root)
+    held = S.contents(spark, root)
+    assert "BatchScan contents" in held._jdf.queryExecution().executedPlan().toString() and held.rdd.getNumPartitions() == 256
+    assert {(bytes(r["content"]), r["intact"]) for r in held.collect()} == {(b"1", True), (b"", True)}

@@ -18,11 +18,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-SCHEMA = "name string, content binary"
+#: A task passes on so many bytes of contents at once.
+BATCH_BYTES = 8 << 20
 
 
 def local(root: str) -> Path:
@@ -96,15 +98,49 @@ class _Writer(DataSourceWriter):
         shutil.rmtree(self.root / "staging" / self.job, ignore_errors=True)
 
 
+@dataclass
+class Folder(InputPartition):
+    """The contents whose digests begin with two digits."""
+
+    digits: str
+
+
+class _Reader(DataSourceReader):
+    """A task lists and reads one folder of the store, so the driver holds no list of files."""
+
+    def __init__(self, root: str, with_content: bool):
+        self.root, self.with_content = local(root), with_content
+
+    def partitions(self) -> list[Folder]:
+        return [Folder(f"{k:02x}") for k in range(256)]
+
+    def read(self, partition: Folder) -> Iterator[pa.RecordBatch]:
+        folder = self.root / "objects" / partition.digits
+        schema = pa.schema([("sha256", pa.string()), ("content", pa.binary())])
+        digests, held, size = [], [], 0
+        for f in os.scandir(folder) if folder.is_dir() else ():
+            digests.append(f.name)
+            held.append(Path(f.path).read_bytes() if self.with_content else None)
+            size += len(held[-1] or b"")
+            if size >= BATCH_BYTES or len(digests) >= 1_000:
+                yield pa.record_batch([digests, held], schema)
+                digests, held, size = [], [], 0
+        if digests:
+            yield pa.record_batch([digests, held], schema)
+
+
 class ContentStore(DataSource):
-    """Write-only; ``names`` and ``contents`` read a store with Spark's own sources."""
+    """Writes ``name, content``; reads ``sha256, content`` of every file (option ``content`` false: digests only)."""
 
     @classmethod
     def name(cls) -> str:
         return "contents"
 
     def schema(self) -> str:
-        return SCHEMA
+        return "sha256 string, content binary"
+
+    def reader(self, schema) -> _Reader:
+        return _Reader(self.options["path"], self.options.get("content", "true") == "true")
 
     def writer(self, schema, overwrite: bool) -> _Writer:
         return _Writer(self.options["path"], overwrite)
@@ -121,17 +157,16 @@ def names(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema("name string, sha256 string, size long").json(f"{root}/names/job=*")
 
 
-def contents(spark: SparkSession, root: str) -> DataFrame:
-    """``sha256, content, intact``: every file of the store, with its digest by name, and whether it holds what that says.
+def _held(spark: SparkSession, root: str, content: bool) -> DataFrame:
+    spark.dataSource.register(ContentStore)
+    return spark.read.format("contents").option("content", str(content).lower()).load(root)
+
 
-    Spark's file readers pass over empty files, so the empty content comes from its names.
-    """
-    found = spark.read.format("binaryFile").load(f"{root}/objects/*").select(F.element_at(F.split("path", "/"), -1).alias("sha256"), "content")
-    empty = names(spark, root).where("size = 0").select("sha256", F.lit(b"").alias("content")).distinct()
-    return found.unionByName(empty).withColumn("intact", F.sha2("content", 256) == F.col("sha256"))
+def contents(spark: SparkSession, root: str) -> DataFrame:
+    """``sha256, content, intact``: every file of the store, with its digest by name, and whether it holds what that says."""
+    return _held(spark, root, True).withColumn("intact", F.sha2("content", 256) == F.col("sha256"))
 
 
 def unnamed(spark: SparkSession, root: str) -> DataFrame:
     """``sha256`` of contents that no committed name has: left by failed jobs."""
-    have = spark.read.format("binaryFile").load(f"{root}/objects/*").select(F.element_at(F.split("path", "/"), -1).alias("sha256"))
-    return have.join(names(spark, root), "sha256", "left_anti")
+    return _held(spark, root, False).select("sha256").join(names(spark, root), "sha256", "left_anti")
