@@ -233,6 +233,19 @@ def test_streams_over_files_restarts_and_replays(spark, tmp_path):
     E.compact(spark, str(tmp_path / "out"), str(tmp_path / uuid.uuid4().hex))
 
 
+def test_alias_rounds_write_only_what_goes_on(spark, monkeypatch):
+    """Short chains beside one long and a cycle: rounds write what has not ended, and a cycle ends them."""
+    from textkiln.operators import graph as G
+
+    rows, plain = [], G.settled
+    monkeypatch.setattr(G, "settled", lambda df: (out := plain(df), rows.append(out.count()))[0])
+    pairs = [(f"s{i}", "end") for i in range(500)] + [(f"l{i}", f"l{i + 1}") for i in range(20)] + [("x", "y"), ("y", "x"), ("in", "x"), ("t", "a"), ("t", "b"), ("u", "t")]
+    got = {r["path"]: (r["target"], r["hops"], r["cycle"], r["error"]) for r in G.resolve_aliases(spark.createDataFrame(pairs, "path string, target string")).collect()}
+    assert got["s7"] == ("end", 1, False, None) and all(got[f"l{i}"] == ("l20", 20 - i, False, None) for i in range(20)) and len(got) == 525
+    assert got["x"] == got["in"] == (None, None, True, "cycle") and got["u"][3] == "leads to several targets" and got["t"][3] == "several targets"
+    assert sum(rows) < 3 * len(pairs)
+
+
 def test_tasks_list_the_store(spark, tmp_path):
     root = str(tmp_path / "store")
     S.store(spark.createDataFrame([("a", b"1"), ("e", b"")], "name string, content binary"), root)

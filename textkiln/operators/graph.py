@@ -44,27 +44,30 @@ def closure_omitted(links: DataFrame, excluded: DataFrame, repaired: DataFrame)
 
 def resolve_aliases(aliases: DataFrame) -> DataFrame:
     """``path, target, hops, cycle, error``: the end of each alias chain, by doubling, so rounds are the log of the longest chain.
+    A round reads and writes only paths whose chain goes on.
 
     A path that is or leads into a cycle has a null target, and so has one with several targets or that leads to such a path.
     """
-    of = aliases.groupBy("path").agg(F.min("target").alias("target"), F.count_distinct("target").alias("n"))
-    of = settled(of)
-    torn = of.where("n > 1").select("path")
-    now = settled(of.where("n = 1").select("path", "target", F.lit(1).cast("long").alias("hops")))
-    for _ in range(max(1, now.count().bit_length() + 1)):
-        step = now.select(F.col("path").alias("target"), F.col("target").alias("t2"), F.col("hops").alias("h2"))
-        j = now.join(step, "target", "left")
-        nxt = settled(j.select("path", F.coalesce("t2", "target").alias("target"), (F.col("hops") + F.coalesce("h2", F.lit(0))).alias("hops"), F.col("t2").isNotNull().alias("moved")))
-        moved = not nxt.where("moved").isEmpty()
-        unsettled(now)
-        now = nxt
-        if not moved:
+    of = settled(aliases.groupBy("path").agg(F.min("target").alias("target"), F.max("target").alias("last")).select("path", "target", F.coalesce(F.col("target") != F.col("last"), F.lit(False)).alias("torn")))
+    torn = of.where("torn").select("path")
+    one = of.where("not torn").select("path", "target", F.lit(1).cast("long").alias("hops"))
+    onward = one.select(F.col("path").alias("target"), F.lit(True).alias("onward"))
+    jumps = settled(one.join(onward, "target", "left").select("path", "target", "hops", F.col("onward").isNotNull().alias("onward")))
+    # a path whose jump ends is written once and only looked up from then on; the others jump on, and if none of them ends, they never will
+    ended, open_, n = [jumps.where("not onward")], jumps.where("onward"), jumps.where("onward").count()
+    while n:
+        step = reduce(DataFrame.unionByName, [*ended, open_]).select(F.col("path").alias("target"), F.col("target").alias("t2"), F.col("hops").alias("h2"), F.col("onward").alias("o2"))
+        nxt = settled(open_.select("path", "target", "hops").join(step, "target").select("path", F.col("t2").alias("target"), (F.col("hops") + F.col("h2")).alias("hops"), F.col("o2").alias("onward")))
+        left = nxt.where("onward").count()
+        if left == n:
+            unsettled(nxt)
             break
-    ends = of.select(F.col("path").alias("target"), (F.col("n") > 1).alias("torn"))
-    each = now.drop("moved").join(ends, "target", "left")
-    error = F.when(F.col("torn"), "leads to several targets").when(~F.col("torn"), "cycle")
-    out = each.select("path", F.when(error.isNull(), F.col("target")).alias("target"), F.when(error.isNull(), F.col("hops")).alias("hops"), (error == "cycle").alias("cycle"), error.alias("error"))
-    out = out.withColumn("cycle", F.coalesce("cycle", F.lit(False)))
+        ended, open_, n = [*ended, nxt.where("not onward")], nxt.where("onward"), left
+    ends = torn.select(F.col("path").alias("target"), F.lit(True).alias("torn"))
+    none = lambda kind: F.lit(None).cast(kind)
+    error = F.when(F.col("torn"), "leads to several targets")
+    out = reduce(DataFrame.unionByName, ended).join(ends, "target", "left").select("path", F.when(error.isNull(), F.col("target")).alias("target"), F.when(error.isNull(), F.col("hops")).alias("hops"), F.lit(False).alias("cycle"), error.alias("error"))
+    out = out.unionByName(open_.select("path", none(aliases.schema["target"].dataType).alias("target"), none("long").alias("hops"), F.lit(True).alias("cycle"), F.lit("cycle").alias("error")))
     several = torn.select("path", F.lit(None).cast(aliases.schema["target"].dataType).alias("target"), F.lit(None).cast("long").alias("hops"), F.lit(False).alias("cycle"), F.lit("several targets").alias("error"))
     return out.unionByName(several)
 
