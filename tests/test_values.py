@@ -112,6 +112,14 @@ def test_normal_bodies_try_no_pattern_at_every_character(spark):
     assert "(?<" not in plan and "\\z" not in plan
 
 
+def test_only_pages_with_one_decision_are_digested(spark):
+    docs = spark.createDataFrame([("a", "x"), ("b", "y")], "url string, body string")
+    decisions = spark.createDataFrame([("a", "keep", "0", "z")], "url string, disposition string, input_sha256 string, output string")
+    out = C.apply_decisions(docs, decisions)
+    assert {(r["url"], r["body"], r["error"]) for r in out.collect()} == {("a", "x", "stale decision"), ("b", "y", None)}
+    assert "CASE WHEN (n#" in out._jdf.queryExecution().analyzed().toString()
+
+
 def test_bodies_are_not_dealt_by_the_target_of_a_decision(spark):
     """Most documents have no target; they would all meet in one task."""
     import re

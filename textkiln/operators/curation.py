@@ -62,7 +62,7 @@ def apply_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     both keep the page as it is and say so.
     """
     d = decisions.groupBy("url").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("disposition", "input_sha256", "output"), "input_sha256").alias("d"))
-    j = docs.join(d, "url", "left").withColumn("h", body_hash(F.col("body")))
+    j = docs.join(d, "url", "left").withColumn("h", F.when(F.col("n") == 1, body_hash(F.col("body"))))
     error = F.when(F.col("n") > 1, "ambiguous decision").when(F.col("d.input_sha256") != F.col("h"), "stale decision")
     on = F.col("n").isNotNull() & error.isNull()
     disposition = F.when(on, F.col("d.disposition")).otherwise("keep")
