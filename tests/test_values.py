@@ -112,6 +112,11 @@ def test_normal_bodies_try_no_pattern_at_every_character(spark):
     assert "(?<" not in plan and "\\z" not in plan
 
 
+def test_normal_bodies_run_patterns_only_where_they_can_match(spark):
+    plan = spark.range(1).select(X.normalize_body(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString().lower()
+    assert plan.count("contains(") >= len(X.LINE_ENDS) and plan.count("case when") >= 2
+
+
 def test_only_pages_with_one_decision_are_digested(spark):
     docs = spark.createDataFrame([("a", "x"), ("b", "y")], "url string, body string")
     decisions = spark.createDataFrame([("a", "keep", "0", "z")], "url string, disposition string, input_sha256 string, output string")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,14 +55,21 @@ BLANK_LINE = rf"\n{_class(BLANKS)}*\n"
 _BLANK, _INNER = _class(BLANKS), _class(BLANKS.replace("\n", ""))
 
 
+def _where(text: Column, asked: Callable[[Column], Column], change: Callable[[Column], Column]) -> Column:
+    """``change`` of texts for which ``asked`` holds; the text is evaluated once, however often both name it."""
+    return F.get(F.transform(F.array(text), lambda x: F.when(asked(x), change(x)).otherwise(x)), F.lit(0))
+
+
 def normalize_body(text: Column) -> Column:
     """LF line ends, no blanks at line ends, at most one empty line between, stripped, one final LF.
 
-    Lines and the whole are trimmed from their ends: a pattern would be tried at every character.
+    Lines and the whole are trimmed from their ends: a pattern would be tried at every character. A pattern runs only over texts that
+    hold what it looks for, which a search for the characters tells at far less cost.
     """
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"\r\n|{_class(LINE_ENDS)}", "\n")
+    odd = lambda x: reduce(Column.__or__, [F.contains(x, F.lit(c)) for c in LINE_ENDS[1:]])
+    t = _where(F.coalesce(text, F.lit("")), odd, lambda x: F.regexp_replace(x, f"\r\n|{_class(LINE_ENDS)}", "\n"))
     t = F.array_join(F.transform(F.split(t, "\n"), lambda x: F.rtrim(x, F.lit(BLANKS))), "\n")
-    t = F.regexp_replace(t, "\n{3,}", "\n\n")
+    t = _where(t, lambda x: F.contains(x, F.lit("\n\n\n")), lambda x: F.regexp_replace(x, "\n{3,}", "\n\n"))
     return F.concat(F.btrim(t, F.lit(BLANKS)), F.lit("\n"))
 
 
