@@ -252,3 +252,37 @@ def test_tasks_list_the_store(spark, tmp_path):
     held = S.contents(spark, root)
     assert "BatchScan contents" in held._jdf.queryExecution().executedPlan().toString() and held.rdd.getNumPartitions() == 256
     assert {(bytes(r["content"]), r["intact"]) for r in held.collect()} == {(b"1", True), (b"", True)}
+
+
+def test_a_page_asks_the_state_for_nothing_it_does_not_hold():
+    """Each call of the state is a message to the JVM; a page whose last event is a success needs two."""
+    from pyspark.sql import Row
+
+    from textkiln.streaming import events as E
+
+    calls = []
+
+    class State:
+        def __init__(self, name):
+            self.name, self.value = name, None
+
+        def __getattr__(self, what):
+            def call(*args):
+                calls.append((self.name, what))
+                if what == "update":
+                    self.value = args[0]
+                return self.value if what == "get" else None
+            return call
+
+    class Handle:
+        def getValueState(self, name, schema):  # noqa: N802
+            return State(name)
+
+        getListState = getValueState  # noqa: N815
+
+    fold = E.PageFold()
+    fold.init(Handle())
+    for n in (1, 2):
+        out = list(fold.handleInputRows(("p",), iter([Row(page="p", kind="gone", at="1", event_id=2 * n), Row(page="p", kind="success", at="2", event_id=2 * n + 1)]), None))
+        assert [(r["status"], r["attempts"], r["failures"]) for r in out] == [("success", 2 * n, 0)]
+    assert calls == [("known", "get"), ("known", "update")] * 2
