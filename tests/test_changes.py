@@ -212,6 +212,27 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     assert [r["path"] for r in R.judgements(table).where("omitted").collect()] == ["p390"]
 
 
+def test_pages_judged_anew_do_not_pass_through_the_driver_in_every_round(spark, tmp_path):
+    sc, n, step = spark.sparkContext, 20_000, 5_000
+    store = sc._jsc.sc().statusStore()
+
+    def sent():
+        """Bytes of results by stage, without what every task reports."""
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = store.stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return {(x.stageId(), x.attemptId()): max(0, x.resultSize() - 10_000 * x.numCompleteTasks()) for x in (stages.apply(i) for i in range(stages.size()))}
+
+    table = C.CommittedTable(spark, str(tmp_path / "t"), buckets=4)
+    judge = lambda d: d.select("path", (F.col("input_sha256") == "2").alias("excluded"), F.lit(False).alias("repaired"), F.when(F.col("i") >= step, F.array(F.concat(F.lit("p"), F.sha1((F.col("i") - step).cast("string"))))).alias("links"))
+    docs = lambda sha: spark.range(n).select(F.concat(F.lit("p"), F.sha1(F.col("id").cast("string"))).alias("path"), sha.alias("input_sha256"), F.col("id").alias("i"))
+    R.recheck(table, docs(F.lit("1")), judge, "a")
+    before = sent()
+    done = R.recheck(table, docs(F.when(F.col("id") < step, "2").otherwise("1")), judge, "a")
+    new = sum(v for k, v in sent().items() if k not in before)
+    assert done.stale == step and done.affected == n == R.judgements(table).where("omitted").count()
+    assert new < 6 * 41 * n  # new pages of a round and stale ones, a few times
+
+
 def test_streams_over_files_restarts_and_replays(spark, tmp_path):
     rng = random.Random(5)
     data = [(f"p{rng.randrange(12)}", rng.choice(["success", "gone", "gone", "error"]), f"2025-01-{rng.randrange(1, 28):02d}", i) for i in range(300)] + [("p1", "gone", "2025-01-30", 5), ("p1", "gone", "2025-01-30", 5)]

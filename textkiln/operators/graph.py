@@ -17,19 +17,22 @@ from textkiln.session import settled, unsettled
 def reachable(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:
     """``node, depth`` from ``seeds`` (column ``node``) along ``src, dst``: least number of steps, as far as the edges lead or for ``rounds``.
 
-    Every round writes its new nodes only; what is known is the union of the rounds.
+    Every round writes its new nodes only; what is known is the union of the rounds. That union is shuffled, never broadcast: it would go
+    through the driver again in every round. Edges are made once.
     """
-    edges = edges.select("src", "dst").where("src is not null and dst is not null").distinct()
+    edges = settled(edges.select("src", "dst").where("src is not null and dst is not null").distinct())
     found = [settled(seeds.select("node").where("node is not null").distinct().withColumn("depth", F.lit(0)))]
     while rounds is None or len(found) <= rounds:
-        known = reduce(DataFrame.unionByName, found)
+        # an anti-join would be pushed below the join with the edges, which would then be shuffled in every round
+        known = reduce(DataFrame.unionByName, found).select("node", F.lit(True).alias("known"))
         nxt = settled(
             found[-1].join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-            .join(known.select("node"), "node", "left_anti").withColumn("depth", F.lit(len(found))))
+            .join(known.hint("merge"), "node", "left").where("known is null").select("node", F.lit(len(found)).alias("depth")))
         if nxt.isEmpty():
             unsettled(nxt)
-            return known
+            break
         found.append(nxt)
+    unsettled(edges)
     return reduce(DataFrame.unionByName, found)
 
 
